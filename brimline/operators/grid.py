@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from brimline.functions.time import floor_div, from_micros, micros, step_micros
-from brimline.plans.chunks import CHUNK, CHUNK_STEPS, HALO, core
+from brimline.plans.chunks import CHUNK, CHUNK_STEPS, HALO, by_chunk, core
 from brimline.schema import FREQUENCY, LENGTH, POSITION, SITE, TIME, require
 
 IMPUTED = "was_imputed"
@@ -119,7 +119,7 @@ def regularize_chunks(
         *[F.col(c).alias(f"_y_{i}") for i, c in enumerate(values)],
         *[F.when(F.col(c).isNotNull(), t).alias(f"_t_{i}") for i, c in enumerate(values)],
     )
-    together = observed.unionByName(edges, allowMissingColumns=True).repartition(site, CHUNK)
+    together = by_chunk(observed.unionByName(edges, allowMissingColumns=True), site)
 
     part = Window.partitionBy(site, CHUNK)
     backward = part.orderBy(F.desc("_t"), F.desc("_kind"))

@@ -19,6 +19,18 @@ HALO = "_halo"
 CHUNK_STEPS = 3840  # 160 days of hours; under the 4096 rows a window buffers before spilling
 
 
+def by_chunk(df: DataFrame, site: str) -> DataFrame:
+    """The one shuffle by ``(site, chunk)``.
+
+    Spelled out: hash(site) alone would satisfy a window over ``(site, chunk)``, so a join
+    or grouping by site before it would otherwise keep a whole series together. The
+    partition count is given because gap filling and windowing expand the rows after the
+    shuffle, which adaptive coalescing cannot see from the shuffled bytes.
+    """
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(partitions, site, CHUNK)
+
+
 def with_halo(
     df: DataFrame,
     site: str,
@@ -36,13 +48,8 @@ def with_halo(
     first = F.greatest(floor_div(pos - F.lit(ahead), chunk_steps), F.lit(0).cast("bigint"))
     last = floor_div(pos + F.lit(back), chunk_steps)
     own = floor_div(pos, chunk_steps)
-    # Spelled out by number: hash(site) alone would satisfy a window over (site, chunk),
-    # so a preceding join or grouping by site would otherwise keep the series together.
-    return (
-        df.withColumn(CHUNK, F.explode(F.sequence(first, last)))
-        .withColumn(HALO, F.col(CHUNK) != own)
-        .repartition(site, CHUNK)
-    )
+    placed = df.withColumn(CHUNK, F.explode(F.sequence(first, last)))
+    return by_chunk(placed.withColumn(HALO, F.col(CHUNK) != own), site)
 
 
 def core(df: DataFrame) -> DataFrame:
