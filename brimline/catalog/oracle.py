@@ -28,7 +28,12 @@ USER_COLS = ["muc_thuong_luu", "luu_luong_den"]
 
 
 def r(expr: str, name: str | None = None) -> str:
-    return f'round({expr}, 6) + 0.0 as {name or expr}'
+    return f"{rnd(expr)} as {name or expr}"
+
+
+def rnd(expr: str) -> str:
+    """Six decimals, moved off rounding edges as in ``inputs.comparable``."""
+    return f"(round(({expr})::double + 3.3e-8, 6) + 0.0)"
 
 
 def regular(cols: list[str], hours: int = 1, limit: int = 48, fill: bool = True, source: str = "panel") -> str:
@@ -262,13 +267,10 @@ def layered(short_lines: bool) -> dict[str, str]:
         short = "7.5" if k == "level" else "null"
         top = f"when luu_luong_den > 500 then {short}" if short_lines else ""
         out[k] = f"case {top} when muc_thuong_luu > 50 then {revised[k]} else {first} end"
-    for k in out:
-        if k not in ("deep", "surface"):
-            out[k] = f"round({out[k]}, 6) + 0.0"
-    return out
+    return {k: rnd(v) for k, v in out.items()}
 
 
-ROUNDED_GIVEN = {k: (v if k in ("deep", "surface") else f"round({v}, 6) + 0.0") for k, v in AS_GIVEN.items()}
+ROUNDED_GIVEN = {k: rnd(v) for k, v in AS_GIVEN.items()}
 
 METRICS = f"""
   {r('avg(abs(y - q50))', 'mae')}, {r('sqrt(avg((y - q50) * (y - q50)))', 'rmse')},
@@ -331,11 +333,11 @@ ORACLE: dict[str, str] = {
     "page_records": with_(EVENTS, RAW_A, body=PANEL_OUT.format(**ROUNDED_GIVEN)),
     "month_append": with_(EVENTS, RAW_A, body=PANEL_OUT.format(**ROUNDED_GIVEN)),
     "poll_failures": """
-  select strftime(at, '%Y-%m-%d %H:%M') as "timestamp", 200 as status_code,
-         '{''td'': ''' || page_id || '''}' as params, strftime(at, '%Y-%m') as month,
+  select strftime(polled, '%Y-%m-%d %H:%M') as "timestamp", 200 as status_code,
+         '{''td'': ''' || page_id || '''}' as params, strftime(polled, '%Y-%m') as month,
          md5(case when length(html) > 5000 then substring(html, 1, 5000) || '…'
                   else regexp_replace(replace(html, chr(10), ' '), '^\\s+|\\s+$', '', 'g') end) as content
-  from (select *, timestamp '2024-01-01' + to_hours((page_id * 2)::int) as at from pages)""",
+  from (select *, timestamp '2024-01-01' + to_hours((page_id * 2)::int) as polled from pages)""",
     # text and numbers
     "normalized_text": """
   select doc_id, md5(regexp_replace(regexp_replace(lower(strip_accents(text)), '[^\\p{L}\\p{N}\\s]', '', 'g'),
@@ -357,14 +359,14 @@ ORACLE: dict[str, str] = {
         from documents) group by 1""",
     "expanded_headers": """
   select o_orderkey, array_to_string(list_concat(
-      list_transform(generate_series(1, length(o_orderpriority) % 3 + 1), x -> o_orderstatus),
-      list_transform(generate_series(1, day(o_orderdate) % 4 + 1), x -> o_orderpriority)), '|') as header
+      list_transform(generate_series(1, length(o_orderpriority) % 3 + 1), lambda x: o_orderstatus),
+      list_transform(generate_series(1, day(o_orderdate) % 4 + 1), lambda x: o_orderpriority)), '|') as header
   from orders""",
     "data_rows": """
   select o_orderkey, o_orderstatus = 'F' or n >= 2 as is_data, o_orderstatus = 'F' or n >= 14 as is_data_wide
   from (select *, 2 + (try_cast(o_orderpriority as double) is not null)::int as n from orders)""",
-    "tolerant_numbers": """
-  select l_orderkey, l_linenumber, v + 0.0 as as_float, trunc(v)::int as as_int
+    "tolerant_numbers": f"""
+  select l_orderkey, l_linenumber, {rnd('v')} as as_float, {rnd('trunc(v)')} as as_int
   from (select *, case when l_returnflag in ('R', 'A') then round(l_extendedprice, 2) end as v from lineitem)""",
     # dedup, union, head and tail
     "keep_last_rows": f"""
@@ -377,7 +379,7 @@ ORACLE: dict[str, str] = {
   q as (select user_id, date_trunc('hour', ts) as t, avg(case when event_type = 'view' then value end) as v
         from events group by all),
   u as (select t, 1 as target, null::double as v from p union all select t, null, v from q)
-  select t as "timestamp", count(*) as n, count(target) as n_target, round(sum(v), 6) + 0.0 as inflow from u group by 1""",
+  select t as "timestamp", count(*) as n, count(target) as n_target, round(sum(v) + 3.3e-8, 6) + 0.0 as inflow from u group by 1""",
     "series_tail": with_(*EV, body=f"""
   select {S}, {T}, {r(Y)} from regular where time_idx >= series_len - 168"""),
     "series_tail_irregular": with_(USERS, body=f"""
@@ -457,8 +459,8 @@ regular as (
     where o.time_idx >= 23 and o.time_idx = o.series_len - 13) group by 1, 2"""),
     "window_array_form": with_(*EV, body=f"""
   select {S}, origin_idx,
-    md5(string_agg(case when step <= 0 then format('{{:,.2f}}', v) end, '|' order by step)) as encoder,
-    md5(string_agg(case when step > 0 then format('{{:,.2f}}', v) end, '|' order by step)) as decoder
+    md5(string_agg(case when step <= 0 then floor((v + 3.3e-8) * 1e6)::bigint::varchar end, '|' order by step)) as encoder,
+    md5(string_agg(case when step > 0 then floor((v + 3.3e-8) * 1e6)::bigint::varchar end, '|' order by step)) as decoder
   from (select o.site_id, o.time_idx as origin_idx, w.time_idx - o.time_idx as step, w.{Y} as v
         from regular o join regular w on o.site_id = w.site_id and w.time_idx between o.time_idx - 23 and o.time_idx + 12
         where o.time_idx >= 23 and o.time_idx + 12 < o.series_len) group by 1, 2"""),
@@ -556,8 +558,8 @@ binned as (select least(floor((e - lo) / (hi - lo) * 50)::int + 1, 50) as bin, c
   select {r('avg(q90 - q10)', 'mean')}, {r('max(q90 - q10)', 'max')}, {r('min(q90 - q10)', 'min')} from backtest"""),
     # streams
     "stream_latest": with_(EVENTS, body=f"""
-  select {S}, {T}, round(round({Y}, 4) + (round({Y}, 4) > 50)::int, 6) + 0.0 as {Y},
-    round(luu_luong_den, 4) + 0.0 as luu_luong_den, so_cua_xa_mat::bigint as so_cua_xa_mat from panel"""),
+  select {S}, {T}, {r(f'round({Y}, 4) + (round({Y}, 4) > 50)::int', Y)},
+    {r('round(luu_luong_den, 4)', 'luu_luong_den')}, so_cua_xa_mat::bigint as so_cua_xa_mat from panel"""),
     "stream_hourly": f"""
   select event_type, date_trunc('hour', ts) as {T}, {r('avg(value)', 'y')}, count(*) as n from events
   where date_trunc('hour', ts) + interval 1 hour <= (select max(ts) - interval 2 hour from events) group by 1, 2""",

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from brimline.catalog.inputs import (
+    SHIFT,
     comparable,
     events_panel,
     observation_pages,
@@ -39,7 +40,7 @@ from brimline.operators.windows import (
     window_rows,
 )
 from brimline.plans.prepare import prepare, prepare_splits
-from brimline.schema import LENGTH, POSITION, SITE, TARGET, TIME
+from brimline.schema import GATE_COLUMNS, LENGTH, POSITION, SITE, TARGET, TIME
 from brimline.session import scratch_path, use_utc
 from brimline.sources import crawl, pages, sinks
 from brimline.streaming.coverage import coverage_by_month, expected_polls
@@ -78,12 +79,17 @@ def backtest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fc.backtest_persistence(split_events(spark, sf_dir), HORIZON)
 
 
+def gates_as_double(df: DataFrame) -> DataFrame:
+    """Integer columns that may be NULL as doubles, which compare alike everywhere."""
+    return df.withColumns({c: F.col(c).cast("double") for c in GATE_COLUMNS})
+
+
 # --- sources -------------------------------------------------------------------------
 
 
 @query
 def crawl_ingest(spark, sf_dir):
-    return crawl.read_crawl(spark, write_crawl_files(spark, sf_dir))
+    return gates_as_double(crawl.read_crawl(spark, write_crawl_files(spark, sf_dir)))
 
 
 @query
@@ -96,7 +102,7 @@ def crawl_rejects(spark, sf_dir):
 @query
 def upload_batch(spark, sf_dir):
     root = write_crawl_files(spark, sf_dir)
-    return crawl.read_crawl(spark, [f"{root}/a", f"{root}/b"])
+    return gates_as_double(crawl.read_crawl(spark, [f"{root}/a", f"{root}/b"]))
 
 
 @query
@@ -109,7 +115,8 @@ def panel_csv_roundtrip(spark, sf_dir):
 @query
 def page_records(spark, sf_dir):
     rows = pages.extract_rows(observation_pages(spark, sf_dir), keep=["poll_time"])
-    return crawl.records_to_panel(pages.records(rows, keep=["page_id", "poll_time"])).drop("page_id", "poll_time")
+    panel = crawl.records_to_panel(pages.records(rows, keep=["page_id", "poll_time"]))
+    return gates_as_double(panel.drop("page_id", "poll_time"))
 
 
 @query
@@ -117,7 +124,7 @@ def month_append(spark, sf_dir):
     root = scratch_path(spark, "months")
     rows = pages.extract_rows(observation_pages(spark, sf_dir), keep=["poll_time"])
     sinks.append_records(pages.records(rows, keep=["poll_time"]), root)
-    return crawl.read_crawl(spark, root)
+    return gates_as_double(crawl.read_crawl(spark, root))
 
 
 @query
@@ -182,7 +189,7 @@ def tolerant_numbers(spark, sf_dir):
     items = table(spark, sf_dir, "lineitem").withColumn("text", text)
     return items.select(
         "l_orderkey", "l_linenumber",
-        tolerant_float(F.col("text")).alias("as_float"), tolerant_int(F.col("text")).alias("as_int"),
+        tolerant_float(F.col("text")).alias("as_float"), tolerant_int(F.col("text")).cast("double").alias("as_int"),
     )
 
 
@@ -383,7 +390,7 @@ def windows_per_site_cutoff(spark, sf_dir):
 def window_array_form(spark, sf_dir):
     rows = window_arrays(regular_events(spark, sf_dir), [TARGET], ENC, DEC)
     join = lambda c: F.array_join(
-        F.transform(c, lambda s: F.format_number(s[TARGET], 2)), "|"
+        F.transform(c, lambda s: F.floor((s[TARGET] + SHIFT) * 1e6).cast("string")), "|"
     )
     return rows.select(SITE, "origin_idx", F.md5(join("encoder")).alias("encoder"), F.md5(join("decoder")).alias("decoder"))
 
@@ -477,12 +484,10 @@ def future_steps(spark, sf_dir):
 @query
 def forecast_envelope(spark, sf_dir):
     # The q50 and q90 bands swapped, as of a model whose quantiles cross.
-    crossed = backtest(spark, sf_dir).withColumnsRenamed({"q50": "q90", "q90": "q50"})
-    kept, sorted_ = fc.envelope(crossed), fc.envelope(crossed, non_crossing=True)
     keys = [SITE, "origin_idx", "step"]
-    return kept.select(*keys, "lower", "median", "upper").join(
-        sorted_.select(*keys, F.col("median").alias("sorted_median")), keys
-    )
+    crossed = backtest(spark, sf_dir).select(*keys, "q10", F.col("q90").alias("q50"), F.col("q50").alias("q90"))
+    sorted_median = fc.envelope(crossed, non_crossing=True).withColumnRenamed("median", "sorted_median")
+    return fc.envelope(sorted_median.drop("lower", "upper")).select(*keys, "lower", "median", "upper", "sorted_median")
 
 
 @query
@@ -612,8 +617,8 @@ def stream_latest(spark, sf_dir):
 @query
 def stream_hourly(spark, sf_dir):
     root = scratch_path(spark, "hourly")
-    path = f"{sf_dir}/events.parquet"
-    source = spark.readStream.schema(spark.read.parquet(path).schema).parquet(path)
+    schema = spark.read.parquet(f"{sf_dir}/events.parquet").schema
+    source = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
     events = source.withColumn("ts", F.col("ts").cast("timestamp"))
     panes = hourly_stream(events, "event_type", "ts", "value")
     _drain(panes.writeStream.outputMode("append").format("parquet")

@@ -30,8 +30,8 @@ def tolerant_int(text: Column) -> Column:
 
 @cache
 def _folding() -> tuple[str, str, dict[str, str]]:
-    """Characters whose compatibility decomposition, less its marks, is something else:
-    one-to-one pairs for ``translate``, and the few that become several characters.
+    """What is kept of characters that decompose: one-to-one pairs for ``translate``, and
+    the few that become several letters or digits.
 
     Derived from the Unicode tables; Hangul syllables (letters either way) are left out.
     """
@@ -40,9 +40,9 @@ def _folding() -> tuple[str, str, dict[str, str]]:
         if 0xAC00 <= code <= 0xD7A3 or 0xD800 <= code <= 0xDFFF:
             continue
         char = chr(code)
-        base = "".join(c for c in unicodedata.normalize("NFKD", char) if not unicodedata.combining(c))
+        base = "".join(c for c in unicodedata.normalize("NFKD", char) if c.isalnum() or c.isspace())
         if base == char or not base:
-            continue
+            continue  # unchanged, or dropped as neither letter, digit nor space
         if len(base) == 1:
             source.append(char)
             folded.append(base)
@@ -56,16 +56,22 @@ def normalize_text(text: Column) -> Column:
     a letter of its own and stays)."""
     source, folded, several = _folding()
     text = F.coalesce(text, F.lit(""))
-    pairs = [F.lit(x) for kv in several.items() for x in kv]
-    spelled_out = F.array_join(
-        F.transform(F.split(text, ""), lambda c: F.coalesce(F.element_at(F.create_map(*pairs), c), c)), ""
-    )
-    expanded = F.when(text.rlike("[" + "".join(several) + "]"), spelled_out).otherwise(text)
+    # One literal each, folded once by the optimizer; looked up for non-ASCII letters only.
+    table = F.str_to_map(F.lit("\u0002".join(f"{k}\u0001{v}" for k, v in several.items())), F.lit("\u0002"), F.lit("\u0001"))
+    letter = lambda c: F.when(c > "\u007f", F.coalesce(F.element_at(table, c), c)).otherwise(c)
+    spelled_out = F.array_join(F.transform(F.split(text, ""), letter), "")
+    has_several = F.length(F.translate(text, "".join(several), "")) < F.length(text)
+    expanded = F.when(has_several, spelled_out).otherwise(text)
     plain = F.translate(expanded, source, folded)
-    kept = F.regexp_replace(plain, r"(?U)[^\p{L}\p{N}\s]", "")
+    kept = F.regexp_replace(plain, r"(?U)[^\p{L}\p{N}\s]+", "")
     return F.regexp_replace(F.lower(kept), r"(?U)^\s+|\s+$", "")
 
 
+def once(value: Column, use) -> Column:
+    """``use(value)`` with ``value`` computed once, however often ``use`` mentions it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 # Keyword rules from a normalised header to a record field, tried in order.
 # A rule holds when every group of alternatives has a keyword in the header.
 HEADER_RULES = [
@@ -85,14 +91,17 @@ HEADER_RULES = [
 
 def header_field(header: Column) -> Column:
     """Record field a table header stands for, NULL when none."""
-    plain = normalize_text(header)
-    out = None
-    for field, groups in HEADER_RULES:
-        holds = F.lit(True)
-        for group in groups:
-            holds = holds & F.greatest(*[plain.contains(k).cast("int") for k in group], F.lit(0)).cast("boolean")
-        out = F.when(holds, field) if out is None else out.when(holds, field)
-    return out
+
+    def rules(plain: Column) -> Column:
+        out = None
+        for field, groups in HEADER_RULES:
+            holds = F.lit(True)
+            for alternatives in groups:
+                holds = holds & plain.rlike("|".join(alternatives))
+            out = F.when(holds, field) if out is None else out.when(holds, field)
+        return out
+
+    return once(normalize_text(header), rules)
 
 
 def expand_colspans(cells: Column) -> Column:

@@ -28,7 +28,6 @@ from brimline.schema import (
 
 # Fixed value: text that marks a failure row written between the records.
 FAILURE_MARK = "{'vm': '84', 'lv': '23', 'hc': '4-47'"
-MAX_FIELDS = 64
 
 _ORDER = ["_path", "_block", "_line_no"]
 
@@ -56,17 +55,20 @@ def read_lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     )
 
 
+# A field: quoted (quotes inside doubled), or anything up to the next comma.
+_FIELD = r'(?:^|,)("(?:[^"]|"")*"(?=,|$)|[^,]*)'
+
+
 def _fields(line: Column) -> Column:
-    """Fields of a CSV line, padded to MAX_FIELDS; quoted commas stay inside a field."""
-    names = [f"c{i}" for i in range(MAX_FIELDS)]
-    parsed = F.from_csv(line, ", ".join(f"{n} string" for n in names), {"escape": '"'})
-    return F.array(*[parsed[n] for n in names])
+    """Fields of a CSV line; quoted commas stay inside a field."""
+    raw = F.regexp_extract_all(line, F.lit(_FIELD), F.lit(1))
+    return F.transform(raw, _unquoted)
 
 
-def _field_count(line: Column) -> Column:
-    """Separators outside quotes, plus one."""
-    bare = F.regexp_replace(line, r'"([^"]|"")*"', "")
-    return F.length(bare) - F.length(F.replace(bare, F.lit(","), F.lit(""))) + 1
+def _unquoted(field: Column) -> Column:
+    inner = F.substring(field, F.lit(2), F.length(field) - 2)
+    plain = F.when(field.startswith('"') & (F.length(field) > 1), F.replace(inner, F.lit('""'), F.lit('"')))
+    return F.nullif(F.coalesce(plain, field), F.lit(""))
 
 
 def _headers(lines: DataFrame) -> DataFrame:
@@ -80,8 +82,8 @@ def _headers(lines: DataFrame) -> DataFrame:
         .agg(F.min_by("line", "_line_no").alias("_header"))
     )
     renames = F.create_map(*[F.lit(x) for kv in RAW_TO_PANEL.items() for x in kv])
-    raw = F.slice(_fields(F.regexp_replace("_header", "^﻿", "")), 1, _field_count(F.col("_header")))
-    names = F.transform(raw, lambda c: F.coalesce(F.element_at(renames, F.trim(c)), F.trim(c)))
+    raw = _fields(F.regexp_replace("_header", "^\ufeff", ""))
+    names = F.transform(raw, lambda c: F.coalesce(F.element_at(renames, F.trim(c)), F.trim(c), F.lit("")))
     return first.withColumn("_names", names)
 
 
@@ -112,9 +114,8 @@ def parse_lines(
 
 def _typed(joined, tz, label_local_as_utc, year_rollover, strict, drop_marked) -> DataFrame:
     names = F.col("_names")
-    fields = _fields(F.col("line"))
     with_fields = joined.filter(F.trim("line") != "").withColumns(
-        {"_fields": fields, "_n": _field_count(F.col("line")), "_name": dated_name(F.col("_path"))}
+        {"_fields": _fields(F.col("line")), "_name": dated_name(F.col("_path"))}
     )
 
     def value(name: str) -> Column:
@@ -149,7 +150,7 @@ def _typed(joined, tz, label_local_as_utc, year_rollover, strict, drop_marked) -
     reason = (
         F.when(file_reason.isNotNull(), file_reason)
         .when(failure, "failure row")
-        .when(F.col("_n") > F.size(names), "too many fields")
+        .when(F.size("_fields") > F.size(names), "too many fields")
         .when(F.col(TIME).isNull(), "bad timestamp")
     )
     return typed.select(*PANEL_COLUMNS, reason.alias("reject_reason"), "line", *_ORDER)
