@@ -217,6 +217,17 @@ def _train_rows(df: DataFrame, holdout: int) -> DataFrame:
     return rows.filter(F.col(SPLIT) == "train") if SPLIT in df.columns else rows
 
 
+def _per_series(spread: DataFrame, site: str, key: str) -> DataFrame:
+    """A spread table as one row per series: a map from step (or season) to its band."""
+    band = F.struct("_lo", "_mid", "_hi")
+    return spread.groupBy(site).agg(F.map_from_entries(F.collect_list(F.struct(key, band))).alias("_spread"))
+
+
+def _spread_bands(base: Column, key: Column) -> list[Column]:
+    band = F.try_element_at("_spread", key)
+    return [(base + band[s]).alias(b) for s, b in zip(["_lo", "_mid", "_hi"], BANDS)]
+
+
 def backtest_persistence(
     df: DataFrame,
     horizon: int,
@@ -229,19 +240,23 @@ def backtest_persistence(
     chunk_steps: int = CHUNK_STEPS,
 ) -> DataFrame:
     """Persistence forecasts from *every* origin whose ``horizon`` rows ahead all exist and
-    that lies in ``split``, with the actual ``y``: the input of the evaluation operators."""
+    that lies in ``split``, with the actual ``y``: the input of the evaluation operators.
+
+    The spread joins the rows before they are paired with their horizon, so the pairs are
+    written by a projection and not shuffled.
+    """
     require(df, SPLIT)
     spread = persistence_spread(
         df.filter(F.col(SPLIT) == "train"), horizon, target, site, time, quantiles, chunk_steps
     )
     complete = (F.col(SPLIT) == split) & (F.col(POSITION) + F.lit(horizon) < F.col(LENGTH))
     pairs = horizon_pairs(
-        df, horizon, target, site, time, chunk_steps, keep=[SPLIT, LENGTH], origin_filter=complete
+        df, horizon, target, site, time, chunk_steps, keep=[SPLIT, LENGTH], origin_filter=complete,
+        series_stats=_per_series(spread, site, STEP),
     )
-    joined = pairs.join(spread, [site, STEP], "left")
-    return joined.select(
+    return pairs.select(
         site, ORIGIN, STEP, _ahead(F.col("origin_ts"), F.col(STEP), frequency).alias(time),
-        *[(F.col("y_origin") + F.col(s)).alias(b) for s, b in zip(["_lo", "_mid", "_hi"], BANDS)],
+        *_spread_bands(F.col("y_origin"), F.col(STEP)),
         "y",
     )
 
@@ -273,6 +288,7 @@ def backtest_seasonal(
     chunked = with_halo(
         df.select(site, time, POSITION, LENGTH, SPLIT, target), site, POSITION,
         back=max(back, horizon), chunk_steps=max(chunk_steps, back, horizon),
+        series_stats=_per_series(spread, site, "_k"),
     )
     w = chunk_window(site, POSITION)
     lags = F.array(*[F.lag(target, season * k).over(w) for k in range(1, seasons + 1)])
@@ -286,15 +302,10 @@ def backtest_seasonal(
         & (F.col(f"_o.{POSITION}") + F.lit(horizon) < F.col(LENGTH))
         & (F.col(f"_o.{POSITION}") >= season - 1)
     )
-    pairs = emitted.filter(usable).select(
+    return emitted.filter(usable).select(
         site, F.col(f"_o.{POSITION}").alias(ORIGIN), step.cast("int").alias(STEP), time,
-        k.alias("_k"), F.get("_lags", k - 1).alias("_base"), F.col(target).alias("y"),
-    )
-    joined = pairs.join(spread, [site, "_k"], "left")
-    return joined.select(
-        site, ORIGIN, STEP, time,
-        *[(F.col("_base") + F.col(s)).alias(b) for s, b in zip(["_lo", "_mid", "_hi"], BANDS)],
-        "y",
+        *_spread_bands(F.get("_lags", k - 1), k),
+        F.col(target).alias("y"),
     )
 
 

@@ -234,9 +234,13 @@ def _boundary_rows(
     first = floor_div(F.col("_anchor"), span)
     last = floor_div(F.col("_stop") - F.lit(step), span)
     chunks = series.withColumn(CHUNK, F.explode(F.sequence(first, last))).drop("_hi")
-    per_chunk = chunks.join(
-        pieces.drop("_lo", "_hi"), [site, CHUNK, "_phase"], "left"
-    )
+    # Each chunk with its piece, if any row fell into it. Grouped, not joined: a join would
+    # push its own key filters into one side, and the scan and shuffle behind `rows` could
+    # no longer be shared with the main branch. Pieces off the anchor's phase drop out.
+    keys = [site, CHUNK, "_phase"]
+    both = chunks.unionByName(pieces.drop("_lo", "_hi"), allowMissingColumns=True)
+    merged = [F.max(c).alias(c) for c in both.columns if c not in keys]
+    per_chunk = both.groupBy(*keys).agg(*merged).filter(F.col("_anchor").isNotNull())
 
     # One row per chunk from here on, so a window per series is small even for a long one.
     up = Window.partitionBy(site).orderBy(CHUNK)

@@ -132,13 +132,16 @@ def target_normalizer(df: DataFrame, target: str = TARGET, site: str = SITE) ->
     )
 
 
-def normalize_target(df: DataFrame, target: str = TARGET, site: str = SITE) -> DataFrame:
-    """Add ``{target}_norm``; the join broadcasts only when the measured size allows."""
+def normalize_target(
+    df: DataFrame, target: str = TARGET, site: str = SITE, chunk_steps: int = CHUNK_STEPS
+) -> DataFrame:
+    """Add ``{target}_norm`` by the mean and deviation of each series."""
+    require(df, site, target, POSITION)
     stats = target_normalizer(df, target, site)
+    rows = core(with_halo(df, site, POSITION, chunk_steps=chunk_steps, series_stats=stats))
     scale = F.when(F.col("target_scale") > 0, F.col("target_scale")).otherwise(1.0)
-    joined = df.join(stats, site, "left")
     value = (F.col(target) - F.col("target_center")) / scale
-    return joined.withColumn(f"{target}_norm", value).drop("target_center", "target_scale")
+    return rows.withColumn(f"{target}_norm", value).drop("target_center", "target_scale")
 
 
 def horizon_pairs(
@@ -151,16 +154,18 @@ def horizon_pairs(
     keep: list[str] = (),
     origin_filter: Column | None = None,
     label_keep: list[str] = (),
+    series_stats: DataFrame | None = None,
 ) -> DataFrame:
     """Each row as a forecast origin, paired with its next ``horizon`` rows.
 
     ``(site, origin_idx, origin_ts, y_origin, step, y)``, plus the ``keep`` columns at the
-    origin and ``label_{c}`` for the ``label_keep`` columns of the row ahead. The values ahead are read inside the chunk and its halo, so the pairs never
+    origin, ``label_{c}`` for the ``label_keep`` columns of the row ahead, and the columns of
+    ``series_stats`` (one row per site). The values ahead are read inside the chunk and its halo, so the pairs never
     travel through a shuffle; only the unexpanded rows do.
     """
     steps = max(chunk_steps, horizon)
     base = df.select(site, time, POSITION, target, *dict.fromkeys([*keep, *label_keep]))
-    chunked = with_halo(base, site, POSITION, ahead=horizon, chunk_steps=steps)
+    chunked = with_halo(base, site, POSITION, 0, horizon, steps, series_stats)
     ahead = chunk_window(site, POSITION).rowsBetween(1, horizon)
     labels = [F.col(c).alias(f"label_{c}") for c in label_keep]
     item = F.struct(F.col(POSITION).alias("i"), F.col(target).alias("y"), *labels)
@@ -187,8 +192,11 @@ def inference_frame(history: DataFrame, known_future: DataFrame) -> DataFrame:
     return past.unionByName(known_future.withColumn("is_future", F.lit(True)), allowMissingColumns=True)
 
 
-def mark_future(df: DataFrame, site: str = SITE, time: str = TIME) -> DataFrame:
+def mark_future(
+    df: DataFrame, site: str = SITE, time: str = TIME, chunk_steps: int = CHUNK_STEPS
+) -> DataFrame:
     """Restore ``is_future`` after gridding: rows after the last known history row."""
+    require(df, site, time, POSITION, "is_future")
     last = df.filter(~F.col("is_future")).groupBy(site).agg(F.max(time).alias("_last"))
-    joined = df.join(last, site, "left")
-    return joined.withColumn("is_future", F.coalesce(F.col(time) > F.col("_last"), F.lit(True))).drop("_last")
+    rows = core(with_halo(df, site, POSITION, chunk_steps=chunk_steps, series_stats=last))
+    return rows.withColumn("is_future", F.coalesce(F.col(time) > F.col("_last"), F.lit(True))).drop("_last")

@@ -38,18 +38,27 @@ def with_halo(
     back: int = 0,
     ahead: int = 0,
     chunk_steps: int = CHUNK_STEPS,
+    series_stats: DataFrame | None = None,
 ) -> DataFrame:
     """Rows keyed by chunk, shuffled once by ``(site, chunk)``.
 
     Each chunk also receives the ``back`` rows before it and the ``ahead`` rows after it,
     marked by ``_halo``. Drop them with :func:`core` once the windows are computed.
+
+    ``series_stats`` (one row per site) is joined on the way. A join by site would gather a
+    long series in one task; here the statistics are first spread to the chunks that
+    exist, and meet the rows in the partitioning those need anyway.
     """
     pos = F.col(position).cast("bigint")
     first = F.greatest(floor_div(pos - F.lit(ahead), chunk_steps), F.lit(0).cast("bigint"))
     last = floor_div(pos + F.lit(back), chunk_steps)
     own = floor_div(pos, chunk_steps)
     placed = df.withColumn(CHUNK, F.explode(F.sequence(first, last)))
-    return by_chunk(placed.withColumn(HALO, F.col(CHUNK) != own), site)
+    rows = by_chunk(placed.withColumn(HALO, F.col(CHUNK) != own), site)
+    if series_stats is None:
+        return rows
+    chunks = placed.select(site, CHUNK).distinct().join(series_stats, site)
+    return rows.join(by_chunk(chunks, site), [site, CHUNK], "left")
 
 
 def core(df: DataFrame) -> DataFrame:

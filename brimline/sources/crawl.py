@@ -28,6 +28,7 @@ from brimline.schema import (
 
 # Fixed value: text that marks a failure row written between the records.
 FAILURE_MARK = "{'vm': '84', 'lv': '23', 'hc': '4-47'"
+BROADCAST_FILES = 20_000
 
 _ORDER = ["_path", "_block", "_line_no"]
 
@@ -107,7 +108,9 @@ def parse_lines(
       fails the job with ``strict``.
     """
     headers = _headers(lines)
-    # One row per file; broadcast by Spark only when its measured size allows.
+    if len(lines.inputFiles()) <= BROADCAST_FILES:
+        headers = F.broadcast(headers)  # one row per file, so at most this many headers
+    # With more files Spark joins by path; adaptive execution splits a file that dominates.
     joined = lines.join(headers, "_path").filter(F.col("line") != F.col("_header"))
     return _typed(joined, tz, label_local_as_utc, year_rollover, strict, drop_marked)
 
