@@ -16,7 +16,8 @@ from brimline.operators.dedup import keep_last
 from brimline.schema import (
     FLOAT_COLUMNS,
     GATE_COLUMNS,
-    PANEL,
+    KNOWN_FUTURE,
+    OBSERVED,
     PANEL_COLUMNS,
     RAW_COLUMNS,
     RAW_TO_PANEL,
@@ -177,25 +178,24 @@ def read_crawl(spark: SparkSession, paths: str | list[str], tz: str = TIMEZONE,
     return panel_of(parse_lines(read_lines(spark, paths), tz, **options))
 
 
-def read_panel(spark: SparkSession, path: str | list[str], default_site: str = "SITE_001") -> DataFrame:
+def read_panel(
+    spark: SparkSession,
+    path: str | list[str],
+    default_site: str = "SITE_001",
+    numeric: list[str] = (*FLOAT_COLUMNS, *OBSERVED, *KNOWN_FUTURE),
+) -> DataFrame:
     """Panel CSV as written by the canonical sink, or by hand: ``timestamp`` is required
-    (ISO text, bad -> NULL), ``site_id`` defaults, other known columns are typed when there.
+    (ISO text, bad -> NULL) and ``site_id`` defaults. Gates are integers, ``numeric``
+    columns doubles (bad -> NULL), anything else stays text.
     """
     raw = spark.read.option("header", True).option("inferSchema", False).csv(path)
     require(raw, TIME)
     if SITE not in raw.columns:
         raw = raw.withColumn(SITE, F.lit(default_site))
-    types = {f.name: f.dataType.simpleString() for f in PANEL.fields}
-    cols = []
-    for c in raw.columns:
-        if c == TIME:
-            cols.append(F.col(c).try_cast("timestamp").alias(c))
-        elif c == SITE:
-            cols.append(F.col(c))
-        else:
-            x = number(F.col(c))
-            cols.append((x.try_cast("bigint") if types.get(c) == "bigint" else x).alias(c))
-    return raw.select(*cols)
+    typed = {TIME: F.col(TIME).try_cast("timestamp")}
+    typed |= {c: number(F.col(c)) for c in numeric if c in raw.columns}
+    typed |= {c: number(F.col(c)).try_cast("bigint") for c in GATE_COLUMNS if c in raw.columns}
+    return raw.withColumns(typed)
 
 
 def records_to_panel(

@@ -160,11 +160,13 @@ def test_table_helpers(spark):
 
 
 def test_panel_csv(spark, tmp_path):
-    path = write(tmp_path, **{"p": "timestamp,muc_thuong_luu\n2024-01-01T00:00:00Z,1.5\nbad,2\n"})
-    got = crawl.read_panel(spark, path).collect()
+    path = write(tmp_path, p="timestamp,muc_thuong_luu,note\n2024-01-01T00:00:00Z,1.5,x\nbad,2,y\n")
+    got = crawl.read_panel(spark, path).orderBy("note").collect()
     assert {r.site_id for r in got} == {"SITE_001"} and [r.timestamp is None for r in got] == [False, True]
+    assert [(r.muc_thuong_luu, r.note) for r in got] == [(1.5, "x"), (2.0, "y")]
+    (tmp_path / "q").mkdir()
     with pytest.raises(ValueError, match="timestamp"):
-        crawl.read_panel(spark, write(tmp_path / "q" if (tmp_path / "q").mkdir() is None else tmp_path, **{"x": "a\n1\n"}))
+        crawl.read_panel(spark, write(tmp_path / "q", x="a\n1\n"))
 
 
 def test_failure_rows(spark):
