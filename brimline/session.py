@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -19,18 +18,12 @@ def use_utc(spark: SparkSession) -> SparkSession:
 def shared_dir(spark: SparkSession) -> str:
     """Folder all executors reach, as named by the cluster in ``spark.checkpoint.dir``.
 
-    Only a local-mode session without that setting falls back to a temporary folder.
+    Where that is unset, a folder beside the tables of the warehouse, which is shared as well.
     """
     configured = spark.conf.get(CHECKPOINT_KEY, None)
     if configured:
         return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError(f"set {CHECKPOINT_KEY} to a folder all executors can reach")
-    fallback = spark.conf.get("spark.brimline.localScratch", None)
-    if fallback is None:
-        fallback = tempfile.mkdtemp(prefix="brimline-")
-        spark.conf.set("spark.brimline.localScratch", fallback)
-    return fallback
+    return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
