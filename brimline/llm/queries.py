@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brimline.llm import line_rules
+from brimline.llm import line_rules, mixing, sharding
 from brimline.llm.common import table
 from brimline.session import use_utc
 
@@ -72,3 +72,76 @@ SELECT *, n_words < {line_rules.MIN_WORDS} OR 100 * n_repeat_words > {line_rules
        NOT base_failed AND left_words >= {line_rules.MIN_LEFT_WORDS} AND left_words >= {line_rules.MIN_LEFT_SHARE} * n_words AS kept
 FROM o
 """
+
+
+@query
+def op2_extendible_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.place(table(spark, sf_dir, "documents"))
+
+
+# Depths up to 32 are enough for the tables SQL is run on; ids and texts are parted before.
+ORACLE["op2_extendible_shards"] = f"""
+WITH d AS (
+  SELECT doc_id, strlen(coalesce(text, ''))::BIGINT AS n_bytes,
+         ('0x' || substr(md5(coalesce(doc_id::VARCHAR, 'null')), 1, 15))::BIGINT AS h
+  FROM documents
+),
+a AS (
+  SELECT doc_id, n_bytes, k AS depth, substr(lpad(bin(h), 60, '0'), 1, k) AS shard
+  FROM d, range(0, 33) r(k)
+),
+n AS (SELECT depth, shard, sum(n_bytes)::BIGINT AS shard_bytes FROM a GROUP BY ALL)
+SELECT doc_id, shard, depth::INTEGER AS depth, n_bytes, shard_bytes
+FROM a JOIN n USING (depth, shard)
+WHERE shard_bytes <= {sharding.LIMIT_BYTES}
+QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY depth) = 1
+"""
+
+
+@query
+def op9_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = mixing.sampled(table(spark, sf_dir, "documents"))
+    return out.withColumn("probability", F.round("probability", 6))
+
+
+def _raking_sql() -> str:
+    w = "SELECT *, now AS w FROM cells"
+    for i in range(mixing.ROUNDS):
+        for m in mixing.MARGINS:
+            w = (
+                f"SELECT source, lang, topic, now, goal_source, goal_lang, goal_topic, "
+                f"w * goal_{m} / sum(w) OVER (PARTITION BY {m}) AS w FROM ({w})"
+            )
+    return w
+
+
+ORACLE["op9_source_mix"] = rf"""
+WITH d AS (
+  SELECT doc_id, coalesce(source, '') AS source, coalesce(lang, '') AS lang, coalesce(text, '') AS t,
+         len({_WORDS})::BIGINT AS n_tokens FROM documents
+),
+r AS (
+  SELECT doc_id, source, lang, n_tokens, CASE
+    WHEN (length(t) - length(translate(t, '|' || chr(9), ''))) / greatest(length(t), 1) > 0.02 THEN 'table'
+    WHEN (length(t) - length(translate(t, '0123456789', ''))) / greatest(length(t), 1) > 0.1 THEN 'numeric'
+    WHEN length(t) < 500 THEN 'note' ELSE 'prose' END AS topic
+  FROM d
+),
+c0 AS (SELECT source, lang, topic, sum(n_tokens)::DOUBLE AS now FROM r GROUP BY ALL HAVING sum(n_tokens) > 0),
+gs AS (SELECT source, pow(sum(now), {mixing.TEMPER["source"]}) AS s FROM c0 GROUP BY source),
+gl AS (SELECT lang, pow(sum(now), {mixing.TEMPER["lang"]}) AS s FROM c0 GROUP BY lang),
+gt AS (SELECT topic, pow(sum(now), {mixing.TEMPER["topic"]}) AS s FROM c0 GROUP BY topic),
+cells AS (
+  SELECT c0.*, gs.s / (SELECT sum(s) FROM gs) AS goal_source, gl.s / (SELECT sum(s) FROM gl) AS goal_lang,
+         gt.s / (SELECT sum(s) FROM gt) AS goal_topic
+  FROM c0 JOIN gs USING (source) JOIN gl USING (lang) JOIN gt USING (topic)
+),
+raked AS ({_raking_sql()}),
+p AS (SELECT source, lang, topic, (w / now) / max(w / now) OVER () AS probability FROM raked)
+SELECT doc_id, source, lang, topic, n_tokens, round(pr, 6) AS probability,
+       ('0x' || substr(md5(coalesce(doc_id::VARCHAR, 'null')), 1, {mixing.DRAW_DIGITS}))::BIGINT / {float(16 ** mixing.DRAW_DIGITS)} < pr AS kept
+FROM (
+  SELECT r.*, coalesce(probability, CASE WHEN n_tokens = 0 THEN 1.0 ELSE 0.0 END) AS pr
+  FROM r LEFT JOIN p USING (source, lang, topic)
+)
+"""
