@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brimline.llm import line_rules, mixing, sharding
+from brimline.llm import line_rules, mixing, pseudonyms, secret_scan, sharding
 from brimline.llm.common import table
 from brimline.session import use_utc
 
@@ -145,3 +145,21 @@ FROM (
   FROM r LEFT JOIN p USING (source, lang, topic)
 )
 """
+
+
+@query
+def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return secret_scan.scan(docs, secret_scan.train(secret_scan.labelled_tokens(docs)))
+
+
+#: A key for the registered query only; real runs pass their own.
+DEMONSTRATION_KEY = "brimline"
+
+
+@query
+def op5_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = pseudonyms.replace(table(spark, sf_dir, "documents"), DEMONSTRATION_KEY)
+    return out.select(
+        "doc_id", "text", *[F.col("pii_counts")[i].alias(f"n_{k}") for i, k in enumerate(pseudonyms.KINDS)]
+    )
