@@ -22,7 +22,7 @@ KINDS = ("email", "ip", "card", "phone", "ssn", "date")
 EMAIL = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}"
 IP = r"(?<![\d.])\d{1,3}(?:\.\d{1,3}){3}(?![\d]|\.\d)"
 CARD = r"(?<![\d])\d(?:[ -]?\d){12,18}(?!\d)"
-PHONE = r"\+1[ -]?\(?[2-9]\d{2}\)?[ -]?[2-9]\d{2}[ -]?\d{4}(?!\d)"
+PHONE = r"\+1[ -]?\(?\d{3}\)?[ -]?\d{3}[ -]?\d{4}(?!\d)"
 SSN = r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d]|-\d)"
 DATE = r"(?<![\d./-])(?:\d{4}-\d{2}-\d{2}|\d{2}[./]\d{2}[./]\d{4})(?![\d]|[./-]\d)"
 ANY = "|".join((EMAIL, PHONE, SSN, DATE, IP, CARD))
@@ -137,15 +137,21 @@ def ip(hit: Column, key: str) -> Column:
 
 
 def phone(hit: Column, key: str) -> Column:
-    """Ten digits of the plan: area and exchange begin with 2 to 9; the country code stays."""
+    """Country code 1 and ten digits; area and exchange each begin with 0 or 1, or with 2 to 9
+    as in assigned numbers, before and after."""
 
     def permuted(d: Column) -> Column:
         part = lambda a, n: number(F.substring(d, a, n))
-        left = (part(2, 3) - 200) * 8 + part(5, 1) - 2
+        area, exchange = part(2, 3), part(5, 1)
+        assigned = area >= 200
+        open_ = exchange >= 2
+        areas, area0 = F.when(assigned, F.lit(800)).otherwise(F.lit(200)), F.when(assigned, F.lit(200)).otherwise(F.lit(0))
+        firsts, first0 = F.when(open_, F.lit(8)).otherwise(F.lit(2)), F.when(open_, F.lit(2)).otherwise(F.lit(0))
         new = bind(
-            feistel(left, part(6, 6), 6400, 1_000_000, key, "phone"),
+            feistel((area - area0) * firsts + exchange - first0, part(6, 6), (areas * firsts).cast("long"), 1_000_000, key, "phone"),
             lambda s: F.concat(
-                F.lit("1"), (F.floor(s["l"] / 8) + 200).cast("string"), (s["l"] % 8 + 2).cast("string"), padded(s["r"], 6)
+                F.lit("1"), padded((F.floor(s["l"] / firsts) + area0).cast("long"), 3),
+                (s["l"] % firsts + first0).cast("string"), padded(s["r"], 6),
             ),
         )
         return poured(new, hit)
