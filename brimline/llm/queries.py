@@ -5,16 +5,26 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brimline.llm import line_rules, mixing, pseudonyms, secret_scan, sharding
+from brimline.llm import id_store, line_rules, mixing, packing, pseudonyms, secret_scan, sharding
 from brimline.llm.common import table
-from brimline.session import use_utc
+from brimline.llm.tokens import VOCABULARY
+from brimline.session import scratch_path, use_utc
 
 QUERIES = {}
 ORACLE = {}
 
 
+#: Rows handed to Python at once: a batch of long texts must fit beside the task.
+BATCH_ROWS = "1000"
+
+
+def prepared(spark: SparkSession) -> SparkSession:
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+    return use_utc(spark)
+
+
 def query(fn):
-    QUERIES[fn.__name__] = lambda spark, sf_dir: fn(use_utc(spark), sf_dir)
+    QUERIES[fn.__name__] = lambda spark, sf_dir: fn(prepared(spark), sf_dir)
     return fn
 
 
@@ -163,3 +173,18 @@ def op5_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select(
         "doc_id", "text", *[F.col("pii_counts")[i].alias(f"n_{k}") for i, k in enumerate(pseudonyms.KINDS)]
     )
+
+
+@query
+def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), VOCABULARY)
+
+
+END_ID = 2
+
+
+@query
+def op8_id_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "ids")
+    id_store.write_ids(table(spark, sf_dir, "documents"), path, VOCABULARY, END_ID)
+    return id_store.read_ids(spark, path)
