@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brimline.llm import id_store, line_rules, mixing, packing, pseudonyms, secret_scan, sharding
+from brimline.llm import id_store, line_rules, mixing, packing, pseudonyms, secret_scan, sharding, simhash
 from brimline.llm.common import table
 from brimline.llm.tokens import VOCABULARY
 from brimline.session import scratch_path, use_utc
@@ -188,3 +188,9 @@ def op8_id_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "ids")
     id_store.write_ids(table(spark, sf_dir, "documents"), path, VOCABULARY, END_ID)
     return id_store.read_ids(spark, path)
+
+
+@query
+def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = simhash.near_copies(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", simhash.hexadecimal("fp").alias("fingerprint"), "component_id")
