@@ -2,16 +2,34 @@
 
 from __future__ import annotations
 
+import os
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brimline.session import scratch_path
+from brimline.session import scratch_path, use_utc
 
 #: Fixed value: what separates words, as the inside of a character class.
 BLANKS = r"\x20\x09-\x0D"
 BLANK_CHARS = " \t\n\x0b\x0c\r"
 
 
+#: Bytes handed to Python at once; long texts then come in small batches.
+BATCH_BYTES = 16 << 20
+
+
+def prepared(spark: SparkSession) -> SparkSession:
+    """What the operators rely on: UTC, bounded batches for Python, and workers that find this
+    package where the driver has it (a cluster without that folder has it installed)."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    env = spark.sparkContext.environment
+    root = str(Path(__file__).resolve().parents[2])
+    if root not in env.get("PYTHONPATH", "").split(os.pathsep):
+        env["PYTHONPATH"] = os.pathsep.join(filter(None, [env.get("PYTHONPATH"), root]))
+    return use_utc(spark)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -5,24 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brimline.llm import id_store, line_rules, mixing, packing, pseudonyms, secret_scan, sharding, simhash
-from brimline.llm.common import table
+from brimline.llm import id_store, line_rules, mixing, packing, pseudonyms, secret_scan, sharding, simhash, topk
+from brimline.llm.common import prepared, table
 from brimline.llm.tokens import VOCABULARY
-from brimline.session import scratch_path, use_utc
+from brimline.session import scratch_path
 
 QUERIES = {}
 ORACLE = {}
 
 
-#: Rows handed to Python at once: a batch of long texts must fit beside the task.
-BATCH_ROWS = "1000"
-
-
-def prepared(spark: SparkSession) -> SparkSession:
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
-    return use_utc(spark)
-
-
 def query(fn):
     QUERIES[fn.__name__] = lambda spark, sf_dir: fn(prepared(spark), sf_dir)
     return fn
@@ -194,3 +185,22 @@ def op8_id_store(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = simhash.near_copies(table(spark, sf_dir, "documents"))
     return out.select("doc_id", simhash.hexadecimal("fp").alias("fingerprint"), "component_id")
+
+
+@query
+def op3_norm_bucket_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, k=10)
+
+
+ORACLE["op3_norm_bucket_top_k"] = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+),
+s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.e, c.e)::BIGINT AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 100 = 0
+)
+SELECT query_id, (row_number() OVER w)::INTEGER AS rank, vec_id, score FROM s
+QUALIFY row_number() OVER w <= 10 WINDOW w AS (PARTITION BY query_id ORDER BY score DESC, vec_id)
+"""
