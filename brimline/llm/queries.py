@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brimline.llm import id_store, line_rules, mixing, packing, pseudonyms, secret_scan, sharding, simhash, topk
+from brimline.llm import id_store, line_rules, mixing, packing, pseudonyms, quality_model, secret_scan, sharding, simhash, topk
 from brimline.llm.common import prepared, table
 from brimline.llm.tokens import VOCABULARY
 from brimline.session import scratch_path
@@ -21,11 +21,10 @@ def query(fn):
 
 @query
 def op10_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = line_rules.judge(table(spark, sf_dir, "documents"))
-    return out.select(
-        F.col("_id").alias("doc_id"), "n_words", "word_chars", "n_symbols", "n_dup_lines",
-        "n_repeat_words", "base_failed", "left_words", "kept",
-    )
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    out = line_rules.with_verdict(docs, "v")
+    figures = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "left_words", "kept"]
+    return out.select("doc_id", *[F.col("v")[c].alias(c) for c in figures])
 
 
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
@@ -101,7 +100,8 @@ QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY depth) = 1
 
 @query
 def op9_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = mixing.sampled(table(spark, sf_dir, "documents"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    out = mixing.drawn(docs, "d", mixing.chances(docs)).select("doc_id", "d.*")
     return out.withColumn("probability", F.round("probability", 6))
 
 
@@ -202,5 +202,11 @@ s AS (
   FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 100 = 0
 )
 SELECT query_id, (row_number() OVER w)::INTEGER AS rank, vec_id, score FROM s
-QUALIFY row_number() OVER w <= 10 WINDOW w AS (PARTITION BY query_id ORDER BY score DESC, vec_id)
+WINDOW w AS (PARTITION BY query_id ORDER BY score DESC, vec_id) QUALIFY row_number() OVER w <= 10
 """
+
+
+@query
+def op1_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = quality_model.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return out.withColumns({c: F.round(c, 4) for c in ("perplexity", "threshold")})
