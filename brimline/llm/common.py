@@ -55,11 +55,15 @@ def settled(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def add_columns(df: DataFrame, cols: dict[str, Column]) -> DataFrame:
-    """New columns; those of the same name, in any case, are replaced."""
-    taken = {c.lower() for c in cols}
-    return df.select(*[F.col(f"`{c}`") for c in df.columns if c.lower() not in taken],
-                     *[v.alias(k) for k, v in cols.items()])
+def bind(value: Column, use) -> Column:
+    """``use(value)`` with the value worked out once, though used often, also inside lambdas."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
+def in_place(condition: Column) -> Column:
+    """A condition that Spark works out where it stands. Else a filter on it moves below the
+    columns it is made of, which puts their expressions into each other."""
+    return condition & (F.monotonically_increasing_id() >= 0)
 
 
 def fresh(df: DataFrame, name: str) -> str:

@@ -16,6 +16,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from brimline.llm.common import bind
+
 ROUNDS = 8
 KINDS = ("email", "ip", "card", "phone", "ssn", "date")
 
@@ -56,11 +58,6 @@ def feistel(left: Column, right: Column, a: Column | int, b: Column | int, key:
     return F.aggregate(F.sequence(F.lit(1), F.lit(ROUNDS)), start, step)
 
 
-def bind(value: Column, use) -> Column:
-    """``use(value)`` with the value worked out once."""
-    return F.element_at(F.transform(F.array(value), use), 1)
-
-
 def digits_of(c: Column) -> Column:
     return F.regexp_replace(c, r"\D", "")
 

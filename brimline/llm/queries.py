@@ -90,10 +90,10 @@ a AS (
   SELECT doc_id, n_bytes, k AS depth, substr(lpad(bin(h), 60, '0'), 1, k) AS shard
   FROM d, range(0, 33) r(k)
 ),
-n AS (SELECT depth, shard, sum(n_bytes)::BIGINT AS shard_bytes FROM a GROUP BY ALL)
+n AS (SELECT depth, shard, sum(n_bytes)::BIGINT AS shard_bytes, count(*) AS n FROM a GROUP BY ALL)
 SELECT doc_id, shard, depth::INTEGER AS depth, n_bytes, shard_bytes
 FROM a JOIN n USING (depth, shard)
-WHERE shard_bytes <= {sharding.LIMIT_BYTES}
+WHERE shard_bytes <= {sharding.LIMIT_BYTES} OR n = 1
 QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY depth) = 1
 """
 

@@ -23,7 +23,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from brimline.llm.common import text_of
+from brimline.llm.common import bind, text_of
 
 #: The patterns of the three base kinds, in the order of the listing. Runs
 #: shorter than asked for cannot hold a longer one, so their minimum stands in the pattern.
@@ -116,7 +116,7 @@ def ratio(token: Column, models: Models) -> Column:
         F.sequence(F.lit(1), F.size(codes) - 1), F.lit(0.0),
         lambda a, k: a + F.get(table, F.get(codes, k - 1) * models.width + F.get(codes, k)),
     )
-    return F.element_at(F.transform(F.array(codes), add), 1)
+    return bind(codes, add)
 
 
 def lengths(parts: Column) -> Column:
@@ -216,7 +216,7 @@ def masked(docs: DataFrame, models: Models | None, mask: str = "[SECRET]") -> Da
         return F.concat(F.array_join(before, ""), rest)
 
     new = F.when(F.col("_span_s").isNull(), F.col("text")).otherwise(
-        F.element_at(F.transform(F.array(chars), rebuilt), 1)
+        bind(chars, rebuilt)
     )
     out = out.withColumn("text", new)
     if "n_chars" in docs.columns:

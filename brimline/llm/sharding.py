@@ -5,8 +5,8 @@ bucket is a prefix; one that holds more bytes than the limit is split on the nex
 others stay. A round counts bytes per fine prefix in one shuffle, adds them up to all coarser
 prefixes, and reads off every split down to that depth at once; only what is still too full
 goes into the next round, so the number of rounds follows the depth and not the data. What
-120 bits cannot part (equal rows) is cut into overflow pages by running bytes, so every shard
-is within the limit unless a single document is larger.
+120 bits cannot part (equal rows) is cut into overflow pages, so every shard is within the
+limit unless it is a single document that is larger.
 
 Nulls: a NULL id or text is hashed as a word of its own and takes no bytes. An empty table
 has no shards. Repeated rows are each placed. Other columns are carried by ``write_shards``.
@@ -54,13 +54,13 @@ def split_round(rows: DataFrame, top: int, limit: int) -> DataFrame:
     fine = top + ROUND_BITS
     counts = (
         rows.groupBy(_prefix(fine, F.col("_h1"), F.col("_h2")).alias("_fine"))
-        .agg(F.sum("_bytes").alias("_bytes"))
+        .agg(F.sum("_bytes").alias("_bytes"), F.count(F.lit(1)).alias("_n"))
     )
-    up = counts.select("_fine", "_bytes", F.explode(F.sequence(F.lit(top), F.lit(fine))).alias("_depth"))
+    up = counts.select("_fine", "_bytes", "_n", F.explode(F.sequence(F.lit(top), F.lit(fine))).alias("_depth"))
     up = up.withColumn("_shard", F.expr("substring(_fine, 1, _depth)"))
-    nodes = up.groupBy("_depth", "_shard").agg(F.sum("_bytes").alias("_shard_bytes"))
-    # the shallowest prefix within the limit; the deepest one if none is
-    fits = up.join(nodes, ["_depth", "_shard"]).withColumn("_fits", F.col("_shard_bytes") <= limit)
+    nodes = up.groupBy("_depth", "_shard").agg(F.sum("_bytes").alias("_shard_bytes"), F.sum("_n").alias("_rows"))
+    # the shallowest prefix within the limit or with one document; the deepest one if none is
+    fits = up.join(nodes, ["_depth", "_shard"]).withColumn("_fits", (F.col("_shard_bytes") <= limit) | (F.col("_rows") == 1))
     pick = F.struct("_depth", "_shard", "_shard_bytes")
     best = fits.groupBy("_fine").agg(
         F.min(F.when(F.col("_fits"), pick)).alias("_in"), F.max(pick).alias("_deepest")
@@ -72,22 +72,6 @@ def split_round(rows: DataFrame, top: int, limit: int) -> DataFrame:
     )
 
 
-def directory(rows: DataFrame, limit: int) -> list[tuple[int, DataFrame]]:
-    """For each round the bits of its fine prefixes and its buckets, written to the shared folder."""
-    levels = []
-    top = 0
-    while True:
-        found = settled(split_round(rows, top, limit), f"directory-{top}")
-        fine = top + ROUND_BITS
-        levels.append((fine, found))
-        full = found.filter("_full")
-        if fine >= 2 * KEY_BITS or full.isEmpty():
-            return levels
-        at = rows.withColumn("_fine", _prefix(fine, F.col("_h1"), F.col("_h2")))
-        rows = at.join(full.select("_fine"), "_fine", "left_semi").drop("_fine")
-        top = fine
-
-
 def overflow(rows: DataFrame, limit: int) -> DataFrame:
     """Pages for rows of one full key: running bytes over the tasks' parts of the key.
 
@@ -111,16 +95,20 @@ def overflow(rows: DataFrame, limit: int) -> DataFrame:
 def place(docs: DataFrame, limit: int = LIMIT_BYTES) -> DataFrame:
     """Each document with its shard: ``doc_id, shard`` (prefix bits, then ``.page`` for overflow),
     ``depth, n_bytes, shard_bytes``."""
-    rows = documents_to_place(docs)
-    levels = directory(rows, limit)
-    last = len(levels) - 1
-    done, rest = [], rows
-    for i, (fine, buckets) in enumerate(levels):
-        at = rest.withColumn("_fine", _prefix(fine, F.col("_h1"), F.col("_h2"))).join(buckets, "_fine").drop("_fine")
+    rest = documents_to_place(docs)
+    done = []
+    top = 0
+    while True:
+        buckets = settled(split_round(rest, top, limit), f"directory-{top}")
+        top += ROUND_BITS
+        at = rest.withColumn("_fine", _prefix(top, F.col("_h1"), F.col("_h2"))).join(buckets, "_fine").drop("_fine")
         done.append(at.filter(~F.col("_full")).withColumn("_page", F.lit(None).cast("long")))
-        if i == last and not buckets.filter("_full").isEmpty():
+        if buckets.filter("_full").isEmpty():
+            break
+        if top >= 2 * KEY_BITS:
             done.append(overflow(at.filter("_full"), limit))
-        rest = at.filter("_full").drop("_shard", "_depth", "_shard_bytes", "_full")
+            break
+        rest = settled(at.filter("_full").select("_id", "_h1", "_h2", "_bytes"), "still-full")
     out = reduce(DataFrame.unionByName, done)
     paged = F.col("_page").isNotNull()
     return out.select(
