@@ -119,9 +119,14 @@ def place(docs: DataFrame, limit: int = LIMIT_BYTES) -> DataFrame:
     )
 
 
+#: Partition column of written shards; to be read as text, since prefixes may start with 0.
+SHARD_COLUMN = "_shard"
+
+
 def write_shards(docs: DataFrame, placed: DataFrame, path: str) -> None:
     """Documents into one folder per shard; the rows of a shard meet in one task, which the
-    byte limit bounds."""
-    ids = placed.select(F.col("doc_id").alias("_placed_id"), F.col("shard").alias("_shard")).distinct()
+    byte limit bounds. The one shard of no prefix is called ``all``."""
+    name = F.when(F.col("shard") == "", "all").otherwise(F.col("shard"))
+    ids = placed.select(F.col("doc_id").alias("_placed_id"), name.alias(SHARD_COLUMN)).distinct()
     rows = docs.join(ids, F.col("doc_id").eqNullSafe(F.col("_placed_id"))).drop("_placed_id")
-    rows.repartition("_shard").write.partitionBy("_shard").parquet(path)
+    rows.repartition(SHARD_COLUMN).write.partitionBy(SHARD_COLUMN).parquet(path)
