@@ -16,7 +16,7 @@ BLANK_CHARS = " \t\n\x0b\x0c\r"
 
 
 #: Bytes handed to Python at once; long texts then come in small batches.
-BATCH_BYTES = 16 << 20
+BATCH_BYTES = 8 << 20
 
 
 def prepared(spark: SparkSession) -> SparkSession:

@@ -29,7 +29,7 @@ from brimline.llm.tokens import ID_BYTES, encoder, vocabulary_path
 CAPACITY = 2048
 SEPARATOR = 0
 #: Texts are encoded in groups of about this many characters.
-GROUP_CHARS = 4_000_000
+GROUP_CHARS = 2_000_000
 
 
 def groups(texts: list[str], most: int = GROUP_CHARS) -> Iterator[tuple[int, int]]:
