@@ -22,7 +22,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from brimline.llm.common import BLANKS, fresh, settled, text_of
+from brimline.llm.common import BLANKS, settled, text_of
 
 MARGINS = ("source", "lang", "topic")
 #: Exponent on the present share of each value; below 1 it lifts small ones, 1 keeps them.
@@ -52,12 +52,13 @@ def draw(doc_id: Column) -> Column:
     return F.conv(digits, 16, 10).cast("double") / F.lit(float(16**DRAW_DIGITS))
 
 
-def weighed(docs: DataFrame, topic_column: str | None = None) -> DataFrame:
-    """``_id, source, lang, topic, n_tokens`` of each document."""
+def weighed(docs: DataFrame, topic_column: str | None = None, whole: bool = False) -> DataFrame:
+    """``_id, source, lang, topic, n_tokens`` of each document, and the row itself as ``_row``."""
     text = text_of()
     value = lambda c: F.coalesce(F.col(f"`{c}`").cast("string"), F.lit(""))
+    row = [F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")] if whole else []
     return docs.select(
-        F.col("doc_id").cast("long").alias("_id"), value("source").alias("source"), value("lang").alias("lang"),
+        *row, F.col("doc_id").cast("long").alias("_id"), value("source").alias("source"), value("lang").alias("lang"),
         (value(topic_column) if topic_column else topic(text)).alias("topic"), tokens(text).alias("n_tokens"),
     )
 
@@ -112,37 +113,25 @@ def probabilities(raked: DataFrame) -> DataFrame:
     return scale.crossJoin(F.broadcast(most)).select(*MARGINS, (F.col("_s") / F.col("_most")).alias("probability"))
 
 
-def chances(docs: DataFrame, topic_column: str | None = None, targets: dict[str, DataFrame] | None = None,
-            temper: dict[str, float] | None = None, rounds: int = ROUNDS) -> DataFrame:
-    """``source, lang, topic, probability`` of every cell with tokens, written to the shared
-    folder: Spark then knows its size when it chooses how to join it with the documents."""
-    cells = cells_of(weighed(docs, topic_column))
-    return settled(probabilities(rake(cells, targets, temper, rounds)), "probabilities")
+def chances(rows: DataFrame, targets: dict[str, DataFrame] | None = None, temper: dict[str, float] | None = None,
+            rounds: int = ROUNDS) -> DataFrame:
+    """``source, lang, topic, probability`` of every cell of weighed rows with tokens, written to
+    the shared folder: Spark then knows its size when it chooses how to join it."""
+    return settled(probabilities(rake(cells_of(rows), targets, temper, rounds)), "probabilities")
 
 
-def drawn(docs: DataFrame, name: str, table: DataFrame, topic_column: str | None = None) -> DataFrame:
-    """The rows with a struct ``name``: ``source, lang, topic, n_tokens, probability, kept``."""
-    value = lambda c: F.coalesce(F.col(f"`{c}`").cast("string"), F.lit(""))
-    text = text_of()
-    rows = docs.select(
-        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), value("source").alias("source"),
-        value("lang").alias("lang"), (value(topic_column) if topic_column else topic(text)).alias("topic"),
-        tokens(text).alias("n_tokens"),
-    )
+def drawn(rows: DataFrame, table: DataFrame) -> DataFrame:
+    """Weighed rows with ``probability`` and ``kept``."""
     same = reduce(lambda a, b: a & b, [F.col(f"r.{m}") == F.col(f"p.{m}") for m in MARGINS])
-    out = rows.alias("r").join(table.alias("p"), same, "left").select(
-        "_row", *[f"r.{m}" for m in MARGINS], "n_tokens",
+    chance = (
         F.when(F.col("n_tokens") == 0, F.coalesce("probability", F.lit(1.0)))
-        .otherwise(F.coalesce("probability", F.lit(0.0))).alias("probability"),
-    )
-    kept = (draw(F.col("_row.doc_id")) < F.col("probability")).alias("kept")
-    return out.select(
-        *[F.col("_row")[c].alias(c) for c in docs.columns], F.struct(*MARGINS, "n_tokens", "probability", kept).alias(name)
+        .otherwise(F.coalesce("probability", F.lit(0.0)))
     )
+    out = rows.alias("r").join(table.alias("p"), same, "left").select("r.*", chance.alias("probability"))
+    return out.withColumn("kept", draw(F.col("_id")) < F.col("probability"))
 
 
-def kept_documents(docs: DataFrame, **options) -> DataFrame:
+def kept_documents(docs: DataFrame, topic_column: str | None = None, **options) -> DataFrame:
     """The documents drawn, with their columns."""
-    name = fresh(docs, "_draw")
-    table = chances(docs, **options)
-    return drawn(docs, name, table, options.get("topic_column")).filter(F.col(name)["kept"]).drop(name)
+    table = chances(weighed(docs, topic_column), **options)
+    return drawn(weighed(docs, topic_column, whole=True), table).filter("kept").select("_row.*")

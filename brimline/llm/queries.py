@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from brimline.llm import id_store, line_rules, mixing, packing, pseudonyms, quality_model, secret_scan, sharding, simhash, topk
-from brimline.llm.common import prepared, table
+from brimline.llm.common import prepared, settled, table
 from brimline.llm.tokens import VOCABULARY
 from brimline.session import scratch_path
 
@@ -100,8 +100,8 @@ QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY depth) = 1
 
 @query
 def op9_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
-    out = mixing.drawn(docs, "d", mixing.chances(docs)).select("doc_id", "d.*")
+    rows = settled(mixing.weighed(table(spark, sf_dir, "documents")), "weighed")
+    out = mixing.drawn(rows, mixing.chances(rows)).withColumnRenamed("_id", "doc_id")
     return out.withColumn("probability", F.round("probability", 6))
 
 

@@ -160,7 +160,8 @@ def test_sample_follows_probabilities(spark):
         F.col("id").alias("doc_id"), F.repeat(F.lit("word "), 20).alias("text"),
         F.when(F.col("id") % 10 < 7, "big").otherwise("small").alias("source"), F.lit("en").alias("lang"),
     )
-    out = mixing.drawn(docs, "d", mixing.chances(docs)).select("d.*")
+    rows = mixing.weighed(docs)
+    out = mixing.drawn(rows, mixing.chances(rows))
     got = {r.source: (r.p, r.k) for r in out.groupBy("source").agg(F.max("probability").alias("p"), F.avg(F.col("kept").cast("int")).alias("k")).collect()}
     assert got["small"][0] == pytest.approx(1.0) and got["small"][1] == 1.0
     assert got["big"][0] == pytest.approx((7 / 3) ** -0.3)
@@ -168,9 +169,8 @@ def test_sample_follows_probabilities(spark):
 
 
 def test_mixing_edges(edge_docs, edge_rows, no_docs):
-    out = mixing.drawn(edge_docs, "d", mixing.chances(edge_docs))
-    assert out.columns == [*edge_docs.columns, "d"]
-    got = Counter((r.doc_id, r.d.source, r.d.lang, r.d.n_tokens) for r in out.collect())
+    rows = mixing.weighed(edge_docs)
+    got = Counter((r["_id"], r.source, r.lang, r.n_tokens) for r in mixing.drawn(rows, mixing.chances(rows)).collect())
     assert got == Counter((r[0], r[3] or "", r[2] or "", len(WORD.findall(r[1] or ""))) for r in edge_rows)
     kept = mixing.kept_documents(edge_docs)
     assert kept.columns == edge_docs.columns and 0 < kept.count() <= len(edge_rows)

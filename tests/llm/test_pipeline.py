@@ -33,8 +33,9 @@ def test_stages_and_run(spark, whole):  # noqa: F811
         assert r.n_chars == (len(r.text) if found else r.n_chars)
         assert not any(before[r.doc_id][a:b] in r.text for a, _, b in found)
 
-    chance = mixing.drawn(steps[3], "d", mixing.chances(steps[3])).select("doc_id", "d.kept").collect()
-    assert {r.doc_id for r in rows[4]} == {r.doc_id for r in chance if r.kept}
+    weighed = mixing.weighed(steps[3])
+    chance = mixing.drawn(weighed, mixing.chances(weighed)).collect()
+    assert {r.doc_id for r in rows[4]} == {r["_id"] for r in chance if r.kept}
     assert len(rows[4]) > len(rows[3]) / 2
 
     check_packing(rows[5], [(r.doc_id, r.text) for r in rows[4]], whole, 2048)
