@@ -561,8 +561,12 @@ binned as (select least(floor((e - lo) / (hi - lo) * 50)::int + 1, 50) as bin, c
   select {S}, {T}, {r(f'round({Y}, 4) + (round({Y}, 4) > 50)::int', Y)},
     {r('round(luu_luong_den, 4)', 'luu_luong_den')}, so_cua_xa_mat::bigint as so_cua_xa_mat from panel"""),
     "stream_hourly": f"""
-  select event_type, date_trunc('hour', ts) as {T}, {r('avg(value)', 'y')}, count(*) as n from events
-  where date_trunc('hour', ts) + interval 1 hour <= (select max(ts) - interval 2 hour from events) group by 1, 2""",
+  select event_type, date_trunc('hour', ts) as {T}, {r('avg(value)', 'y')}, count(*) as n from events group by 1, 2""",
+    "grouped_quantiles_large": f"""
+  select l_returnflag, {', '.join(f"{r(f'min(v) filter (k >= ceil({q} * n))', name)}" for q, name in
+                                 [(0.05, 'p05'), (0.1, 'p10'), (0.5, 'p50'), (0.9, 'p90'), (0.999, 'p999')])}, max(n) as n_obs
+  from (select l_returnflag, l_extendedprice as v, row_number() over (partition by l_returnflag order by l_extendedprice) as k,
+               count(*) over (partition by l_returnflag) as n from lineitem) group by 1""",
     "poll_coverage": """
   select strftime(t, '%Y-%m') as month, count(*) as expected, count(g) as received, count(*) - count(g) as missing
   from (select unnest(generate_series(timestamp '2023-12-31', timestamp '2024-02-01', interval 10 minute)) as t) e

@@ -16,6 +16,7 @@ from brimline.catalog.inputs import (
     users_panel,
     write_crawl_files,
 )
+from brimline.functions.stats import grouped_quantiles
 from brimline.functions.text import (
     expand_colspans,
     header_field,
@@ -621,9 +622,16 @@ def stream_hourly(spark, sf_dir):
     source = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
     events = source.withColumn("ts", F.col("ts").cast("timestamp"))
     panes = hourly_stream(events, "event_type", "ts", "value")
-    _drain(panes.writeStream.outputMode("append").format("parquet")
-           .option("path", f"{root}/out").option("checkpointLocation", f"{root}/state"))
-    return spark.read.parquet(f"{root}/out")
+    _drain(write_updates(panes, f"{root}/out", f"{root}/state"))
+    updates = spark.read.option("basePath", f"{root}/out").parquet(f"{root}/out")
+    return keep_last(updates, ["event_type", TIME], ["batch_id"], drop=["batch_id"])
+
+
+@query
+def grouped_quantiles_large(spark, sf_dir):
+    """Groups well above the size that one sketch answers exactly."""
+    lines = table(spark, sf_dir, "lineitem").select("l_returnflag", "l_extendedprice")
+    return grouped_quantiles(lines, ["l_returnflag"], "l_extendedprice", [0.05, 0.1, 0.5, 0.9, 0.999], ["p05", "p10", "p50", "p90", "p999"])
 
 
 @query

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from brimline.session import scratch_path
+
 # Coefficients of algorithm AS 241 (PPND16, Wichura 1988) for the normal
 # quantile, highest power first.
 CENTRAL_NUM = [
@@ -64,15 +66,50 @@ def grouped_quantiles(
     df: DataFrame, keys: list[str], value: str, quantiles: list[float], names: list[str],
     accuracy: int = 10_000,
 ) -> DataFrame:
-    """Empirical quantiles (an observed value, rank ``ceil(q * n)``) per group.
+    """Empirical quantiles (an observed value, rank ``ceil(q * n)``) per group, exact at any size.
 
-    A mergeable sketch of bounded size: each task reduces its own rows, and a group that
-    holds a third of the data costs no more memory than any other. Groups of up to
-    ``accuracy`` rows are exact; beyond that the rank is off by at most ``n / accuracy``.
+    A mergeable sketch of bounded size comes first: each task reduces its own rows, and a
+    group that holds a third of the data costs no more memory than any other. It is exact for
+    groups of up to ``accuracy / 4`` rows. In larger ones it may be off by ``n / accuracy`` ranks
+    (and one), so the values four such steps below and above are sketched as well; a second pass
+    counts what lies below and ranks only the values in between. The sketches, one row per
+    group, are written to the shared folder, and without large groups there is no second pass.
     """
-    sketch = F.percentile_approx(value, [float(q) for q in quantiles], accuracy)
+    spark = df.sparkSession
+    qs = [float(q) for q in quantiles]
+    step = 4.0 / accuracy
+    exact_rows = accuracy // 4
+    around = [max(q - step, 0.0) for q in qs] + [min(q + step, 1.0) for q in qs]
+    sketch = F.percentile_approx(value, [*qs, *around], accuracy)
     found = df.groupBy(*keys).agg(sketch.alias("_q"), F.count(value).alias("n_obs"))
-    return found.select(*keys, *[F.col("_q")[i].alias(n) for i, n in enumerate(names)], "n_obs")
+    path = scratch_path(spark, "sketches")
+    found.write.parquet(path)
+    found = spark.read.schema(found.schema).parquet(path)
+    picked = [F.col("_q")[i].alias(n) for i, n in enumerate(names)]
+    if found.filter(F.col("n_obs") > exact_rows).isEmpty():
+        return found.select(*keys, *picked, "n_obs")
+    small = found.filter(F.col("n_obs") <= exact_rows).select(*keys, *picked, "n_obs")
+    k = len(qs)
+    low = lambda i: F.lit(None).cast("double") if qs[i] - step <= 0 else F.col("_q")[k + i]
+    high = lambda i: F.lit(None).cast("double") if qs[i] + step >= 1 else F.col("_q")[2 * k + i]
+    marks = F.array(*[
+        F.struct(F.lit(i).alias("i"), low(i).alias("low"), high(i).alias("high"), F.ceil(F.lit(q) * F.col("n_obs")).alias("rank"))
+        for i, q in enumerate(qs)
+    ])
+    large = found.filter(F.col("n_obs") > exact_rows).select(*keys, marks.alias("_marks"))
+    rows = df.select(*keys, F.col(value).alias("_v")).filter(F.col("_v").isNotNull()).join(large, keys)
+    rows = rows.select(*keys, "_v", F.explode("_marks").alias("_m"))
+    rows = rows.filter(F.col("_m.high").isNull() | (F.col("_v") <= F.col("_m.high")))
+    # all that lies below counts as one value, so it is summed before the shuffle
+    below = F.col("_v") < F.col("_m.low")
+    counts = rows.groupBy(*keys, "_m", F.when(F.coalesce(below, F.lit(False)), None).otherwise(F.col("_v")).alias("_v"))
+    counts = counts.agg(F.count(F.lit(1)).alias("_c"))
+    order = Window.partitionBy(*keys, "_m.i").orderBy(F.col("_v").asc_nulls_first())
+    counts = counts.withColumn("_upto", F.sum("_c").over(order))
+    exact = counts.filter(F.col("_v").isNotNull() & (F.col("_upto") >= F.col("_m.rank")))
+    exact = exact.groupBy(*keys).agg(*[F.min(F.when(F.col("_m.i") == i, F.col("_v"))).alias(n) for i, n in enumerate(names)])
+    exact = exact.join(found.select(*keys, "n_obs"), keys).select(*keys, *names, "n_obs")
+    return small.unionByName(exact)
 
 
 def global_rank(df: DataFrame, value: str, rank: str = "rank", buckets: int | None = None) -> DataFrame:

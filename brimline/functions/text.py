@@ -11,10 +11,12 @@ from pyspark.sql import functions as F
 # A decimal number, or a spelled infinity; rules out what only Java reads as a double ("1d").
 NUMBER = r"^[+-]?((\d+\.?\d*|\.\d+)([eE][+-]?\d+)?|[iI][nN][fF]([iI][nN][iI][tT][yY])?)$"
 
+BLANKS = " \t\n\r\x0b\x0c\u00a0"
+
 
 def number(text: Column) -> Column:
     """Text as a double; what is not a number, and NaN, is NULL."""
-    clean = F.trim(text)
+    clean = F.btrim(text, F.lit(BLANKS))
     return F.when(clean.rlike(NUMBER), clean.try_cast("double"))
 
 
@@ -33,10 +35,10 @@ def _folding() -> tuple[str, str, dict[str, str]]:
     """What is kept of characters that decompose: one-to-one pairs for ``translate``, and
     the few that become several letters or digits.
 
-    Derived from the Unicode tables; Hangul syllables (letters either way) are left out.
+    Derived from the Unicode tables; Hangul syllables follow a rule, see :func:`_jamo`.
     """
     source, folded, several = [], [], {}
-    for code in range(0x80, 0x10000):
+    for code in range(0x80, 0x110000):
         if 0xAC00 <= code <= 0xD7A3 or 0xD800 <= code <= 0xDFFF:
             continue
         char = chr(code)
@@ -51,6 +53,15 @@ def _folding() -> tuple[str, str, dict[str, str]]:
     return "".join(source), "".join(folded), several
 
 
+def _jamo(letter: Column) -> Column:
+    """The two or three parts of a Hangul syllable, which its number in the block spells."""
+    n = F.ascii(letter) - 0xAC00
+    char = lambda code: F.decode(F.unhex(F.lpad(F.hex(code), 4, "0")), "UTF-16BE")
+    last = F.when(n % 28 > 0, char(n % 28 + 0x11A7)).otherwise("")
+    lead, vowel = F.floor(n / 588) + 0x1100, F.floor(n % 588 / 28) + 0x1161
+    return F.concat(char(lead.cast("int")), char(vowel.cast("int")), last)
+
+
 def normalize_text(text: Column) -> Column:
     """Lower-case letters, digits and spaces only, without accents (``d`` with a stroke is
     a letter of its own and stays)."""
@@ -58,9 +69,12 @@ def normalize_text(text: Column) -> Column:
     text = F.coalesce(text, F.lit(""))
     # One literal each, folded once by the optimizer; looked up for non-ASCII letters only.
     table = F.str_to_map(F.lit("\u0002".join(f"{k}\u0001{v}" for k, v in several.items())), F.lit("\u0002"), F.lit("\u0001"))
-    letter = lambda c: F.when(c > "\u007f", F.coalesce(F.element_at(table, c), c)).otherwise(c)
+    letter = lambda c: (
+        F.when((c >= "\uac00") & (c <= "\ud7a3") & (F.length(c) == 1), _jamo(c))
+        .when(c > "\u007f", F.coalesce(F.element_at(table, c), c)).otherwise(c)
+    )
     spelled_out = F.array_join(F.transform(F.split(text, ""), letter), "")
-    has_several = F.length(F.translate(text, "".join(several), "")) < F.length(text)
+    has_several = (F.length(F.translate(text, "".join(several), "")) < F.length(text)) | text.rlike("[\uac00-\ud7a3]")
     expanded = F.when(has_several, spelled_out).otherwise(text)
     plain = F.translate(expanded, source, folded)
     kept = F.regexp_replace(plain, r"(?U)[^\p{L}\p{N}\s]+", "")
@@ -114,7 +128,7 @@ def looks_like_data(cells: Column, columns: Column | int) -> Column:
     cells = F.coalesce(cells, F.array().cast("array<string>"))
     has_date = F.array_join(cells, " ").rlike(r"\d{1,2}/\d{1,2}/(\d{2}|\d{4})")
     numeric = F.filter(
-        cells, lambda c: F.trim(F.translate(c, ",–", "")).rlike(NUMBER)
+        cells, lambda c: F.btrim(F.translate(c, ",–", ""), F.lit(BLANKS)).rlike(f"{NUMBER}|^[+-]?[nN][aA][nN]$")
     )
     columns = F.lit(columns) if isinstance(columns, int) else columns
     return (F.size(cells) > 0) & (has_date | (F.size(numeric) >= F.greatest(F.lit(2), columns - 6)))

@@ -10,8 +10,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from brimline.functions.stats import global_rank, normal_quantile
-from brimline.operators.windows import STEP
-from brimline.schema import QUANTILES, TIME
+from brimline.operators.windows import ORIGIN, STEP
+from brimline.schema import QUANTILES, SITE, TIME
 
 BANDS = ["q10", "q50", "q90"]
 HORIZONS = {"24h": 24, "7d": 168, "14d": 336}
@@ -61,6 +61,10 @@ def metrics(
         F.avg(width()).alias("interval_width"),
         F.stddev_pop(width()).alias("sharpness"),
     ]
+    if {SITE, ORIGIN} <= set(forecast.columns):
+        windows = F.count_distinct(SITE, ORIGIN)
+    else:  # rows that do not say their origin: one first step each
+        windows = F.sum(F.when(F.col(STEP) == 1, 1).otherwise(0))
     for name, h in horizons.items():
         early = F.when(F.col(STEP) <= h, e)
         aggs += [F.avg(F.abs(early)).alias(f"mae_{name}"), F.sqrt(F.avg(early * early)).alias(f"rmse_{name}")]
@@ -69,7 +73,7 @@ def metrics(
     aggs += [
         mean_pinball(quantiles).alias("avg_pinball"),
         (F.lit(2.0) * mean_pinball(quantiles)).alias("crps"),
-        F.sum(F.when(F.col(STEP) == 1, 1).otherwise(0)).alias("n_samples"),
+        windows.alias("n_samples"),
         F.max(STEP).alias("horizon_steps"),
         F.count(F.lit(1)).alias("n_scored"),
     ]
@@ -97,8 +101,8 @@ def nested_metrics(row: DataFrame) -> DataFrame:
             "Interval_Width": "interval_width", "Sharpness": "sharpness",
         },
         "horizon_wise": {
-            "MAE_24h": "mae_24h", "RMSE_24h": "rmse_24h", "MAE_7d": "mae_7d",
-            "RMSE_7d": "rmse_7d", "MAE_14d": "mae_14d", "RMSE_14d": "rmse_14d",
+            f"{kind.upper()}_{c.removeprefix('mae_')}": f"{kind}_{c.removeprefix('mae_')}"
+            for c in row.columns if c.startswith("mae_") for kind in ("mae", "rmse")
         },
         "quantile_loss": {
             "Pinball_Q10": "pinball_q10", "Pinball_Q50": "pinball_q50",

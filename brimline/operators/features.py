@@ -32,14 +32,14 @@ def add_calendar(df: DataFrame, time: str = TIME, tz: str = TIMEZONE) -> DataFra
 
 
 def add_position(
-    df: DataFrame, site: str = SITE, time: str = TIME, bucket: str | int = "160D"
+    df: DataFrame, site: str = SITE, time: str = TIME, bucket: str | int = "1h"
 ) -> DataFrame:
     """0-based ``time_idx`` in time order and ``series_len`` of every series.
 
     A regular panel already has both and is returned as it is. Otherwise rows are ranked
     inside ``(site, time bucket)`` and shifted by the count of the buckets before, so no
-    task ranks a whole series. Choose ``bucket`` so that one bucket of one series fits a
-    task.
+    task ranks a whole series. A bucket of one series must fit a task: an hour does unless
+    it holds millions of rows of that series.
     """
     require(df, site, time)
     if POSITION in df.columns and LENGTH in df.columns:

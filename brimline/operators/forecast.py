@@ -28,6 +28,7 @@ from brimline.schema import (
     TIMEZONE,
     require,
 )
+from brimline.session import scratch_path
 
 BANDS = ["q10", "q50", "q90"]
 
@@ -407,8 +408,10 @@ def _with_target_calendar(rows: DataFrame, time: str, tz: str) -> DataFrame:
 class DirectForecaster:
     """One regressor for all series and steps, with split-conformal bands.
 
-    ``fit`` trains on pairs whose origin and label are both train rows and takes the band offsets from residual quantiles per step on validation origins. The fit is
-    Spark ML's: linear regression sums one small Gram matrix over all executors.
+    ``fit`` trains on pairs whose origin and label are both train rows and takes the band
+    offsets from residual quantiles per step on pairs inside the validation rows. A row that
+    misses a feature gets NULL bands. ``save`` and ``load`` keep the model and the offsets.
+    The fit is Spark ML's: linear regression sums one small Gram matrix over all executors.
     """
 
     def __init__(
@@ -451,15 +454,37 @@ class DirectForecaster:
         # A train label must itself be a train row: origins near the cut would read past it.
         rows = self._rows(df, F.col(SPLIT) == "train").filter(F.col(f"label_{SPLIT}") == "train")
         self.model = Pipeline(stages=[assembler, regressor]).fit(rows.filter(F.col("y").isNotNull()))
-        held_out = self._rows(df, F.col(SPLIT) == "val")
+        self.model.stages[0].setHandleInvalid("keep")  # predicting keeps every row
+        # nor may a validation label lie in the test rows
+        held_out = self._rows(df, F.col(SPLIT) == "val").filter(F.col(f"label_{SPLIT}") == "val")
         residual = self._predict(held_out).withColumn("_r", F.col("y") - F.col("_pred"))
         self.offsets = grouped_quantiles(
             residual, [STEP], "_r", [self.quantiles[0], self.quantiles[-1]], ["_lo", "_hi"]
-        ).drop("n_obs")  # at most `horizon` rows
+        ).drop("n_obs")
+        # at most `horizon` rows; written, so that no later call expands the pairs again
+        path = scratch_path(df.sparkSession, "offsets")
+        self.offsets.write.parquet(path)
+        self.offsets = df.sparkSession.read.parquet(path)
+        return self
+
+    def save(self, path: str) -> None:
+        """Model and band offsets under ``path``."""
+        self.model.write().overwrite().save(f"{path}/model")
+        self.offsets.write.mode("overwrite").parquet(f"{path}/offsets")
+
+    def load(self, spark: SparkSession, path: str) -> DirectForecaster:
+        """Model and offsets as saved; the other settings are those of this object."""
+        from pyspark.ml import PipelineModel
+
+        self.model = PipelineModel.load(f"{path}/model")
+        self.model.stages[0].setHandleInvalid("keep")
+        self.offsets = spark.read.parquet(f"{path}/offsets")
         return self
 
     def _predict(self, rows: DataFrame) -> DataFrame:
-        return self.model.transform(rows)
+        """Rows with ``_pred``; NULL where a feature is missing."""
+        out = self.model.transform(rows)
+        return out.withColumn("_pred", F.when(~F.isnan("_pred"), F.col("_pred")))
 
     def _bands(self, predicted: DataFrame) -> DataFrame:
         joined = predicted.join(self.offsets, STEP, "left")

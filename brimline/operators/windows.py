@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from brimline.functions.time import floor_div
-from brimline.plans.chunks import CHUNK_STEPS, chunk_window, core, with_halo
+from brimline.plans.chunks import CHUNK, CHUNK_STEPS, by_chunk, chunk_window, core, with_halo
 from brimline.schema import (
     DECODER_STEPS,
     ENCODER_STEPS,
@@ -119,10 +119,14 @@ def window_arrays(
 
 def has_gaps(df: DataFrame, site: str = SITE, chunk_steps: int = CHUNK_STEPS) -> DataFrame:
     """Rows whose position does not follow the one before it by one."""
-    chunked = with_halo(df, site, POSITION, back=1, chunk_steps=chunk_steps)
-    before = F.lag(POSITION).over(chunk_window(site, POSITION))
-    marked = chunked.withColumn("gap_before", F.col(POSITION) - before - 1)
-    return core(marked).filter((F.col("gap_before") > 0))
+    rows = df.withColumn(CHUNK, floor_div(F.col(POSITION), chunk_steps))
+    # one row per chunk: where the chunk before it, however far back, ends
+    ends = rows.groupBy(site, CHUNK).agg(F.max(POSITION).alias("_end"))
+    ends = ends.select(site, CHUNK, F.lag("_end").over(Window.partitionBy(site).orderBy(CHUNK)).alias("_end"))
+    placed = by_chunk(rows, site).join(ends, [site, CHUNK])
+    before = F.coalesce(F.lag(POSITION).over(Window.partitionBy(site, CHUNK).orderBy(POSITION)), F.col("_end"))
+    marked = placed.withColumn("gap_before", F.col(POSITION) - before - 1)
+    return marked.filter(F.col("gap_before") > 0).select(*df.columns, "gap_before")
 
 
 def target_normalizer(df: DataFrame, target: str = TARGET, site: str = SITE) -> DataFrame:

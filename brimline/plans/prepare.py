@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from brimline.operators.features import add_calendar, look_back, with_lags_rollings
-from brimline.operators.grid import FILL_LIMIT, regularize_chunks
+from brimline.operators.grid import FILL_LIMIT, MAX_GRID_STEPS, regularize_chunks
 from brimline.operators.split import split_by_ratio
 from brimline.plans.chunks import CHUNK_STEPS, chunk_window, core
 from brimline.schema import (
@@ -34,6 +34,7 @@ def prepare(
     time: str = TIME,
     limit: int = FILL_LIMIT,
     chunk_steps: int = CHUNK_STEPS,
+    max_steps: int = MAX_GRID_STEPS,
 ) -> DataFrame:
     """Regular grid, gap fill, calendar, lags and rolling statistics of a panel.
 
@@ -43,7 +44,7 @@ def prepare(
     """
     back = look_back(lags, windows)
     steps = max(chunk_steps, back)
-    chunked = regularize_chunks(df, frequency, site, time, True, limit, steps, halo=back)
+    chunked = regularize_chunks(df, frequency, site, time, True, limit, steps, max_steps, halo=back)
     w = chunk_window(site, time)
     featured = with_lags_rollings(chunked, target, lags, windows, stats, w)
     return add_calendar(core(featured), time, tz)

@@ -29,7 +29,8 @@ from brimline.schema import (
 
 # Fixed value: text that marks a failure row written between the records.
 FAILURE_MARK = "{'vm': '84', 'lv': '23', 'hc': '4-47'"
-BROADCAST_FILES = 20_000
+#: More columns than this a header cannot name; lines are cut at one field past their header.
+MOST_COLUMNS = 10_000
 
 _ORDER = ["_path", "_block", "_line_no"]
 
@@ -41,14 +42,15 @@ def dated_name(path: Column) -> Column:
     return F.when(in_folder != "", in_folder).otherwise(F.regexp_extract(path, r"([^/]+)$", 1))
 
 
-def read_lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """Lines of CSV files with where they came from. No file is an error."""
+def read_lines(spark: SparkSession, paths: str | list[str], glob: str | None = "*.csv") -> DataFrame:
+    """Lines of CSV files with where they came from. No line at all is an error."""
     paths = [paths] if isinstance(paths, str) else list(paths)
     if not paths:
         raise FileNotFoundError("no input files")
-    lines = spark.read.option("pathGlobFilter", "*.csv").option("recursiveFileLookup", "true").text(paths)
-    if not lines.inputFiles():
-        raise FileNotFoundError(f"no CSV files in {', '.join(paths)}")
+    reader = spark.read.option("recursiveFileLookup", "true")
+    lines = (reader.option("pathGlobFilter", glob) if glob else reader).text(paths)
+    if lines.isEmpty():
+        raise FileNotFoundError(f"no CSV lines in {', '.join(paths)}")
     return lines.select(
         F.col("value").alias("line"),
         F.col("_metadata.file_path").alias("_path"),
@@ -57,36 +59,78 @@ def read_lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     )
 
 
-# A field: quoted (quotes inside doubled), or anything up to the next comma.
-_FIELD = r'(?:^|,)("(?:[^"]|"")*"(?=,|$)|[^,]*)'
+def _quotes(text: Column) -> Column:
+    return F.length(text) - F.length(F.replace(text, F.lit('"'), F.lit("")))
 
 
-def _fields(line: Column) -> Column:
-    """Fields of a CSV line; quoted commas stay inside a field."""
-    raw = F.regexp_extract_all(line, F.lit(_FIELD), F.lit(1))
-    return F.transform(raw, _unquoted)
+def _fields(line: Column, most: Column | int = MOST_COLUMNS) -> Column:
+    """Fields of a CSV line, at most ``most``; quoted commas stay inside a field.
+
+    The line is cut at every comma. In a line with quotes, the parts from one that opens a
+    quote to the one that closes it are one field; a part with an even number of quotes
+    neither opens nor closes. The parts are gone through once, whatever their length.
+    """
+    most = F.lit(most) if isinstance(most, int) else most
+    parts = F.split(line, ",", -1)
+
+    def merged(parts: Column) -> Column:
+        start = F.struct(
+            F.array().cast("array<struct<a:int,b:int>>").alias("done"), F.lit(None).cast("int").alias("open")
+        )
+
+        def step(s: Column, i: Column) -> Column:
+            part = F.get(parts, i)
+            odd = _quotes(part) % 2 == 1
+            opens = s["open"].isNull() & part.startswith('"') & odd
+            goes_on = s["open"].isNotNull() & ~odd
+            ended = F.array_append(s["done"], F.struct(F.coalesce(s["open"], i).alias("a"), i.alias("b")))
+            room = F.size(s["done"]) < most
+            return F.struct(
+                F.when(opens | goes_on | ~room, s["done"]).otherwise(ended).alias("done"),
+                F.when(opens, i).when(goes_on, s["open"]).alias("open"),
+            )
+
+        # an unclosed quote: what is left is one field
+        def close(s: Column) -> Column:
+            rest = F.struct(s["open"].alias("a"), (F.size(parts) - 1).alias("b"))
+            return F.when(s["open"].isNotNull() & (F.size(s["done"]) < most), F.array_append(s["done"], rest)).otherwise(s["done"])
+
+        spans = F.aggregate(F.sequence(F.lit(0), F.size(parts) - 1), start, step, close)
+        return F.transform(spans, lambda r: F.array_join(F.slice(parts, r["a"] + 1, r["b"] - r["a"] + 1), ","))
+
+    plain = F.slice(parts, F.lit(1), most)
+    quoted = F.get(F.transform(F.array(parts), merged), F.lit(0))
+    return F.transform(F.when(line.contains('"'), quoted).otherwise(plain), _unquoted)
 
 
 def _unquoted(field: Column) -> Column:
+    """A field without its quotes; empty fields are NULL."""
     inner = F.substring(field, F.lit(2), F.length(field) - 2)
-    plain = F.when(field.startswith('"') & (F.length(field) > 1), F.replace(inner, F.lit('""'), F.lit('"')))
+    quoted = field.startswith('"') & field.endswith('"') & (F.length(field) > 1)
+    plain = F.when(quoted, F.replace(inner, F.lit('""'), F.lit('"')))
     return F.nullif(F.coalesce(plain, field), F.lit(""))
 
 
-def _headers(lines: DataFrame) -> DataFrame:
-    """First line of every file as an array of panel names: ``(_path, _header, _names)``.
+def names_of(header: Column, renames: dict[str, str] | None = None) -> Column:
+    """Column names of a header line, mapped to panel names."""
+    raw = _fields(F.regexp_replace(header, "^\ufeff", ""))
+    if not renames:
+        return F.transform(raw, lambda c: F.coalesce(F.trim(c), F.lit("")))
+    table = F.create_map(*[F.lit(x) for kv in renames.items() for x in kv])
+    return F.transform(raw, lambda c: F.coalesce(F.element_at(table, F.trim(c)), F.trim(c), F.lit("")))
+
+
+def _headers(lines: DataFrame, renames: dict[str, str] | None = RAW_TO_PANEL) -> DataFrame:
+    """First line with text of every file as an array of names: ``(_path, _header, _names)``.
 
     Only first blocks are looked at; each task brings one row per file to the shuffle.
     """
     first = (
-        lines.filter(F.col("_block") == 0)
+        lines.filter((F.col("_block") == 0) & (F.trim("line") != ""))
         .groupBy("_path")
         .agg(F.min_by("line", "_line_no").alias("_header"))
     )
-    renames = F.create_map(*[F.lit(x) for kv in RAW_TO_PANEL.items() for x in kv])
-    raw = _fields(F.regexp_replace("_header", "^\ufeff", ""))
-    names = F.transform(raw, lambda c: F.coalesce(F.element_at(renames, F.trim(c)), F.trim(c), F.lit("")))
-    return first.withColumn("_names", names)
+    return first.withColumn("_names", names_of(F.col("_header"), renames))
 
 
 def parse_lines(
@@ -108,18 +152,20 @@ def parse_lines(
     * A file without time or site column, or without a year in its name, is rejected, or
       fails the job with ``strict``.
     """
-    headers = _headers(lines)
-    if len(lines.inputFiles()) <= BROADCAST_FILES:
-        headers = F.broadcast(headers)  # one row per file, so at most this many headers
-    # With more files Spark joins by path; adaptive execution splits a file that dominates.
-    joined = lines.join(headers, "_path").filter(F.col("line") != F.col("_header"))
-    return _typed(joined, tz, label_local_as_utc, year_rollover, strict, drop_marked)
+    # One row per file: Spark sends it to all tasks or joins by path, and then splits a file
+    # that dominates.
+    joined = lines.join(_headers(lines), "_path").filter(F.col("line") != F.col("_header"))
+    return typed_lines(joined, tz, label_local_as_utc, year_rollover, strict, drop_marked)
 
 
-def _typed(joined, tz, label_local_as_utc, year_rollover, strict, drop_marked) -> DataFrame:
+def typed_lines(
+    joined: DataFrame, tz: str, label_local_as_utc: bool = False, year_rollover: bool = False,
+    strict: bool = False, drop_marked: bool = True, keep: list[str] = (),
+) -> DataFrame:
+    """Lines that know their file's header (``_header``, ``_names``) as typed panel rows."""
     names = F.col("_names")
     with_fields = joined.filter(F.trim("line") != "").withColumns(
-        {"_fields": _fields(F.col("line")), "_name": dated_name(F.col("_path"))}
+        {"_fields": _fields(F.col("line"), F.size(names) + 1), "_name": dated_name(F.col("_path"))}
     )
 
     def value(name: str) -> Column:
@@ -157,7 +203,7 @@ def _typed(joined, tz, label_local_as_utc, year_rollover, strict, drop_marked) -
         .when(F.size("_fields") > F.size(names), "too many fields")
         .when(F.col(TIME).isNull(), "bad timestamp")
     )
-    return typed.select(*PANEL_COLUMNS, reason.alias("reject_reason"), "line", *_ORDER)
+    return typed.select(*PANEL_COLUMNS, reason.alias("reject_reason"), "line", *_ORDER, *keep)
 
 
 def panel_of(parsed: DataFrame) -> DataFrame:
@@ -186,12 +232,25 @@ def read_panel(
 ) -> DataFrame:
     """Panel CSV as written by the canonical sink, or by hand: ``timestamp`` is required
     (ISO text, bad -> NULL) and ``site_id`` defaults. Gates are integers, ``numeric``
-    columns doubles (bad -> NULL), anything else stays text.
+    columns doubles (bad -> NULL), anything else stays text. Every file is read by its own
+    header; a column it lacks is NULL.
     """
-    raw = spark.read.option("header", True).option("inferSchema", False).csv(path)
+    lines = read_lines(spark, path, glob=None)
+    headers = _headers(lines, renames=None)
+    # the distinct names, in the order of the first file that has them: a handful of strings
+    at = headers.select("_path", F.posexplode("_names").alias("_i", "_c")).filter("_c != ''")
+    order = at.groupBy("_c").agg(F.min(F.struct("_path", "_i")).alias("_first")).orderBy("_first")
+    names = [r["_c"] for r in order.collect()]
+    rows = lines.join(headers, "_path").filter((F.col("line") != F.col("_header")) & (F.trim("line") != ""))
+    rows = rows.select("_names", _fields(F.col("line")).alias("_fields"))
+
+    def value(name: str) -> Column:
+        at = F.array_position("_names", name).cast("int")
+        return F.when(at > 0, F.get(F.col("_fields"), at - 1)).alias(name)
+
+    site = F.when(F.array_contains("_names", SITE), value(SITE)).otherwise(F.lit(default_site)).alias(SITE)
+    raw = rows.select(*[site if c == SITE else value(c) for c in names], *([] if SITE in names else [site]))
     require(raw, TIME)
-    if SITE not in raw.columns:
-        raw = raw.withColumn(SITE, F.lit(default_site))
     typed = {TIME: F.col(TIME).try_cast("timestamp")}
     typed |= {c: number(F.col(c)) for c in numeric if c in raw.columns}
     typed |= {c: number(F.col(c)).try_cast("bigint") for c in GATE_COLUMNS if c in raw.columns}

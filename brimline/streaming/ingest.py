@@ -4,48 +4,48 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter
 
-from brimline.functions.text import number
-from brimline.functions.time import partial_timestamp, year_from_name
 from brimline.operators.dedup import keep_last
-from brimline.schema import (
-    FLOAT_COLUMNS,
-    GATE_COLUMNS,
-    PANEL_COLUMNS,
-    RAW_COLUMNS,
-    RAW_TO_PANEL,
-    SITE,
-    TIME,
-    TIMEZONE,
-)
-from brimline.sources.crawl import dated_name
-
-
-def stream_records(
+from brimline.schema import PANEL_COLUMNS, RAW_TO_PANEL, SITE, TIME, TIMEZONE
+from brimline.sources.crawl import names_of, typed_lines
+
+
+def stream_parsed(
     spark: SparkSession, path: str, tz: str = TIMEZONE, label_local_as_utc: bool = False,
-    max_files: int = 1000,
+    max_files: int = 1000, **options,
 ) -> DataFrame:
-    """Typed panel rows from a landing folder of record files (fixed header), as they come.
+    """Typed panel rows from a landing folder, each with ``reject_reason`` (NULL when good),
+    its ``line`` and ``arrival``, which orders files by modification time, then path.
 
-    ``arrival`` orders files by modification time, then path. Rows without a valid time or
-    site are left out.
+    A file comes as one value, so that its own header reads its lines; landing files hold one
+    site's or one month's polls and fit a task.
     """
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in RAW_COLUMNS])
-    raw = (
-        spark.readStream.schema(schema)
-        .option("header", True).option("recursiveFileLookup", True)
-        .option("pathGlobFilter", "*.csv").option("maxFilesPerTrigger", max_files)
-        .csv(path)
-        .select("*", F.struct("_metadata.file_modification_time", "_metadata.file_path").alias("arrival"))
+    files = (
+        spark.readStream.option("recursiveFileLookup", True)
+        .option("pathGlobFilter", "*.csv").option("maxFilesPerTrigger", max_files).text(path, wholetext=True)
     )
-    wall = partial_timestamp(F.col("timestamp"), year_from_name(dated_name(F.col("arrival.file_path"))))
-    renamed = raw.withColumnsRenamed(RAW_TO_PANEL)
-    numbers = {c: number(F.col(c)) for c in FLOAT_COLUMNS}
-    numbers |= {c: number(F.col(c)).try_cast("bigint") for c in GATE_COLUMNS}
-    typed = renamed.withColumns({TIME: wall if label_local_as_utc else F.to_utc_timestamp(wall, tz), **numbers})
-    return typed.filter(F.col(TIME).isNotNull() & F.col(SITE).isNotNull()).select(*PANEL_COLUMNS, "arrival")
+    lines = files.select(
+        F.col("_metadata.file_path").alias("_path"), F.lit(0).cast("bigint").alias("_block"),
+        F.struct("_metadata.file_modification_time", "_metadata.file_path").alias("arrival"),
+        F.filter(F.split("value", "\r?\n"), lambda x: F.trim(x) != "").alias("_all"),
+    )
+    lines = lines.withColumn("_header", F.get("_all", F.lit(0))).withColumn("_names", names_of(F.col("_header"), RAW_TO_PANEL))
+    each = lines.select("*", F.posexplode("_all").alias("_line_no", "line")).filter(F.col("line") != F.col("_header"))
+    return typed_lines(each, tz, label_local_as_utc, keep=["arrival"], **options)
+
+
+def stream_records(spark: SparkSession, path: str, tz: str = TIMEZONE, label_local_as_utc: bool = False, max_files: int = 1000) -> DataFrame:
+    """The good rows of :func:`stream_parsed` with a site, as panel columns and ``arrival``."""
+    parsed = stream_parsed(spark, path, tz, label_local_as_utc, max_files)
+    good = F.col("reject_reason").isNull() & F.col(SITE).isNotNull()
+    return parsed.filter(good).select(*PANEL_COLUMNS, "arrival")
+
+
+def stream_rejects(spark: SparkSession, path: str, **options) -> DataFrame:
+    """Lines of the landing folder that are not observations: ``reject_reason, line, path``."""
+    parsed = stream_parsed(spark, path, **options)
+    return parsed.filter(F.col("reject_reason").isNotNull()).select("reject_reason", "line", F.col("_path").alias("path"))
 
 
 def latest_per_key(stream: DataFrame, delay: str = "7 days") -> DataFrame:
@@ -85,7 +85,8 @@ def hourly_stream(
     events: DataFrame, site: str, time: str, value: str, width: str = "1 hour", delay: str = "2 hours"
 ) -> DataFrame:
     """Mean of ``value`` per site and tumbling window; rows later than ``delay`` behind the
-    newest are dropped. Run in append mode: a window comes out once it is complete."""
+    newest are dropped. In append mode a window comes out once it is complete, and the last ones
+    when later events come; in update mode (:func:`write_updates`) all are there at once."""
     panes = events.withWatermark(time, delay).groupBy(F.col(site), F.window(time, width))
     return panes.agg(F.avg(value).alias("y"), F.count(F.lit(1)).alias("n")).select(
         site, F.col("window.start").alias(TIME), "y", "n"
