@@ -503,7 +503,9 @@ byhour as {quantiles('recent', 'site_id, h', 'v')}""", body=f"""
   where o.time_idx = o.series_len - 1 - {H}"""),
     "persistence_backtest": with_(*BT, body=f" select {FORECAST}, {r('y')} from backtest"),
     "seasonal_backtest": with_(*EVS, seasonal_backtest(12, 24), body=f" select {FORECAST}, {r('y')} from seasonal_backtest"),
-    "selected_model": with_(*BT, seasonal_backtest(24, 24), f"""
+    "selected_model": with_(
+        *EVS, BACKTEST.replace("where a.split = 'val'", "where a.split = 'val' and b.split = 'val'"),
+        seasonal_backtest(24, 24).replace("where o.split = 'val'", "where o.split = 'val' and a.split = 'val'"), f"""
 losses as (
   select 'persistence' as model, {AVG_PINBALL} as loss from backtest
   union all select 'seasonal', {AVG_PINBALL} from seasonal_backtest)""", body=f"""

@@ -471,8 +471,8 @@ def learned_forecast(spark, sf_dir):
 def selected_model(spark, sf_dir):
     rows = split_events(spark, sf_dir)
     scored = union_all(
-        fc.backtest_persistence(rows, HORIZON).withColumn("model", F.lit("persistence")),
-        fc.backtest_seasonal(rows, HORIZON, SEASON).withColumn("model", F.lit("seasonal")),
+        fc.backtest_persistence(rows, HORIZON, labels_inside=True).withColumn("model", F.lit("persistence")),
+        fc.backtest_seasonal(rows, HORIZON, SEASON, labels_inside=True).withColumn("model", F.lit("seasonal")),
     )
     return fc.select_model(scored.filter(F.col("y").isNotNull()))
 

@@ -239,12 +239,14 @@ def backtest_persistence(
     frequency: str | int = FREQUENCY,
     quantiles: list[float] = QUANTILES,
     chunk_steps: int = CHUNK_STEPS,
+    labels_inside: bool = False,
 ) -> DataFrame:
     """Persistence forecasts from *every* origin whose ``horizon`` rows ahead all exist and
     that lies in ``split``, with the actual ``y``: the input of the evaluation operators.
 
     The spread joins the rows before they are paired with their horizon, so the pairs are
-    written by a projection and not shuffled.
+    written by a projection and not shuffled. ``labels_inside`` leaves out pairs whose actual
+    lies past the split: what is chosen by such scores has not seen the test rows.
     """
     require(df, SPLIT)
     spread = persistence_spread(
@@ -253,8 +255,10 @@ def backtest_persistence(
     complete = (F.col(SPLIT) == split) & (F.col(POSITION) + F.lit(horizon) < F.col(LENGTH))
     pairs = horizon_pairs(
         df, horizon, target, site, time, chunk_steps, keep=[SPLIT, LENGTH], origin_filter=complete,
-        series_stats=_per_series(spread, site, STEP),
+        label_keep=[SPLIT] if labels_inside else [], series_stats=_per_series(spread, site, STEP),
     )
+    if labels_inside:
+        pairs = pairs.filter(F.col(f"label_{SPLIT}") == split)
     return pairs.select(
         site, ORIGIN, STEP, _ahead(F.col("origin_ts"), F.col(STEP), frequency).alias(time),
         *_spread_bands(F.col("y_origin"), F.col(STEP)),
@@ -273,6 +277,7 @@ def backtest_seasonal(
     frequency: str | int = FREQUENCY,
     quantiles: list[float] = QUANTILES,
     chunk_steps: int = CHUNK_STEPS,
+    labels_inside: bool = False,
 ) -> DataFrame:
     """As :func:`backtest_persistence` for the seasonal forecast.
 
@@ -303,6 +308,8 @@ def backtest_seasonal(
         & (F.col(f"_o.{POSITION}") + F.lit(horizon) < F.col(LENGTH))
         & (F.col(f"_o.{POSITION}") >= season - 1)
     )
+    if labels_inside:
+        usable = usable & (F.col(SPLIT) == split)
     return emitted.filter(usable).select(
         site, F.col(f"_o.{POSITION}").alias(ORIGIN), step.cast("int").alias(STEP), time,
         *_spread_bands(F.get("_lags", k - 1), k),

@@ -200,3 +200,30 @@ def test_poll_coverage(spark):
         "2024-01-31 22:00:00", "2024-02-01 02:00:00"}
     got = {r.month: (r.expected, r.received, r.missing) for r in coverage_by_month(expected, received).collect()}
     assert got == {"2024-01": (1, 0, 1), "2024-02": (2, 1, 1)}
+
+
+def test_bands_and_choice_do_not_see_test_labels(spark, learned):
+    pdf, rows, features, model = learned
+    raised = rows.withColumn("muc_thuong_luu", F.when(F.col("split") == "test", F.col("muc_thuong_luu") + 1000).otherwise(F.col("muc_thuong_luu")))
+    again = fc.DirectForecaster(features, 12).fit(raised)
+    as_rows = lambda m: sorted((r.step, round(r["_lo"], 6), round(r["_hi"], 6)) for r in m.offsets.collect())
+    assert as_rows(again) == as_rows(model)
+    for make in (lambda d: fc.backtest_persistence(d, 12, labels_inside=True), lambda d: fc.backtest_seasonal(d, 12, 24, labels_inside=True)):
+        a, b = make(rows), make(raised)
+        assert a.count() == b.count() > 0
+        assert a.exceptAll(b).count() == 0
+
+
+def test_saved_forecaster_predicts_alike(spark, learned, tmp_path):
+    _, rows, features, model = learned
+    model.save(str(tmp_path / "m"))
+    loaded = fc.DirectForecaster(features, 12).load(spark, str(tmp_path / "m"))
+    assert sorted(map(str, loaded.forecast(rows, 12).collect())) == sorted(map(str, model.forecast(rows, 12).collect()))
+
+
+def test_short_series_get_rows_without_bands(spark, learned):
+    _, rows, features, model = learned
+    short = rows.withColumns({c: F.lit(None).cast("double") for c in features}).filter("time_idx < 20").withColumns(
+        {"site_id": F.lit("short"), "series_len": F.lit(20).cast("bigint")})
+    out = model.forecast(short).collect()
+    assert len(out) == 12 and all(r.q50 is None and r.q10 is None for r in out)
