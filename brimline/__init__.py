@@ -1 +1 @@
-"""Panel time-series preparation, quantile forecasting and scoring as Spark jobs."""
+"""Tables of time series on Spark, from raw files to scored forecasts."""

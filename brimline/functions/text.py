@@ -126,6 +126,7 @@ def expand_colspans(cells: Column) -> Column:
 def looks_like_data(cells: Column, columns: Column | int) -> Column:
     """A row of texts is data when it holds a full date, or enough numeric cells."""
     cells = F.coalesce(cells, F.array().cast("array<string>"))
+    # Fixed value: the pattern of a full date.
     has_date = F.array_join(cells, " ").rlike(r"\d{1,2}/\d{1,2}/(\d{2}|\d{4})")
     numeric = F.filter(
         cells, lambda c: F.btrim(F.translate(c, ",–", ""), F.lit(BLANKS)).rlike(f"{NUMBER}|^[+-]?[nN][aA][nN]$")

@@ -80,6 +80,7 @@ def partial_timestamp(text: Column, year: Column) -> Column:
 
 def year_from_name(name: Column) -> Column:
     """Year in a file name: before a month first, else any ``20xx``; NULL when none."""
+    # The patterns of a year in a file name.
     with_month = F.regexp_extract(name, r"(20[0-9]{2})[-_]?[0-9]{2}", 1)
     alone = F.regexp_extract(name, r"(20[0-9]{2})", 1)
     return F.coalesce(F.nullif(with_month, F.lit("")), F.nullif(alone, F.lit(""))).cast("int")
