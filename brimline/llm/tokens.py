@@ -17,7 +17,7 @@ from functools import lru_cache
 import numpy as np
 
 VOCABULARY = "byte_bpe_50k.json"
-REMEMBERED = 500_000
+REMEMBERED = 250_000
 ID_BYTES = 4
 
 
