@@ -5,6 +5,11 @@ turn until the totals of each source, language and topic meet their targets (rak
 scale of a cell, over the largest scale, is the probability with which its documents stay.
 Whether one stays follows from a hash of its id, so any run takes the same documents.
 
+A rare value has a scale without bound, so the largest scale alone would let one odd document
+decide how much of the corpus stays. At least ``KEPT`` of the tokens therefore stay: where the
+largest scale leaves less, scales are divided by the number that leaves just that share, and
+cells above it stay whole. These fall short of their targets; ``margins_kept`` says by how much.
+
 The cells are one row per combination, summed before any shuffle; a scale per value of each
 margin is kept beside them, and each step joins the cells with two of these tables and writes
 the third anew. Targets default to the present shares raised to a power (``TEMPER``)
@@ -17,6 +22,7 @@ rows share one draw and stay or go together.
 
 from __future__ import annotations
 
+import logging
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -24,10 +30,16 @@ from pyspark.sql import functions as F
 
 from brimline.llm.common import BLANKS, settled, text_of
 
+log = logging.getLogger(__name__)
+
 MARGINS = ("source", "lang", "topic")
 #: Exponent on the present share of each value; below 1 it lifts small ones, 1 keeps them.
 TEMPER = {"source": 0.7, "lang": 0.85, "topic": 1.0}
 ROUNDS = 6
+#: Least share of the tokens that stays in expectation.
+KEPT = 0.75
+#: Divisors tried in one pass over the cells, and the ratio of neighbours that ends the search.
+TRIED, NEAR = 32, 1e-9
 DRAW_DIGITS = 12
 
 
@@ -106,18 +118,55 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame] | None = None, temper:
     return scaled().select(*MARGINS, "now", "w")
 
 
-def probabilities(raked: DataFrame) -> DataFrame:
-    """``source, lang, topic, probability``: the scale of each cell over the largest one."""
-    scale = raked.select(*MARGINS, (F.col("w") / F.col("now")).alias("_s"))
-    most = scale.agg(F.max("_s").alias("_most"))
-    return scale.crossJoin(F.broadcast(most)).select(*MARGINS, (F.col("_s") / F.col("_most")).alias("probability"))
+def divisor(scale: DataFrame, kept: float = KEPT) -> float | None:
+    """What the scales ``_s`` of cells with ``now`` tokens are divided by: the largest, or where
+    that leaves less than ``kept`` of the tokens, the number that leaves this share."""
+    left = lambda d: F.sum(F.col("now") * F.least(F.lit(1.0), F.col("_s") / F.lit(d)))
+    low, high, total = scale.agg(F.min("_s"), F.max("_s"), F.sum("now")).first()
+    if high is None or scale.agg(left(high)).first()[0] >= kept * total:
+        return high
+    while high > low * (1 + NEAR):
+        tried = [low * (high / low) ** (i / TRIED) for i in range(TRIED + 1)]
+        found = scale.agg(*[left(d).alias(f"d{i}") for i, d in enumerate(tried)]).first()
+        at = max((i for i in range(TRIED) if found[i] >= kept * total), default=0)
+        low, high = tried[at], tried[at + 1]
+    return low
+
+
+def probabilities(raked: DataFrame, kept: float = KEPT) -> DataFrame:
+    """``source, lang, topic, probability``: the scale of each cell over the divisor, at most 1."""
+    scale = raked.select(*MARGINS, "now", (F.col("w") / F.col("now")).alias("_s"))
+    over = F.col("_s") / F.lit(divisor(scale, kept)).cast("double")
+    return scale.select(*MARGINS, F.least(F.lit(1.0), over).alias("probability"))
+
+
+def margins_kept(raked: DataFrame, table: DataFrame) -> DataFrame:
+    """``margin, value, now, kept, share, goal``: the tokens of each value, those that stay in
+    expectation, their share of all that stay and the share the raked cells call for."""
+    cells = raked.join(table, list(MARGINS))
+    parts = [
+        cells.groupBy(F.lit(m).alias("margin"), F.col(m).alias("value"))
+        .agg(F.sum("now").alias("now"), F.sum(F.col("now") * F.col("probability")).alias("kept"), F.sum("w").alias("w"))
+        for m in MARGINS
+    ]
+    out = reduce(DataFrame.unionByName, parts)
+    all_of = out.groupBy("margin").agg(F.sum("kept").alias("_kept"), F.sum("w").alias("_w"))
+    return out.join(F.broadcast(all_of), "margin").select(
+        "margin", "value", "now", "kept", (F.col("kept") / F.col("_kept")).alias("share"), (F.col("w") / F.col("_w")).alias("goal")
+    )
 
 
 def chances(rows: DataFrame, targets: dict[str, DataFrame] | None = None, temper: dict[str, float] | None = None,
-            rounds: int = ROUNDS) -> DataFrame:
+            rounds: int = ROUNDS, kept: float = KEPT) -> DataFrame:
     """``source, lang, topic, probability`` of every cell of weighed rows with tokens, written to
     the shared folder: Spark then knows its size when it chooses how to join it."""
-    return settled(probabilities(rake(cells_of(rows), targets, temper, rounds)), "probabilities")
+    raked = settled(rake(cells_of(rows), targets, temper, rounds), "raked")
+    table = settled(probabilities(raked, kept), "probabilities")
+    for r in margins_kept(raked, table).groupBy("margin").agg(
+        F.sum("now").alias("now"), F.sum("kept").alias("kept"), F.min(F.col("share") / F.col("goal")).alias("least")
+    ).collect():
+        log.info("%s: %.0f of %.0f tokens stay; lowest share over goal %.3f", r.margin, r.kept, r["now"], r.least)
+    return table
 
 
 def drawn(rows: DataFrame, table: DataFrame) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from brimline.llm import line_rules as lr
 from brimline.llm import mixing, sharding
+from brimline.llm.common import settled
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -175,3 +176,26 @@ def test_mixing_edges(edge_docs, edge_rows, no_docs):
     kept = mixing.kept_documents(edge_docs)
     assert kept.columns == edge_docs.columns and 0 < kept.count() <= len(edge_rows)
     assert mixing.kept_documents(no_docs).count() == 0
+
+
+def test_one_odd_document_does_not_empty_the_corpus(spark, documents):
+    """Before: the share that stays fell to that of the rarest cell's scale."""
+    docs = documents.select("doc_id", "text", "lang", "source")
+    odd = spark.createDataFrame([(-1, "odd " * 100, "en", "new"), (-2, "note " * 10, None, None)], docs.schema)
+    rows = settled(mixing.weighed(docs.unionByName(odd)), "test-odd")
+    raked = settled(mixing.rake(mixing.cells_of(rows)), "test-raked")
+    table = mixing.probabilities(raked)
+    report = mixing.margins_kept(raked, table).collect()
+    for m in mixing.MARGINS:
+        now, kept = (sum(r[c] for r in report if r.margin == m) for c in ("now", "kept"))
+        assert kept / now == pytest.approx(mixing.KEPT, abs=1e-6)
+    new = next(r for r in report if (r.margin, r["value"]) == ("source", "new"))
+    assert new.kept == new["now"] == 100 and new.share < new.goal
+    probability = {(r.source, r.lang): r.probability for r in table.collect()}
+    assert probability["new", "en"] == probability["", ""] == 1.0
+
+
+def test_cells_without_rare_values_keep_the_largest_scale(spark):
+    cells = spark.createDataFrame([("a", "x", "t", 70.0, 70.0), ("b", "x", "t", 30.0, 33.0)], "source string, lang string, topic string, now double, w double")
+    got = {r.source: r.probability for r in mixing.probabilities(cells).collect()}
+    assert got == {"a": pytest.approx(1 / 1.1), "b": 1.0}
