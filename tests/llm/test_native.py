@@ -82,6 +82,27 @@ def test_frequent_lines_leave_the_text(spark):
     assert [(r["_host"], r.n_docs) for r in near.collect()] == [("h", 42)]
 
 
+def test_frequent_lines_of_a_large_host(spark):
+    """Before: a line in 4 % of a host stayed, however many documents that were."""
+    n, some = F.col("id"), F.lit("\nsite menu of every page")
+    docs = spark.range(20_600).select(
+        n.alias("doc_id"), F.when(n < 20_000, "large").otherwise("small").alias("source"),
+        F.concat(F.concat_ws(" ", *[F.concat(F.lit(f"w{k}x"), n) for k in range(12)]), F.when(n % 25 == 0, some).otherwise("")).alias("text"),
+    )
+    assert [(r["_host"], r.n_docs) for r in lr.frequent_lines(docs).collect()] == [("large", 800)]
+    out = lr.cleaned(docs)
+    assert out.count() == 20_600
+    assert {r.source: r.n for r in out.filter("text like '%menu%'").groupBy("source").agg(F.count("*").alias("n")).collect()} == {"small": 24}
+
+
+def test_many_frequent_lines_of_a_host(spark):
+    rows = [(i, "\n".join(f"line {i % 20 + 20 * k} of host" for k in range(30)) + f"\nown {i}", f"h{i % 2}") for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    limits = {"min_docs": 5, "max_share": 0.01}
+    assert lr.frequent_lines(docs, **limits).count() == 600
+    assert verdicts(docs, **limits) == plain_verdicts(rows, **limits)
+
+
 # --- sharding ---------------------------------------------------------------------------
 
 
