@@ -10,9 +10,9 @@ decide how much of the corpus stays. At least ``KEPT`` of the tokens therefore s
 largest scale leaves less, scales are divided by the number that leaves just that share, and
 cells above it stay whole. These fall short of their targets; ``margins_kept`` says by how much.
 
-The cells are one row per combination, summed before any shuffle; a scale per value of each
-margin is kept beside them, and each step joins the cells with two of these tables and writes
-the third anew. Targets default to the present shares raised to a power (``TEMPER``)
+The cells are one row per combination, summed before any shuffle. Up to ``DRIVER_CELLS`` of them are
+raked as arrays on the driver; for more, a scale per value of each margin is kept beside them, and
+each step joins the cells with two of these tables and writes the third anew. Targets default to the present shares raised to a power (``TEMPER``)
 and may be given as tables ``name, share``.
 
 Nulls: NULL source, language or topic count as the value ``""``; a NULL text has no tokens. Cells
@@ -23,8 +23,10 @@ rows share one draw and stay or go together.
 from __future__ import annotations
 
 import logging
+import math
 from functools import reduce
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -35,11 +37,23 @@ log = logging.getLogger(__name__)
 MARGINS = ("source", "lang", "topic")
 #: Exponent on the present share of each value; below 1 it lifts small ones, 1 keeps them.
 TEMPER = {"source": 0.7, "lang": 0.85, "topic": 1.0}
+#: Rounds at least, and at most if totals are further than ``TOLERANCE`` from their targets.
 ROUNDS = 6
+MOST_ROUNDS = 20_000
+#: Largest relative error of any value's total against its target.
+TOLERANCE = 1e-4
+#: Rounds in which the error must fall by a hundredth; targets that exclude each other end there.
+STALLED = 500
+#: Up to so many cells are raked on the driver, where a round takes no job.
+DRIVER_CELLS = 200_000
+#: Rounds at most for more cells, each of which takes a few jobs.
+MOST_JOB_ROUNDS = 200
 #: Least share of the tokens that stays in expectation.
 KEPT = 0.75
 #: Divisors tried in one pass over the cells, and the ratio of neighbours that ends the search.
 TRIED, NEAR = 32, 1e-9
+#: What stands for zero where targets that exclude each other empty a cell.
+LEAST = 1e-100
 DRAW_DIGITS = 12
 
 
@@ -88,20 +102,51 @@ def given(targets: DataFrame, margin: str) -> DataFrame:
     return targets.select(F.col("name").cast("string").alias(margin), F.col("share").cast("double").alias("_share"))
 
 
+def raked_on_driver(cells: DataFrame, goals: dict[str, DataFrame], rounds: int) -> tuple[DataFrame, float]:
+    """The cells with ``w`` by rounds over arrays, and the error left."""
+    goal = {m: {r[m]: r["_goal"] for r in goals[m].collect()} for m in MARGINS}
+    rows = [r for r in cells.select(*MARGINS, "now").collect() if all(r[m] in goal[m] for m in MARGINS)]
+    w = np.array([r["now"] for r in rows], dtype=np.float64)
+    at, want = {}, {}
+    for m in MARGINS:
+        names = sorted({r[m] for r in rows})
+        place = {v: i for i, v in enumerate(names)}
+        at[m] = np.array([place[r[m]] for r in rows], dtype=np.int64)
+        want[m] = np.array([goal[m][v] for v in names], dtype=np.float64)
+    error = earlier = math.inf if rows else 0.0
+    for done in range(1, MOST_ROUNDS + 1 if rows else 1):
+        for m in MARGINS:
+            w = w * (want[m] / np.bincount(at[m], weights=w))[at[m]]
+        if done < rounds:
+            continue
+        off = [np.bincount(at[m], weights=w) / w.sum() * want[m].sum() / want[m] - 1 for m in MARGINS]
+        error = max(float(np.abs(x).max()) for x in off)
+        if error <= TOLERANCE:
+            break
+        if done % STALLED == 0:
+            if error > 0.99 * earlier:
+                break
+            earlier = error
+    out = [(*(r[m] for m in MARGINS), r["now"], max(x, LEAST)) for r, x in zip(rows, w.tolist())]
+    columns = ", ".join(f"{m} string" for m in MARGINS)
+    return cells.sparkSession.createDataFrame(out, f"{columns}, now double, w double"), error
+
+
 def rake(cells: DataFrame, targets: dict[str, DataFrame] | None = None, temper: dict[str, float] | None = None,
          rounds: int = ROUNDS) -> DataFrame:
     """The cells with ``w``, whose totals by each margin are in proportion to the targets.
 
-    Values without a target keep nothing; the last margin is met exactly, the others as far
-    as the rounds have converged.
+    Values without a target keep nothing. Rounds go on, ``rounds`` at least, until every total is
+    within ``TOLERANCE`` of its target. Targets that cannot be met together end at a bound with a
+    warning that names the error left; the last margin is met exactly even then.
     """
     cells = settled(cells.filter("now > 0"), "cells")
     goals = {}
     for m in MARGINS:
-        t = given(targets[m], m) if targets and m in targets else tempered(cells, m, (temper or TEMPER)[m])
+        t = given(targets[m], m).filter("_share > 0") if targets and m in targets else tempered(cells, m, (temper or TEMPER)[m])
         one = t.agg(F.sum("_share").alias("_all"))
         goals[m] = settled(t.crossJoin(F.broadcast(one)).select(m, (F.col("_share") / F.col("_all")).alias("_goal")), f"goal-{m}")
-    scales = {m: settled(goals[m].select(m, F.lit(1.0).alias("_f")), f"scale-{m}") for m in MARGINS}
+    scales = {m: goals[m].select(m, F.lit(1.0).alias("_f")) for m in MARGINS}
 
     def scaled(but: str | None = None) -> DataFrame:
         out = cells.withColumn("w", F.col("now"))
@@ -110,12 +155,30 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame] | None = None, temper:
                 out = out.join(scales[m], m).withColumn("w", F.col("w") * F.col("_f")).drop("_f")
         return out
 
-    for _ in range(rounds):
+    def error_left() -> float:
+        """Shares are those of the values that have cells, as only they can have tokens."""
+        worst = []
         for m in MARGINS:
-            total = scaled(but=m).groupBy(m).agg(F.sum("w").alias("_w"))
-            found = total.join(goals[m], m).select(m, (F.col("_goal") / F.col("_w")).alias("_f"))
-            scales[m] = settled(found, f"scale-{m}")
-    return scaled().select(*MARGINS, "now", "w")
+            met = scaled().groupBy(m).agg(F.sum("w").alias("_w")).join(goals[m], m)
+            all_of = met.agg(F.sum("_w").alias("_ws"), F.sum("_goal").alias("_goals"))
+            error = F.abs(F.col("_w") / F.col("_ws") * F.col("_goals") / F.col("_goal") - 1)
+            worst.append(met.crossJoin(F.broadcast(all_of)).agg(F.max(error)).first()[0] or 0.0)
+        return max(worst)
+
+    if cells.count() <= DRIVER_CELLS:
+        out, error = raked_on_driver(cells, goals, rounds)
+    else:
+        for done in range(1, max(rounds, MOST_JOB_ROUNDS) + 1):
+            for m in MARGINS:
+                total = scaled(but=m).groupBy(m).agg(F.sum("w").alias("_w"))
+                found = total.join(goals[m], m).select(m, (F.col("_goal") / F.col("_w")).alias("_f"))
+                scales[m] = settled(found, f"scale-{m}")
+            if done >= rounds and (error := error_left()) <= TOLERANCE:
+                break
+        out = scaled().select(*MARGINS, "now", "w")
+    if error > TOLERANCE:
+        log.warning("raking stopped with totals up to %.2g of their targets off", error)
+    return out
 
 
 def divisor(scale: DataFrame, kept: float = KEPT) -> float | None:
@@ -125,6 +188,7 @@ def divisor(scale: DataFrame, kept: float = KEPT) -> float | None:
     low, high, total = scale.agg(F.min("_s"), F.max("_s"), F.sum("now")).first()
     if high is None or scale.agg(left(high)).first()[0] >= kept * total:
         return high
+    low = max(low, high * LEAST)
     while high > low * (1 + NEAR):
         tried = [low * (high / low) ** (i / TRIED) for i in range(TRIED + 1)]
         found = scale.agg(*[left(d).alias(f"d{i}") for i, d in enumerate(tried)]).first()

@@ -220,3 +220,31 @@ def test_cells_without_rare_values_keep_the_largest_scale(spark):
     cells = spark.createDataFrame([("a", "x", "t", 70.0, 70.0), ("b", "x", "t", 30.0, 33.0)], "source string, lang string, topic string, now double, w double")
     got = {r.source: r.probability for r in mixing.probabilities(cells).collect()}
     assert got == {"a": pytest.approx(1 / 1.1), "b": 1.0}
+
+
+@pytest.mark.parametrize("alone, on_driver", [(0.9, True), (0.99, True), (0.999, True), (0.9, False)])
+def test_raking_of_nearly_monolingual_sources(spark, monkeypatch, alone, on_driver):
+    """Before: six rounds left sources up to half of their target off."""
+    if not on_driver:
+        monkeypatch.setattr(mixing, "DRIVER_CELLS", 0)
+    langs = ["en", "de", "fr", "es"]
+    rows = [
+        (f"s{i}", x, "prose", 10 ** (3 + 4 * i / 7) * (alone if i % 4 == k else (1 - alone) / 3))
+        for i in range(8) for k, x in enumerate(langs)
+    ]
+    raked = mixing.rake(spark.createDataFrame(rows, "source string, lang string, topic string, now double")).collect()
+    for m, place in (("source", 0), ("lang", 1)):
+        now, got = Counter(), Counter()
+        for r in rows:
+            now[r[place]] += r[3]
+        for r in raked:
+            got[r[m]] += r.w
+        goal = {k: v ** mixing.TEMPER[m] for k, v in now.items()}
+        for k in goal:
+            assert got[k] / sum(got.values()) == pytest.approx(goal[k] / sum(goal.values()), rel=2 * mixing.TOLERANCE)
+
+
+def test_raking_reports_targets_that_exclude_each_other(spark, caplog):
+    cells = spark.createDataFrame([("a", "en", "t", 90.0), ("b", "fr", "t", 10.0)], "source string, lang string, topic string, now double")
+    assert mixing.rake(cells).count() == 2
+    assert "of their targets off" in caplog.text
