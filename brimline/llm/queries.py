@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brimline.llm import id_store, line_rules, mixing, packing, pseudonyms, quality_model, secret_scan, sharding, simhash, topk
+from brimline.llm import differencing, id_store, line_rules, mixing, packing, pseudonyms, quality_model, secret_scan, sharding, simhash, topk
 from brimline.llm.common import prepared, settled, table
 from brimline.llm.tokens import VOCABULARY
 from brimline.session import scratch_path
@@ -210,3 +210,8 @@ WINDOW w AS (PARTITION BY query_id ORDER BY score DESC, vec_id) QUALIFY row_numb
 def op1_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = quality_model.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return out.withColumns({c: F.round(c, 4) for c in ("perplexity", "threshold")})
+
+
+@query
+def op13_differenced_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return differencing.pack(table(spark, sf_dir, "documents"), VOCABULARY)
