@@ -154,8 +154,12 @@ class Tree:
                 self.paths.append(here)
         return node
 
+    def beside(self, leaf: int) -> Node:
+        """The node whose split points stand beside a leaf's own."""
+        return self.paths[leaf][-1][0]
+
     def points(self, leaf: int) -> np.ndarray:
-        """All split points beside the way to a leaf."""
+        """The split points of all nodes on the way to a leaf."""
         return np.concatenate([node.pivots for node, _ in self.paths[leaf]])
 
     def leaves(self, m: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -186,14 +190,13 @@ class Tree:
             a = b
 
     def meeting(self, q: np.ndarray, low: np.ndarray, high: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-        """Leaf, rows of ``q`` whose annulus may meet it, and their distances to its points."""
+        """Leaf, rows of ``q`` whose annulus may meet it, and their distances to the points beside it."""
         size = lengths(q)
-        todo = [(self.root, np.arange(len(q)), np.empty((len(q), 0)))] if self.root else []
+        todo = [(self.root, np.arange(len(q)))] if self.root else []
         while todo:
-            node, at, above = todo.pop()
+            node, at = todo.pop()
             d = distances(q[at], node.pivots)
             slack = SLACK * (size[at, None] + node.size)
-            along = np.concatenate([above, d], axis=1)
             for j, below in enumerate(node.under):
                 if node.high[0, j] < 0:  # no vector lies there
                     continue
@@ -203,9 +206,9 @@ class Tree:
                 left = ~((nearest.max(axis=1) > outer) | (farthest.min(axis=1) < inner))
                 if left.any():
                     if isinstance(below, Node):
-                        todo.append((below, at[left], along[left]))
+                        todo.append((below, at[left]))
                     else:
-                        yield below, at[left], along[left]
+                        yield below, at[left], d[left]
 
 
 def annulus(size: np.ndarray, low: np.ndarray, high: np.ndarray, short: float, long: float) -> tuple[np.ndarray, np.ndarray]:
@@ -227,7 +230,7 @@ class Index(NamedTuple):
 
 
 BLOCK_DDL = (
-    "leaf int, n int, width int, low array<double>, high array<double>, short double, long double, "
+    "leaf int, n int, width int, beside int, low array<double>, high array<double>, short double, long double, "
     "cids binary, firsts binary, labels binary, parts binary"
 )
 
@@ -265,10 +268,10 @@ def built(rows: DataFrame) -> Index:
                 d, size = distances(m, points), lengths(m)
                 slack = SLACK * (size.max() + lengths(points))
                 columns = [part.column(c).to_numpy().tobytes() for c in ("cid", "first", "label")]
-                out.append((where, len(m), m.shape[1], np.maximum(0, d.min(axis=0) - slack).tolist(), (d.max(axis=0) + slack).tolist(),
+                out.append((where, len(m), m.shape[1], len(shared.value.beside(where).pivots), np.maximum(0, d.min(axis=0) - slack).tolist(), (d.max(axis=0) + slack).tolist(),
                             float(size.min() * (1 - SLACK)), float(size.max() * (1 + SLACK)), *columns, m.tobytes()))
             many = pa.list_(pa.float64())
-            kinds = [pa.int32()] * 3 + [many] * 2 + [pa.float64()] * 2 + [pa.binary()] * 4
+            kinds = [pa.int32()] * 4 + [many] * 2 + [pa.float64()] * 2 + [pa.binary()] * 4
             names = [c.split()[0] for c in BLOCK_DDL.split(", ")]
             columns = list(zip(*out)) if out else [[]] * len(names)
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], names=names)
@@ -320,24 +323,25 @@ def left_blocks(index: Index, queries: DataFrame, same_label: bool, k: int) -> D
                         floor[i] = np.partition(found, len(found) - k)[len(found) - k]
                 qid, size = batch.column("qid").to_numpy(), lengths(q)
                 for leaf, at, d in tree.meeting(q, floor, high):
-                    points = lengths(tree.points(leaf))
+                    slack = SLACK * (size[at] + tree.beside(leaf).size.max())
                     yield pa.RecordBatch.from_arrays([
-                        pa.array(np.full(len(at), leaf, dtype=np.int32)), pa.array(qid[at]), pa.array(size[at]), pa.array(floor[at]), pa.array(high[at]),
-                        pa.array(list(d - SLACK * (size[at, None] + points)), pa.list_(pa.float64())),
-                        pa.array(list(d + SLACK * (size[at, None] + points)), pa.list_(pa.float64())),
-                    ], names=["leaf", "qid", "size", "floor", "ceiling", "least", "most"])
+                        pa.array(np.full(len(at), leaf, dtype=np.int32)), pa.array(qid[at]), pa.array(size[at]), pa.array(slack),
+                        pa.array(floor[at]), pa.array(high[at]), pa.array(list(d), pa.list_(pa.float64())),
+                    ], names=["leaf", "qid", "size", "slack", "floor", "ceiling", "d"])
 
     ways = queries.mapInArrow(
-        routed, "leaf int, qid bigint, size double, floor bigint, ceiling bigint, least array<double>, most array<double>"
+        routed, "leaf int, qid bigint, size double, slack double, floor bigint, ceiling bigint, d array<double>"
     )
-    pairs = ways.join(index.blocks.select("leaf", "block", "low", "high", "short", "long"), "leaf")
+    # Spark takes what Python returns for as small as what Python got, so no side is left to its guess
+    beside = index.blocks.withColumns({c: F.slice(c, -F.col("beside"), F.col("beside")) for c in ("low", "high")})
+    pairs = ways.hint("merge").join(beside.select("leaf", "block", "low", "high", "short", "long"), "leaf")
     square = F.col("size") * F.col("size")
     room = SLACK * (square + F.col("long") * F.col("long"))
     inner = square + F.col("short") * F.col("short") - 2.0 * F.col("ceiling") - room
     outer = square + F.col("long") * F.col("long") - 2.0 * F.col("floor") + room
     inner, outer = (F.sqrt(F.greatest(x, F.lit(0.0))) for x in (inner, outer))
-    near = F.array_max(F.concat(F.zip_with("low", "most", lambda r, d: r - d), F.zip_with("least", "high", lambda d, r: d - r)))
-    far = F.array_min(F.zip_with("most", "high", lambda d, r: d + r))
+    near = F.array_max(F.concat(F.zip_with("low", "d", lambda r, d: r - d), F.zip_with("d", "high", lambda d, r: d - r))) - F.col("slack")
+    far = F.array_min(F.zip_with("d", "high", lambda d, r: d + r)) + F.col("slack")
     return pairs.filter(~((near > outer) | (far < inner))).select("block", "qid", "floor")
 
 
@@ -349,7 +353,7 @@ def searched(index: Index, queries: DataFrame, same_label: bool, k: int) -> Data
     """
     bundles = -(-max(1, queries.count()) // ANCHORS_AT_ONCE)
     pairs = left_blocks(index, queries, same_label, k)
-    asked = pairs.join(queries.select("qid", "label", "v", "high"), "qid")
+    asked = pairs.hint("merge").join(queries.select("qid", "label", "v", "high"), "qid")
     part = F.pmod(F.xxhash64("qid"), F.lit(bundles))
     bundled = asked.groupBy("block", part.alias("part")).agg(F.collect_list(F.struct("qid", "label", "floor", "high", "v")).alias("asked"))
     payload = index.blocks.select("block", "width", "cids", "firsts", "labels", "parts")
@@ -374,14 +378,14 @@ def searched(index: Index, queries: DataFrame, same_label: bool, k: int) -> Data
                     [pa.array(np.concatenate(c) if c else np.empty(0, dtype=np.int64)) for c in out], names=["qid", "cid", "first", "score"]
                 )
 
-    found = bundled.join(payload, "block").mapInArrow(verified, "qid bigint, cid bigint, first bigint, score bigint")
+    found = bundled.hint("merge").join(payload, "block").mapInArrow(verified, "qid bigint, cid bigint, first bigint, score bigint")
     order = Window.partitionBy("qid").orderBy(F.col("score").desc(), "first", "cid")
     return found.withColumn("_nth", F.row_number().over(order)).filter(F.col("_nth") <= k).select("qid", "cid", "score")
 
 
 def rows_of(found: DataFrame, members: DataFrame, k: int) -> DataFrame:
     """``qid, cid, vec_id, score, rank``: the k best rows of the classes found."""
-    each = found.join(members.select("cid", "ids"), "cid").select("qid", "cid", "score", F.explode("ids").alias("vec_id"))
+    each = found.hint("merge").join(members.select("cid", "ids"), "cid").select("qid", "cid", "score", F.explode("ids").alias("vec_id"))
     order = Window.partitionBy("qid").orderBy(F.col("score").desc(), "vec_id", "cid")
     return each.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
 
@@ -408,7 +412,7 @@ def hard_negatives(embeddings: DataFrame, is_anchor: Column, label: Column, key:
     near = near.select(F.col("qid").alias("own"), F.struct("rank", "cid", "vec_id", "score").alias("p"))
     near = near.groupBy("own").agg(F.sort_array(F.collect_list("p")).alias("near"))
     others = F.filter("near", lambda p: (p["vec_id"] != F.col("anchor_id")) | (p["cid"] != F.col("cid")))
-    pairs = anchors.select("anchor_id", "cid").join(near, F.col("cid") == F.col("own"))
+    pairs = anchors.select("anchor_id", "cid").join(near.hint("merge"), F.col("cid") == F.col("own"))
     pairs = pairs.select("anchor_id", "cid", F.explode(F.slice(others, 1, positives)).alias("p"))
     pairs = settled(pairs.select("anchor_id", "cid", F.col("p.vec_id").alias("positive_id"), F.col("p.score").alias("positive_score")), "positives")
 
@@ -421,7 +425,7 @@ def hard_negatives(embeddings: DataFrame, is_anchor: Column, label: Column, key:
     )
     windows = settled(windows, "windows")
     hard = rows_of(searched(index, windows.select("qid", "label", "v", "low", "high"), False, negatives), members, negatives)
-    hard = hard.join(windows.select("qid", F.col("cid").alias("_cid"), F.col("positive_score").alias("_score")), "qid")
+    hard = hard.hint("merge").join(windows.select("qid", F.col("cid").alias("_cid"), F.col("positive_score").alias("_score")), "qid")
     hard = hard.select("_cid", "_score", "rank", F.col("vec_id").alias("negative_id"), F.col("score").alias("negative_score"))
-    out = pairs.join(hard, (F.col("cid") == F.col("_cid")) & (F.col("positive_score") == F.col("_score")))
+    out = pairs.join(hard.hint("merge"), (F.col("cid") == F.col("_cid")) & (F.col("positive_score") == F.col("_score")))
     return out.select("anchor_id", "positive_id", F.col("rank").cast("int").alias("rank"), "negative_id", "positive_score", "negative_score")
