@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brimline.llm import differencing, id_store, line_rules, mixing, negatives, packing, pseudonyms, quality_model, secret_scan, sharding, simhash, topk
+from brimline.llm import collocations, differencing, id_store, line_rules, mixing, negatives, packing, pseudonyms, quality_model, secret_scan, sharding, simhash, topk
 from brimline.llm.common import prepared, settled, table
 from brimline.llm.tokens import VOCABULARY
 from brimline.session import scratch_path
@@ -242,3 +242,49 @@ FROM p JOIN s USING (anchor_id)
 WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
 WINDOW w AS (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) QUALIFY row_number() OVER w <= 10
 """
+
+
+@query
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+def _phrases_sql() -> str:
+    return " UNION ALL ".join(
+        f"SELECT lang, w[i:i + {n - 1}] AS p FROM (SELECT lang, w, unnest(range(1, len(w) - {n - 2})) AS i FROM w WHERE len(w) >= {n})"
+        for n in range(1, collocations.LONGEST + 1)
+    )
+
+
+ORACLE["op11_collocations"] = rf"""
+WITH t AS (
+  SELECT coalesce(lang, 'und') AS lang,
+         translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents
+),
+w AS (
+  SELECT lang, regexp_extract_all(piece, '[^ 	]+') AS w
+  FROM (SELECT lang, unnest(string_split_regex(t, '[.,;:!?
+-]')) AS piece FROM t)
+),
+size AS (SELECT lang, sum(len(w))::BIGINT AS n FROM w GROUP BY lang),
+f AS (SELECT lang, p, count(*) AS f FROM ({_phrases_sql()}) GROUP BY ALL HAVING count(*) >= {collocations.LEAST}),
+cut AS (SELECT lang, p, f AS a, unnest(range(1, len(p))) AS k FROM f WHERE len(p) > 1),
+s AS (
+  SELECT c.lang, c.p, c.a, k, l.f AS l, r.f AS r, ({collocations.SCORE_SCALE}::HUGEINT * c.a) // (l.f + r.f) AS score
+  FROM cut c JOIN f l ON l.lang = c.lang AND l.p = c.p[:k] JOIN f r ON r.lang = c.lang AND r.p = c.p[k + 1:]
+  QUALIFY row_number() OVER (PARTITION BY c.lang, c.p ORDER BY score, k) = 1
+),
+sub AS (
+  SELECT lang, p[i:i + n - 1] AS p, max(f) AS f
+  FROM (SELECT lang, p, f, n, unnest(range(1, len(p) - n + 2)) AS i
+        FROM (SELECT lang, p, f, unnest(range(2, len(p))) AS n FROM f WHERE len(p) > 2))
+  GROUP BY ALL
+),
+best AS (
+  SELECT s.lang, array_to_string(s.p, ' ') AS phrase, a, l, r, score::BIGINT AS score
+  FROM s LEFT JOIN sub ON s.lang = sub.lang AND s.p = sub.p
+  WHERE sub.f IS NULL OR 100 * sub.f < {collocations.COVERED_PERCENT} * a
+)
+SELECT lang, row_number() OVER o AS rank, phrase, a, l, r, n, score FROM best JOIN size USING (lang)
+WINDOW o AS (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) QUALIFY row_number() OVER o <= {collocations.TOP}
+"""
