@@ -135,12 +135,26 @@ EV = (EVENTS, regular(EVENT_COLS))
 EVS = (*EV, SPLIT)
 
 # Persistence from every validation origin: self joins of whole series.
-CHANGES = f"""
+def step_changes(horizon: int) -> str:
+    return f"""
 changes as (
   select a.site_id, b.time_idx - a.time_idx as step, b.{Y} - a.{Y} as d
-  from parts a join parts b on a.site_id = b.site_id and b.time_idx between a.time_idx + 1 and a.time_idx + {H}
+  from parts a join parts b on a.site_id = b.site_id and b.time_idx between a.time_idx + 1 and a.time_idx + {horizon}
   where a.split = 'train' and b.split = 'train'),
 spread as {quantiles('changes', 'site_id, step', 'd')}"""
+
+
+def long_persistence(horizon: int) -> str:
+    return f"""
+  select o.site_id, o.time_idx as origin_idx, a.step::int as step, o."timestamp" + to_hours(a.step::int) as "timestamp",
+    {rounded(["q10", "q50", "q90"])}
+  from (select *, {Y} as v from parts where time_idx = series_len - 1) o
+  cross join (select unnest(generate_series(1, {horizon})) as step) a
+  left join (select * from spread) s on s.site_id = o.site_id and s.step = a.step
+  cross join lateral (select o.v + s.lo as q10, o.v + s.mid as q50, o.v + s.hi as q90)"""
+
+
+CHANGES = step_changes(H)
 BACKTEST = f"""
 {CHANGES.strip()},
 backtest as (
@@ -464,6 +478,15 @@ regular as (
   from (select o.site_id, o.time_idx as origin_idx, w.time_idx - o.time_idx as step, w.{Y} as v
         from regular o join regular w on o.site_id = w.site_id and w.time_idx between o.time_idx - 23 and o.time_idx + 12
         where o.time_idx >= 23 and o.time_idx + 12 < o.series_len) group by 1, 2"""),
+    "window_arrays_two_weeks": with_(USERS, regular(USER_COLS), body=f"""
+  select site_id, origin_idx, {', '.join(
+      f"""{r(f"max(case when step = {a} then v end)", f"{n}_first")}, {r(f"max(case when step = {b} then v end)", f"{n}_last")},
+      {r(f"sum(case when step between {a} and {b} then coalesce(v, 0) * step else 0 end)", f"{n}_total")},
+      count(case when step between {a} and {b} then 1 end)::int as {n}_size"""
+      for n, a, b in (("encoder", -167, 0), ("decoder", 1, 336)))}
+  from (select o.site_id, o.time_idx as origin_idx, w.time_idx - o.time_idx as step, w.{Y} as v
+        from regular o join regular w on o.site_id = w.site_id and w.time_idx between o.time_idx - 167 and o.time_idx + 336
+        where o.time_idx >= 167 and o.time_idx + 336 < o.series_len and (o.time_idx - 167) % 24 = 0) group by 1, 2"""),
     "normalized_target": with_(*EV, body=f"""
   select {S}, {T}, {r(f'({Y} - avg({Y}) over (partition by site_id)) / stddev_samp({Y}) over (partition by site_id)', Y + '_norm')}
   from regular"""),
@@ -486,6 +509,8 @@ st as (select avg({Y}) as m, stddev_pop({Y}) as s from marked where not is_futur
   left join spread s on s.site_id = o.site_id and s.step = a.step
   left join parts f on f.site_id = o.site_id and f.time_idx = o.time_idx + a.step
   where o.time_idx = o.series_len - 1 - {H}"""),
+    "persistence_two_weeks": with_(*EVS, step_changes(336), body=long_persistence(336)),
+    "persistence_users": with_(USERS, regular(USER_COLS), SPLIT, step_changes(336), body=long_persistence(336)),
     "seasonal": with_(*EVS, seasonal(24, 48, 48), body=f"""
   select {', '.join('f.' + c for c in ('site_id', 'origin_idx', 'step'))}, f.{T}, {BANDS}, {r(f'p.{Y}', 'y')}
   from seasonal f left join parts p on p.site_id = f.site_id and p.{T} = f.{T}"""),

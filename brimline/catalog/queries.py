@@ -396,6 +396,16 @@ def window_array_form(spark, sf_dir):
     return rows.select(SITE, "origin_idx", F.md5(join("encoder")).alias("encoder"), F.md5(join("decoder")).alias("decoder"))
 
 
+@query
+def window_arrays_two_weeks(spark, sf_dir):
+    """A week behind and two ahead, one window a day, of every user."""
+    rows = window_arrays(regularize(users_panel(spark, sf_dir).select(SITE, TIME, TARGET)), [TARGET], 168, 336, stride=24)
+    value = lambda c, i: F.element_at(c, i)[TARGET].alias(f"{c}_{'first' if i == 1 else 'last'}")
+    total = lambda c: F.aggregate(c, F.lit(0.0), lambda a, x: a + F.coalesce(x[TARGET], F.lit(0.0)) * x["step"]).alias(f"{c}_total")
+    parts = [f for c in ("encoder", "decoder") for f in (value(c, 1), value(c, -1), total(c), F.size(c).alias(f"{c}_size"))]
+    return rows.select(SITE, "origin_idx", *parts)
+
+
 @query
 def normalized_target(spark, sf_dir):
     rows = normalize_target(regular_events(spark, sf_dir))
@@ -429,6 +439,18 @@ def persistence(spark, sf_dir):
     return fc.attach_actuals(fc.persistence_forecast(rows, HORIZON, HORIZON), rows)
 
 
+@query
+def persistence_two_weeks(spark, sf_dir):
+    """Chunks shorter than the series, so that their summaries have to agree on the ranks."""
+    return fc.persistence_forecast(split_events(spark, sf_dir), 336, chunk_steps=168)
+
+
+@query
+def persistence_users(spark, sf_dir):
+    rows = split_by_ratio(regularize(users_panel(spark, sf_dir).select(SITE, TIME, TARGET)))
+    return fc.persistence_forecast(rows, 336)
+
+
 @query
 def seasonal(spark, sf_dir):
     rows = split_events(spark, sf_dir)

@@ -7,15 +7,20 @@ Panels must be regular (``time_idx``, ``series_len``; see operators/grid.py).
 from __future__ import annotations
 
 import math
+from collections.abc import Iterable, Iterator
 
-from pyspark.sql import Column, DataFrame
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from brimline.functions.ranks import Question, Summary, narrowed, rank_of, summarized
 from brimline.functions.stats import grouped_quantiles
 from brimline.functions.time import calendar, floor_div, from_micros, micros, step_micros
 from brimline.operators.split import SPLIT
-from brimline.operators.windows import ORIGIN, STEP, horizon_pairs
-from brimline.plans.chunks import CHUNK_STEPS, chunk_window, core, with_halo
+from brimline.operators.windows import ORIGIN, STEP, horizon_chunks, horizon_pairs, pairs_of
+from brimline.plans.chunks import CHUNK_STEPS, HALO, chunk_window, core, with_halo, with_series
 from brimline.schema import (
     DECODER_STEPS,
     FREQUENCY,
@@ -28,7 +33,7 @@ from brimline.schema import (
     TIMEZONE,
     require,
 )
-from brimline.session import scratch_path
+from brimline.session import scratch_path, settled
 
 BANDS = ["q10", "q50", "q90"]
 
@@ -69,9 +74,160 @@ def persistence_spread(
     chunk_steps: int = CHUNK_STEPS,
 ) -> DataFrame:
     """Quantiles of the ``step``-ahead change per series and step, over the train rows."""
-    pairs = horizon_pairs(train, horizon, target, site, time, chunk_steps)
-    change = pairs.select(site, STEP, (F.col("y") - F.col("y_origin")).alias("_d"))
-    return grouped_quantiles(change, [site, STEP], "_d", quantiles, ["_lo", "_mid", "_hi"]).drop("n_obs")
+    chunks = settled(horizon_chunks(train, horizon, target, site, time, chunk_steps, [LENGTH]), "spread-chunks")
+    return spread_of_chunks(chunks, horizon, target, site, quantiles, chunk_steps)
+
+
+def spread_of_chunks(
+    chunks: DataFrame,
+    horizon: int,
+    target: str = TARGET,
+    site: str = SITE,
+    quantiles: list[float] = QUANTILES,
+    chunk_steps: int = CHUNK_STEPS,
+    only: str | None = None,
+) -> DataFrame:
+    """``(site, step, _lo, _mid, _hi)`` from the arrays of :func:`horizon_chunks`, which must
+    be a written table; ``only`` names a split whose rows alone count.
+
+    All steps of a chunk are subtracted and sorted where they lie. A series of one chunk is
+    done with that. The chunks of a longer one answer with a summary per step, added up over
+    what one task reads before anything is shuffled, and the next pass asks for the narrower
+    bounds that follow (see functions/ranks.py); a few passes make it exact.
+    """
+    one_chunk = max(chunk_steps, horizon)
+    qs = [float(q) for q in quantiles]
+    size = f"element_at(_rows.{LENGTH}, 1)"
+    fields = [f"_rows.{POSITION}", f"_rows.{HALO}", f"_rows.{target}", f"_rows.{SPLIT if only else HALO}"]
+    lists = [F.col(c).alias(f"_{i}") for i, c in enumerate(fields)]
+    whole = chunks.filter(F.expr(f"{size} <= {one_chunk}")).select(site, *lists)
+    kind = whole.schema[site].dataType.simpleString()
+    names = ["_lo", "_mid", "_hi"]
+
+    def changes(batch: pa.RecordBatch, r: int) -> tuple[np.ndarray, np.ndarray]:
+        """Values by position, NaN where there is none, and which are the chunk's own."""
+        at, halo, y, split = (batch.column(f"_{i}")[r].values for i in range(4))
+        at = at.to_numpy() - at[0].as_py()
+        value = np.full(int(at[-1]) + 1, np.nan)
+        value[at] = pc.fill_null(y.cast(pa.float64()), np.nan).to_numpy(zero_copy_only=False)
+        own = np.zeros(len(value), dtype=bool)
+        own[at] = ~halo.to_numpy(zero_copy_only=False)
+        if only:
+            value[at[~pc.equal(split, only).fill_null(False).to_numpy(zero_copy_only=False)]] = np.nan
+        return value, own
+
+    def sorted_changes(parts: list[tuple[np.ndarray, np.ndarray]], step: int) -> np.ndarray:
+        d = np.concatenate([(v[step:] - v[:-step])[own[:-step]] if len(v) > step else v[:0] for v, own in parts])
+        return np.sort(d[~np.isnan(d)])
+
+    def picked(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for r in range(batch.num_rows):
+                part = [changes(batch, r)]
+                steps, bands = [], []
+                for h in range(1, horizon + 1):
+                    d = sorted_changes(part, h)
+                    if len(d):
+                        steps.append(h)
+                        bands.append([d[rank_of(q, len(d)) - 1] for q in qs])
+                column = pa.array([batch.column(0)[r]] * len(steps), batch.schema.field(0).type)
+                values = np.array(bands).reshape(-1, len(qs)).T
+                yield pa.RecordBatch.from_arrays([column, pa.array(steps, pa.int32()), *map(pa.array, values)], names=[site, STEP, *names])
+
+    done = whole.mapInArrow(picked, f"`{site}` {kind}, {STEP} int, _lo double, _mid double, _hi double")
+    long = chunks.filter(F.expr(f"{size} > {one_chunk}"))
+    if long.isEmpty():
+        return done
+    return done.unionByName(_long_spread(long, lists, changes, sorted_changes, horizon, site, kind, qs, names))
+
+
+#: Rows of a series whose changes are sorted together before their summary is sent.
+SUMMED_ROWS = 1 << 20
+
+_SUMMARY = "struct<below bigint, probed array<bigint>, inner bigint, samples array<double>>"
+_QUESTION = "struct<rank bigint, lo double, hi double, probes array<double>>"
+
+
+def _long_spread(long, lists, changes, sorted_changes, horizon, site, kind, qs, names) -> DataFrame:
+    """The passes of :func:`spread_of_chunks` over series of several chunks."""
+    everything = Question(0, -math.inf, math.inf, [])
+
+    def answered(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def told(key, asked, parts) -> pa.RecordBatch:
+            out = []
+            for h in range(1, horizon + 1):
+                questions = asked.get(h) if asked is not None else [everything] * len(qs)
+                if questions:
+                    d = sorted_changes(parts, h)
+                    answers = [summarized(d, Question(*q))._asdict() if q else None for q in questions]
+                    if len(d):
+                        out.append((key, h, len(d), answers))
+            columns = list(zip(*out)) if out else [[]] * 4
+            kinds = [schema.field(0).type, pa.int32(), pa.int64(), arrow]
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], names=[site, STEP, "n", "answers"])
+
+        summary = pa.struct([("below", pa.int64()), ("probed", pa.list_(pa.int64())), ("inner", pa.int64()), ("samples", pa.list_(pa.float64()))])
+        arrow = pa.list_(summary)
+        key, asked, parts, rows, schema = None, None, [], 0, None
+        for batch in batches:
+            schema = batch.schema
+            for r in range(batch.num_rows):
+                mine = batch.column(0)[r].as_py()
+                if parts and (mine != key or rows >= SUMMED_ROWS):
+                    yield told(key, asked, parts)
+                    parts, rows = [], 0
+                if not parts:
+                    given = batch.column("asked")[r].as_py() if "asked" in schema.names else None
+                    asked = {x[STEP]: [tuple(q.values()) if q else None for q in x["questions"]] for x in given} if given is not None else None
+                key = mine
+                parts.append(changes(batch, r))
+                rows += len(parts[-1][0])
+        if parts:
+            yield told(key, asked, parts)
+
+    def concluded(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        question = pa.struct([("rank", pa.int64()), ("lo", pa.float64()), ("hi", pa.float64()), ("probes", pa.list_(pa.float64()))])
+        for batch in batches:
+            found, left = [], []
+            for r in range(batch.num_rows):
+                told = batch.column("told")[r].as_py()
+                before = batch.column("questions")[r].as_py() or [None] * len(qs)
+                values = batch.column("found")[r].as_py() or [None] * len(qs)
+                n, nexts = sum(t["n"] for t in told), []
+                for i, q in enumerate(qs):
+                    asked = Question(*before[i].values()) if before[i] else everything._replace(rank=rank_of(q, n))
+                    result = values[i]
+                    if result is None:
+                        result = narrowed(asked, [Summary(**t["answers"][i]) for t in told if t["answers"][i] is not None])
+                    open_ = isinstance(result, Question)
+                    nexts.append(result._asdict() if open_ else None)
+                    values[i] = None if open_ else result
+                found.append(values)
+                left.append(nexts)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), pa.array(found, pa.list_(pa.float64())), pa.array(left, pa.list_(question))],
+                names=[site, STEP, "found", "questions"],
+            )
+
+    rows = long.select(site, *lists)
+    state = None
+    while True:
+        told = rows.mapInArrow(answered, f"`{site}` {kind}, {STEP} int, n bigint, answers array<{_SUMMARY}>")
+        told = told.groupBy(site, STEP).agg(F.collect_list(F.struct("n", "answers")).alias("told"))
+        if state is None:
+            told = told.withColumns({"found": F.lit(None).cast("array<double>"), "questions": F.lit(None).cast(f"array<{_QUESTION}>")})
+            rest = None
+        else:
+            told = told.join(state, [site, STEP])
+            rest = state.filter("forall(questions, q -> q IS NULL)")
+        told = told.select(site, STEP, "told", "found", "questions")
+        now = told.mapInArrow(concluded, f"`{site}` {kind}, {STEP} int, found array<double>, questions array<{_QUESTION}>")
+        state = settled(now if rest is None else now.unionByName(rest), "spread-state")
+        open_ = state.filter("exists(questions, q -> q IS NOT NULL)")
+        if open_.isEmpty():
+            return state.select(site, STEP, *[F.col("found")[i].alias(c) for i, c in enumerate(names)])
+        asked = open_.groupBy(site).agg(F.collect_list(F.struct(STEP, "questions")).alias("asked"))
+        rows = with_series(long, asked, site).filter("asked IS NOT NULL").select(site, *lists, "asked")
 
 
 def seasonal_spread(
@@ -244,25 +400,26 @@ def backtest_persistence(
     """Persistence forecasts from *every* origin whose ``horizon`` rows ahead all exist and
     that lies in ``split``, with the actual ``y``: the input of the evaluation operators.
 
-    The spread joins the rows before they are paired with their horizon, so the pairs are
-    written by a projection and not shuffled. ``labels_inside`` leaves out pairs whose actual
+    Spread and pairs read the same arrays of chunks, written once; the bands of a series meet
+    its arrays, and pairs are made of them by a projection and not shuffled. ``labels_inside`` leaves out pairs whose actual
     lies past the split: what is chosen by such scores has not seen the test rows.
     """
     require(df, SPLIT)
-    spread = persistence_spread(
-        df.filter(F.col(SPLIT) == "train"), horizon, target, site, time, quantiles, chunk_steps
-    )
     complete = (F.col(SPLIT) == split) & (F.col(POSITION) + F.lit(horizon) < F.col(LENGTH))
-    pairs = horizon_pairs(
-        df, horizon, target, site, time, chunk_steps, keep=[SPLIT, LENGTH], origin_filter=complete,
-        label_keep=[SPLIT] if labels_inside else [], series_stats=_per_series(spread, site, STEP),
-    )
+    chunks = settled(horizon_chunks(df, horizon, target, site, time, chunk_steps, [SPLIT, LENGTH], complete), "backtest-chunks")
+    spread = spread_of_chunks(chunks, horizon, target, site, quantiles, chunk_steps, only="train")
+    bands = F.sort_array(F.collect_list(F.struct(STEP, "_lo", "_mid", "_hi")))
+    # one place per step, NULL where a step was never seen
+    by_step = F.transform(F.sequence(F.lit(1), F.lit(horizon)), lambda h: F.get(F.filter("_seen", lambda b: b[STEP] == h), F.lit(0)))
+    per_series = spread.groupBy(site).agg(bands.alias("_seen")).withColumn("_all", F.when(F.size("_seen") == horizon, F.col("_seen")).otherwise(by_step))
+    per_series = per_series.select(site, *[F.col(f"_all.{c}").alias(c) for c in ("_lo", "_mid", "_hi")])
+    pairs = pairs_of(chunks, horizon, target, site, time, label_keep=[SPLIT] if labels_inside else [], series_stats=per_series)
     if labels_inside:
         pairs = pairs.filter(F.col(f"label_{SPLIT}") == split)
+    band = lambda c: F.col("y_origin") + F.get(c, F.col(STEP) - 1)
     return pairs.select(
         site, ORIGIN, STEP, _ahead(F.col("origin_ts"), F.col(STEP), frequency).alias(time),
-        *_spread_bands(F.col("y_origin"), F.col(STEP)),
-        "y",
+        *[band(c).alias(b) for c, b in zip(["_lo", "_mid", "_hi"], BANDS)], "y",
     )
 
 

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from brimline.functions.time import floor_div
-from brimline.plans.chunks import CHUNK, CHUNK_STEPS, by_chunk, chunk_window, core, with_halo
+from brimline.plans.chunks import CHUNK, CHUNK_STEPS, HALO, by_chunk, chunk_arrays, core, with_halo, with_series
 from brimline.schema import (
     DECODER_STEPS,
     ENCODER_STEPS,
@@ -99,22 +99,50 @@ def window_arrays(
     stride: int = 1,
     site: str = SITE,
     only: str = "all",
+    chunk_steps: int = CHUNK_STEPS,
 ) -> DataFrame:
     """One row per window with ``encoder`` and ``decoder`` arrays of structs in time order.
 
-    A group holds exactly ``enc_len + dec_len`` rows.
+    Each chunk with its halo is one array, and a window is two slices of it, cut at the
+    origins wanted only: no row travels into the windows it is part of, and after the
+    exchange by chunk there is no other. Windows over positions that are missing are left
+    out.
     """
-    long = window_rows(df, enc_len, dec_len, stride, site, only)
-    item = F.struct(STEP, *columns)
-    past = F.col(STEP) <= 0
-    return (
-        long.groupBy(site, ORIGIN)
-        .agg(
-            F.sort_array(F.collect_list(F.when(past, item))).alias("encoder"),
-            F.sort_array(F.collect_list(F.when(~past, item))).alias("decoder"),
-        )
-        .filter((F.size("encoder") == enc_len) & (F.size("decoder") == dec_len))
-    )
+    require(df, site, POSITION, LENGTH, *columns)
+    steps = max(chunk_steps, enc_len + dec_len)
+    wanted = _origin_wanted(enc_len, dec_len, stride, only)
+    if only in ("train", "validation"):
+        df = with_cutoff(df, dec_len)
+    marked = df.withColumn("_wanted", wanted)
+    chunks = chunk_arrays(marked, ["_wanted", *columns], site, POSITION, enc_len - 1, dec_len, steps)
+    lists = chunks.select(site, *[F.col(f"_rows.{c}").alias(f"_all_{c}") for c in [POSITION, HALO, "_wanted", *columns]])
+    at = F.posexplode(F.transform(F.arrays_zip(f"_all_{HALO}", "_all__wanted"), lambda x: ~x[f"_all_{HALO}"] & x["_all__wanted"]))
+    origins = lists.select("*", at.alias("_at", "_yes")).filter("_yes")
+    position = lambda i: F.get(f"_all_{POSITION}", i)
+    first, last = position(F.col("_at") - (enc_len - 1)), position(F.col("_at") + dec_len)
+    origins = origins.withColumn(ORIGIN, position(F.col("_at")))
+    origins = origins.filter((F.col(ORIGIN) - first == enc_len - 1) & (last - F.col(ORIGIN) == dec_len))
+    out = origins
+    for name, begin, size, low in (("encoder", F.col("_at") - (enc_len - 2), enc_len, 1 - enc_len), ("decoder", F.col("_at") + 2, dec_len, 1)):
+        cut = {c: F.slice(f"_all_{c}", begin, F.lit(size)) for c in columns}
+        numbers = F.sequence(F.lit(low), F.lit(low + size - 1))
+        out = out.withColumns({STEP: numbers, **cut}).withColumn(name, F.arrays_zip(STEP, *columns)).drop(STEP, *columns)
+    return out.select(site, ORIGIN, "encoder", "decoder")
+
+
+def _origin_wanted(enc_len: int, dec_len: int, stride: int, only: str) -> Column:
+    """Whether a row is an origin of the set, as in :func:`window_rows`."""
+    position, last = F.col(POSITION), F.col(LENGTH) - 1 - F.lit(dec_len)
+    wanted = (position >= enc_len - 1) & (position <= last)
+    if only == "last":
+        return wanted & (position == last)
+    if only == "train":
+        wanted = wanted & (position <= F.col("cutoff") - F.lit(dec_len))
+    elif only == "validation":
+        wanted = wanted & (position >= F.col("cutoff"))
+    elif only != "all":
+        raise ValueError(f"unknown window set: {only!r}")
+    return wanted & ((position - (enc_len - 1)) % stride == 0)
 
 
 def has_gaps(df: DataFrame, site: str = SITE, chunk_steps: int = CHUNK_STEPS) -> DataFrame:
@@ -164,26 +192,62 @@ def horizon_pairs(
 
     ``(site, origin_idx, origin_ts, y_origin, step, y)``, plus the ``keep`` columns at the
     origin, ``label_{c}`` for the ``label_keep`` columns of the row ahead, and the columns of
-    ``series_stats`` (one row per site). The values ahead are read inside the chunk and its halo, so the pairs never
-    travel through a shuffle; only the unexpanded rows do.
+    ``series_stats`` (one row per site). Pairs are read out of the array of a chunk and its
+    halo: they never travel through a shuffle, and rows that ``origin_filter`` does not want
+    make none. The statistics meet the arrays, not the rows.
     """
-    steps = max(chunk_steps, horizon)
-    base = df.select(site, time, POSITION, target, *dict.fromkeys([*keep, *label_keep]))
-    chunked = with_halo(base, site, POSITION, 0, horizon, steps, series_stats)
-    ahead = chunk_window(site, POSITION).rowsBetween(1, horizon)
-    labels = [F.col(c).alias(f"label_{c}") for c in label_keep]
-    item = F.struct(F.col(POSITION).alias("i"), F.col(target).alias("y"), *labels)
-    rows = core(chunked.withColumn("_ahead", F.collect_list(item).over(ahead)))
-    if origin_filter is not None:
-        rows = rows.filter(origin_filter)
-    names = {POSITION: ORIGIN, time: "origin_ts", target: "y_origin"}
-    ahead_values = {f"label_{c}": F.col(f"_p.label_{c}") for c in label_keep}
-    pairs = rows.withColumnsRenamed(names).withColumn("_p", F.explode("_ahead"))
-    step = (F.col("_p.i") - F.col(ORIGIN)).cast("int")
-    pairs = pairs.withColumns({STEP: step, "y": F.col("_p.y"), **ahead_values})
+    chunks = horizon_chunks(df, horizon, target, site, time, chunk_steps, [*keep, *label_keep], origin_filter)
+    return pairs_of(chunks, horizon, target, site, time, keep, label_keep, series_stats)
+
+
+def horizon_chunks(
+    df: DataFrame,
+    horizon: int,
+    target: str = TARGET,
+    site: str = SITE,
+    time: str = TIME,
+    chunk_steps: int = CHUNK_STEPS,
+    keep: list[str] = (),
+    origin_filter: Column | None = None,
+) -> DataFrame:
+    """The arrays that :func:`pairs_of` reads, with each row's ``_origin`` mark. Several
+    jobs over the same horizon may share them."""
+    origin = F.lit(True) if origin_filter is None else F.coalesce(origin_filter, F.lit(False))
+    columns = ["_origin", time, target, *keep]
+    return chunk_arrays(df.withColumn("_origin", origin), columns, site, POSITION, 0, horizon, max(chunk_steps, horizon))
+
+
+def pairs_of(
+    chunks: DataFrame,
+    horizon: int,
+    target: str = TARGET,
+    site: str = SITE,
+    time: str = TIME,
+    keep: list[str] = (),
+    label_keep: list[str] = (),
+    series_stats: DataFrame | None = None,
+) -> DataFrame:
+    """Origins and their next rows out of :func:`horizon_chunks`; see :func:`horizon_pairs`."""
+    given = []
+    if series_stats is not None:
+        given = [c for c in series_stats.columns if c != site]
+        chunks = with_series(chunks, series_stats, site)
+    kept, labels = list(dict.fromkeys(keep)), list(dict.fromkeys(label_keep))
+    columns = list(dict.fromkeys([POSITION, HALO, "_origin", time, target, *kept, *labels]))
+    lists = chunks.select(site, *given, *[F.col(f"_rows.{c}").alias(f"_all_{c}") for c in columns])
+    size = F.size(f"_all_{POSITION}")
+    rows = lists.select("*", F.explode(F.sequence(F.lit(0), size - 1)).alias("_i"))
+    rows = rows.filter(~F.get(f"_all_{HALO}", F.col("_i")) & F.get("_all__origin", F.col("_i")) & (F.col("_i") + 1 < size))
+    ahead = F.sequence(F.col("_i") + 1, F.least(F.col("_i") + F.lit(horizon), size - 1))
+    pairs = rows.select("*", F.explode(ahead).alias("_j"))
+    at = lambda c, i: F.get(f"_all_{c}", F.col(i))
     # Positions may skip where rows were filtered out; a step is a distance, not a count.
-    dropped = [c for c in label_keep if c not in keep]
-    return pairs.filter(F.col(STEP) <= horizon).drop("_p", "_ahead", *dropped)
+    step = (at(POSITION, "_j") - at(POSITION, "_i")).cast("int")
+    return pairs.select(
+        site, at(time, "_i").alias("origin_ts"), at(POSITION, "_i").alias(ORIGIN), at(target, "_i").alias("y_origin"),
+        *[at(c, "_i").alias(c) for c in kept if c not in (time, target, POSITION)], *given,
+        step.alias(STEP), at(target, "_j").alias("y"), *[at(c, "_j").alias(f"label_{c}") for c in labels],
+    ).filter(F.col(STEP) <= horizon)
 
 
 def inference_frame(history: DataFrame, known_future: DataFrame) -> DataFrame:

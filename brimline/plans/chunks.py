@@ -61,6 +61,32 @@ def with_halo(
     return rows.join(by_chunk(chunks, site), [site, CHUNK], "left")
 
 
+def chunk_arrays(
+    df: DataFrame,
+    columns: list[str],
+    site: str,
+    position: str,
+    back: int = 0,
+    ahead: int = 0,
+    chunk_steps: int = CHUNK_STEPS,
+) -> DataFrame:
+    """One row per chunk: ``_rows``, its rows and its halo as structs ``(position, _halo,
+    columns)`` in order of position. Bounded like a chunk, and in the partitioning of
+    :func:`with_halo`: what is made of the array crosses no further exchange.
+    """
+    names = list(dict.fromkeys(columns))
+    chunked = with_halo(df.select(site, position, *names), site, position, back, ahead, chunk_steps)
+    item = F.struct(position, HALO, *names)
+    return chunked.groupBy(site, CHUNK).agg(F.sort_array(F.collect_list(item)).alias("_rows"))
+
+
+def with_series(chunks: DataFrame, series: DataFrame, site: str) -> DataFrame:
+    """Chunk rows with the columns of ``series`` (one row per site), which travel to the
+    chunks by their keys first: the arrays of a long series never meet in one task."""
+    spread = chunks.select(site, CHUNK).join(series, site)
+    return chunks.join(spread, [site, CHUNK], "left")
+
+
 def core(df: DataFrame) -> DataFrame:
     """Drop the halo copies and the chunk columns."""
     return df.filter(~F.col(HALO)).drop(CHUNK, HALO)
