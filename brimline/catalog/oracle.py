@@ -3,7 +3,6 @@
 
 from __future__ import annotations
 
-from brimline.functions import stats
 
 Y = "muc_thuong_luu"
 
@@ -168,28 +167,30 @@ BT = (*EVS, BACKTEST)
 
 
 def seasonal_changes(season: int, seasons: int) -> str:
+    lags = " union all ".join(
+        f"""select site_id, {k} as k, {Y} - lag({Y}, {k * season}) over w as d, split, lag(split, {k * season}) over w as before,
+               time_idx, series_len from parts window w as (partition by site_id order by time_idx)"""
+        for k in range(1, seasons + 1)
+    )
     return f"""
 season_changes as (
-  select a.site_id, k, a.{Y} - b.{Y} as d
-  from parts a cross join (select unnest(generate_series(1, {seasons})) as k) ks
-  join parts b on a.site_id = b.site_id and b.time_idx = a.time_idx - k * {season}
-  where a.split = 'train' and b.split = 'train' and a.time_idx <= a.series_len - 1 - :holdout
-    ),
+  select site_id, k, d from ({lags})
+  where split = 'train' and before = 'train' and time_idx <= series_len - 1 - :holdout),
 season_spread as {quantiles('season_changes', 'site_id, k', 'd')}"""
 
 
 def seasonal(season: int, horizon: int, holdout: int) -> str:
     seasons = -(-horizon // season)
     return seasonal_changes(season, seasons).replace(":holdout", str(holdout)) + f""",
+recent as materialized (
+  select site_id, series_len - 1 - {holdout} as origin_idx, time_idx - (series_len - 1 - {holdout}) as back, "timestamp" as t, {Y} as v
+  from parts where time_idx <= series_len - 1 - {holdout} and time_idx > series_len - 1 - {holdout} - {season}),
 seasonal as (
-  select o.site_id, o.time_idx as origin_idx, st.step::int as step,
-         o."timestamp" + to_hours(st.step::int) as "timestamp",
-         b.{Y} + s.lo as q10, b.{Y} + s.mid as q50, b.{Y} + s.hi as q90
-  from parts o cross join (select unnest(generate_series(1, {horizon})) as step) st
-  join parts b on b.site_id = o.site_id
-       and b.time_idx = o.time_idx + st.step - {season} * ((st.step + {season - 1}) // {season})
-  left join season_spread s on s.site_id = o.site_id and s.k = (st.step + {season - 1}) // {season}
-  where o.time_idx = o.series_len - 1 - {holdout})"""
+  select site_id, origin_idx, (back + k * {season})::int as step, t + to_hours((k * {season})::int) as "timestamp",
+         v + lo as q10, v + mid as q50, v + hi as q90
+  from (select r.*, ks.k, s.lo, s.mid, s.hi from recent r cross join (select unnest(generate_series(1, {seasons})) as k) ks
+        left join season_spread s on s.site_id = r.site_id and s.k = ks.k)
+  where back + k * {season} <= {horizon})"""
 
 
 def seasonal_backtest(season: int, horizon: int, split: str = "val") -> str:
@@ -244,13 +245,6 @@ def window_sql(condition: str, source: str = "regular") -> str:
 CUT = "(select max(time_idx) - 12 from regular)"
 
 
-def poly(coefficients: list[float], x: str) -> str:
-    out = repr(coefficients[0]) + "::double"
-    for c in coefficients[1:]:
-        out = f"({out} * {x} + {c!r}::double)"
-    return out
-
-
 RAW4 = ["muc_thuong_luu", "luu_luong_den", "tong_luong_xa", "xa_tran"]
 RAW_A = f"""
 raw as (
@@ -436,6 +430,10 @@ ORACLE: dict[str, str] = {
     "series_position": f"""
   select user_id as {S}, ts as {T}, event_id, row_number() over (partition by user_id order by ts) - 1 as time_idx,
          count(*) over (partition by user_id) as series_len from events""",
+    "series_position_segments": f"""
+  select {S}, {T}, series_len, min(i) as first_idx, max(i) as last_idx
+  from (select event_type as {S}, ts as {T}, row_number() over (partition by event_type order by ts) - 1 as i,
+               count(*) over (partition by event_type) as series_len from events) group by 1, 2, 3""",
     # splits and scaling
     "ratio_split": with_(*EVS, body=f" select {S}, {T}, split from parts"),
     "ratio_split_irregular": with_(USERS, """
@@ -600,15 +598,26 @@ binned as (select least(floor((e - lo) / (hi - lo) * 50)::int + 1, 50) as bin, c
   left join (select distinct date_trunc('minute', ts) as g from events) r on g = t group by 1""",
 }
 
+def newton(x: str) -> str:
+    """One step towards the value whose distribution function is ``p``."""
+    odd = ", ".join(f"{k}.0" for k in range(241, 1, -2))
+    series = f"list_reduce([1.0, {odd}], lambda a, d: 1 + a * {x} * {x} / d)"
+    phi = f"exp(-{x} * {x} / 2) / sqrt(2 * pi())"
+    return f"({x} - (0.5 - p + {phi} * {x} * {series}) / ({phi}))"
+
+
 QQ = f"""
 e as (select y - q50 as error, row_number() over (order by y - q50) as rank, count(*) over () as n from backtest),
 p as (select *, case when rank = n then pow(0.5, 1.0 / n) when rank = 1 then 1 - pow(0.5, 1.0 / n)
                      else (rank - 0.3175) / (n + 0.365) end as p from e),
-pr as (select *, p - 0.5 as q, 0.180625::double - (p - 0.5) * (p - 0.5) as r, sqrt(-ln(least(p, 1 - p))) as s from p),
-qq as (select rank, error, case
-    when abs(q) <= 0.425 then q * {poly(stats.CENTRAL_NUM, 'r')} / {poly(stats.CENTRAL_DEN, 'r')}
-    when s <= 5 then sign(q) * {poly(stats.MIDDLE_NUM, '(s - 1.6)')} / {poly(stats.MIDDLE_DEN, '(s - 1.6)')}
-    else sign(q) * {poly(stats.TAIL_NUM, '(s - 5)')} / {poly(stats.TAIL_DEN, '(s - 5)')} end as theoretical from pr)"""
+-- the normal quantile by Newton's method on the series of its distribution function
+-- 1/2 + phi(x) (x + x^3/3 + x^5/15 + ..), from a rational start that is good to three digits
+g as (select *, sqrt(-2 * ln(least(p, 1 - p))) as t from p),
+x0 as (select *, sign(p - 0.5) * (t - (2.515517 + 0.802853 * t + 0.010328 * t * t)
+                                    / (1 + 1.432788 * t + 0.189269 * t * t + 0.001308 * t * t * t)) as x from g),
+x1 as (select * exclude x, {newton('x')} as x from x0),
+x2 as (select * exclude x, {newton('x')} as x from x1),
+qq as (select rank, error, {newton('x')} as theoretical from x2)"""
 ORACLE["error_qq"] = with_(*BT, "\n" + QQ.strip(), body=f" select rank, {r('theoretical')}, {r('error')} from qq")
 ORACLE["error_qq_line"] = with_(*BT, "\n" + QQ.strip(), body=f"""
   select {r('regr_slope(error, theoretical)', 'slope')}, {r('regr_intercept(error, theoretical)', 'intercept')},

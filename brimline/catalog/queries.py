@@ -307,7 +307,16 @@ def filled_forward(spark, sf_dir):
 @query
 def series_position(spark, sf_dir):
     rows = table(spark, sf_dir, "events").select(F.col("user_id").alias(SITE), F.col("ts").alias(TIME), "event_id")
-    return add_position(rows, bucket="5D")
+    return add_position(rows)
+
+
+@query
+def series_position_segments(spark, sf_dir):
+    """Event types are long against the limit given, so they are ranked by segments."""
+    rows = table(spark, sf_dir, "events").select(F.col("event_type").alias(SITE), F.col("ts").alias(TIME), "event_id")
+    return add_position(rows, whole=100).groupBy(SITE, TIME, LENGTH).agg(
+        F.min(POSITION).alias("first_idx"), F.max(POSITION).alias("last_idx")
+    )
 
 
 # --- splits and scaling --------------------------------------------------------------

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from brimline.session import scratch_path
+from brimline.session import scratch_path, settled
 
 # Coefficients of algorithm AS 241 (PPND16, Wichura 1988) for the normal
 # quantile, highest power first.
@@ -106,7 +106,11 @@ def grouped_quantiles(
     counts = counts.agg(F.count(F.lit(1)).alias("_c"))
     order = Window.partitionBy(*keys, "_m.i").orderBy(F.col("_v").asc_nulls_first())
     counts = counts.withColumn("_upto", F.sum("_c").over(order))
-    exact = counts.filter(F.col("_v").isNotNull() & (F.col("_upto") >= F.col("_m.rank")))
+    # the sketch promises that the rank lies past all below; a miss must not pass for a value
+    missed = F.raise_error(F.lit("a sketch missed its bound: raise the accuracy")).cast("bigint")
+    upto = F.when(F.col("_v").isNull() & (F.col("_upto") >= F.col("_m.rank")), missed).otherwise(F.col("_upto"))
+    counts = counts.withColumn("_upto", upto)
+    exact = counts.filter((F.col("_upto") >= F.col("_m.rank")) & F.col("_v").isNotNull())
     exact = exact.groupBy(*keys).agg(*[F.min(F.when(F.col("_m.i") == i, F.col("_v"))).alias(n) for i, n in enumerate(names)])
     exact = exact.join(found.select(*keys, "n_obs"), keys).select(*keys, *names, "n_obs")
     return small.unionByName(exact)
@@ -117,18 +121,14 @@ def global_rank(df: DataFrame, value: str, rank: str = "rank", buckets: int | No
     ``n``. NULLs are left out; only the value comes back.
 
     Equal values are counted first (one row per distinct value and task), so ties cannot
-    overload a task. Distinct values are then cut into ranges at approximate quantiles,
-    one range per task; a count per range gives where it starts.
+    overload a task. The distinct values are then dealt in order, one range per task, and
+    written with it; a range adds up its own counts, and the totals of the ranges before it
+    (one row each) say where it starts. No value is compared with any bound but by the sort.
     """
-    spark = df.sparkSession
-    buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    buckets = buckets or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     values = df.filter(F.col(value).isNotNull()).groupBy(value).agg(F.count(F.lit(1)).alias("_c"))
-    probs = [i / buckets for i in range(1, buckets)] or [0.5]
-    cuts = values.agg(F.percentile_approx(value, probs, 10 * max(buckets, 100)).alias("_cuts"))
-    # One row of at most `buckets` numbers.
-    placed = values.crossJoin(F.broadcast(cuts)).withColumn(
-        "_b", F.size(F.filter("_cuts", lambda c: c < F.col(value)))
-    ).drop("_cuts")
+    ranges = values.repartitionByRange(buckets, value).withColumn("_b", F.spark_partition_id())
+    placed = settled(ranges, "value-ranges")
     sizes = placed.groupBy("_b").agg(F.sum("_c").alias("_s"))
     every = Window.orderBy("_b")  # over at most `buckets` rows
     starts = sizes.select(

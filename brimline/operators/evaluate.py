@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from brimline.functions.stats import global_rank, normal_quantile
 from brimline.operators.windows import ORIGIN, STEP
 from brimline.schema import QUANTILES, SITE, TIME
+from brimline.session import settled
 
 BANDS = ["q10", "q50", "q90"]
 HORIZONS = {"24h": 24, "7d": 168, "14d": 336}
@@ -119,8 +120,11 @@ def nested_metrics(row: DataFrame) -> DataFrame:
 
 
 def error_histogram(forecast: DataFrame, bins: int = 50) -> DataFrame:
-    """Equal-width bins from the least to the greatest error, the last one closed."""
-    errors = _scored(forecast).select(error().alias("_e"))
+    """Equal-width bins from the least to the greatest error, the last one closed.
+
+    The errors alone are written first: the forecast behind them runs once.
+    """
+    errors = settled(_scored(forecast).select(error().alias("_e")), "errors")
     span = errors.agg(F.min("_e").alias("_lo"), F.max("_e").alias("_hi"))  # one row
     lo, hi = F.col("_lo"), F.col("_hi")
     # A single value gets bins of width 1/bins around it.

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from brimline.functions.time import calendar, floor_div, micros, step_micros
+from brimline.functions.time import calendar, floor_div
 from brimline.plans.chunks import CHUNK, CHUNK_STEPS, by_chunk, chunk_window, core, with_halo
 from brimline.schema import (
     LAGS,
@@ -23,6 +23,7 @@ from brimline.schema import (
     TIMEZONE,
     require,
 )
+from brimline.session import settled
 
 
 def add_calendar(df: DataFrame, time: str = TIME, tz: str = TIMEZONE) -> DataFrame:
@@ -31,44 +32,57 @@ def add_calendar(df: DataFrame, time: str = TIME, tz: str = TIMEZONE) -> DataFra
     return df.withColumns(calendar(F.col(time), tz))
 
 
-def add_position(
-    df: DataFrame, site: str = SITE, time: str = TIME, bucket: str | int = "1h"
-) -> DataFrame:
-    """0-based ``time_idx`` in time order and ``series_len`` of every series.
+#: Rows up to which a series may be ranked by one task.
+WHOLE_SERIES = 1_000_000
+
 
-    A regular panel already has both and is returned as it is. Otherwise rows are ranked
-    inside ``(site, time bucket)`` and shifted by the count of the buckets before, so no
-    task ranks a whole series. A bucket of one series must fit a task: an hour does unless
-    it holds millions of rows of that series.
+def add_position(df: DataFrame, site: str = SITE, time: str = TIME, whole: int = WHOLE_SERIES) -> DataFrame:
+    """0-based ``time_idx`` in time order and ``series_len`` of every series; ties in any order.
+
+    A regular panel already has both and is returned as it is. Otherwise series of up to
+    ``whole`` rows are ranked each by a task. Rows of longer ones are put in order of series
+    and time over all tasks, also within one instant; a segment, the part of a series that
+    one task holds, is ranked by itself, and the counts of the segments before it are added.
     """
     require(df, site, time)
     if POSITION in df.columns and LENGTH in df.columns:
         return df
-    width = step_micros(bucket)
-    rows = df.drop(POSITION, LENGTH).withColumn(CHUNK, floor_div(micros(F.col(time)), width))
-    counts = rows.groupBy(site, CHUNK).agg(F.count(F.lit(1)).alias("_n"))
+    rows = df.drop(POSITION, LENGTH)
+    sizes = rows.groupBy(site).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > whole)
+    long = settled(sizes.select(F.col(site).alias("_long")), "long-series")
+    if long.isEmpty():
+        return _ranked_whole(rows, site, time)
+    is_long = F.col(site).eqNullSafe(F.col("_long"))
+    return _ranked_whole(rows.join(long, is_long, "left_anti"), site, time).unionByName(
+        _ranked_by_segments(rows.join(long, is_long, "left_semi"), site, time)
+    )
+
+
+def _ranked_whole(rows: DataFrame, site: str, time: str) -> DataFrame:
     series = Window.partitionBy(site)
+    at = (F.row_number().over(series.orderBy(time)) - 1).cast("bigint")
+    return rows.withColumns({POSITION: at, LENGTH: F.count(F.lit(1)).over(series)})
+
+
+def _ranked_by_segments(rows: DataFrame, site: str, time: str) -> DataFrame:
+    tie = F.xxhash64(*rows.columns)
+    # more segments than tasks, so that their hashes spread evenly
+    parts = 4 * int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ordered = rows.withColumn("_tie", tie).repartitionByRange(parts, site, time, "_tie")
+    # written, so that a row keeps its segment whatever is read again
+    ordered = settled(ordered.withColumn(CHUNK, F.spark_partition_id()), "series-segments")
+    counts = ordered.groupBy(site, CHUNK).agg(F.count(F.lit(1)).alias("_n"))
+    series = Window.partitionBy(site)  # one row per task that has some of the series
     before = series.orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
-    heads = counts.select(
-        site, CHUNK,
-        F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_base"),
-        F.sum("_n").over(series).alias(LENGTH),
-        F.lit(0).alias("_kind"),
-    )
-    marked = rows.withColumn("_kind", F.lit(1))
-    placed = by_chunk(marked.unionByName(heads, allowMissingColumns=True), site)
-    w = Window.partitionBy(site, CHUNK).orderBy("_kind", time)
-    so_far = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return (
-        placed.withColumns(
-            {
-                POSITION: F.last("_base", True).over(so_far) + F.row_number().over(w) - 2,
-                LENGTH: F.last(LENGTH, True).over(so_far),
-            }
-        )
-        .filter(F.col("_kind") == 1)
-        .drop("_kind", "_base", CHUNK)
+    starts = counts.select(
+        F.col(site).alias("_site"), F.col(CHUNK).alias("_part"),
+        F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_base"), F.sum("_n").over(series).alias(LENGTH),
     )
+    inside = F.row_number().over(Window.partitionBy(site, CHUNK).orderBy(time, "_tie")) - 1
+    placed = by_chunk(ordered, site).withColumn("_at", inside)
+    out = placed.join(starts, F.col(site).eqNullSafe(F.col("_site")) & (F.col(CHUNK) == F.col("_part")))
+    out = out.withColumn(POSITION, (F.col("_base") + F.col("_at")).cast("bigint"))
+    return out.select(*rows.columns, POSITION, LENGTH)
 
 
 def look_back(lags: list[int], windows: list[int]) -> int:

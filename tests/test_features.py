@@ -65,7 +65,7 @@ def test_position_and_fill(spark):
     pdf = pdf.reset_index(drop=True)
     df = spark.createDataFrame(pdf)
     df = df.withColumns({c: F.when(~F.isnan(c), F.col(c)) for c in "ab"})
-    got = add_position(df, bucket="30D").toPandas().sort_values(["site_id", "timestamp"])
+    got = add_position(df).toPandas().sort_values(["site_id", "timestamp"])
     assert (got.time_idx == got.groupby("site_id").cumcount()).all()
     assert (got.series_len == got.groupby("site_id").time_idx.transform("size")).all()
     for backward in (True, False):
