@@ -340,6 +340,8 @@ ORACLE: dict[str, str] = {
   select {S}, {T}, {rounded(EVENT_COLS[:-1])}, so_cua_xa_mat::bigint as so_cua_xa_mat from panel"""),
     "page_records": with_(EVENTS, RAW_A, body=PANEL_OUT.format(**ROUNDED_GIVEN)),
     "month_append": with_(EVENTS, RAW_A, body=PANEL_OUT.format(**ROUNDED_GIVEN)),
+    "poll_batches": with_(EVENTS, body="""
+  select 'records' as kind, count(*) as n from panel union all select 'failures', count(*) from pages"""),
     "poll_failures": """
   select strftime(polled, '%Y-%m-%d %H:%M') as "timestamp", 200 as status_code,
          '{''td'': ''' || page_id || '''}' as params, strftime(polled, '%Y-%m') as month,
@@ -585,6 +587,11 @@ binned as (select least(floor((e - lo) / (hi - lo) * 50)::int + 1, 50) as bin, c
     "stream_latest": with_(EVENTS, body=f"""
   select {S}, {T}, {r(f'round({Y}, 4) + (round({Y}, 4) > 50)::int', Y)},
     {r('round(luu_luong_den, 4)', 'luu_luong_den')}, so_cua_xa_mat::bigint as so_cua_xa_mat from panel"""),
+    "stream_rejects": with_(EVENTS, body="""
+  select * from (
+    select 'too many fields' as reject_reason, count(*) as n from panel where so_cua_xa_mat > 2
+    union all select 'failure row', count(*) from panel where so_cua_xa_mat = 2
+    union all select 'bad timestamp', count(*) from panel where so_cua_xa_mat = 1) where n > 0"""),
     "stream_hourly": f"""
   select event_type, date_trunc('hour', ts) as {T}, {r('avg(value)', 'y')}, count(*) as n from events group by 1, 2""",
     "grouped_quantiles_large": f"""

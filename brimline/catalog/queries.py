@@ -47,9 +47,8 @@ from brimline.sources import crawl, pages, sinks
 from brimline.streaming.coverage import coverage_by_month, expected_polls
 from brimline.streaming.ingest import (
     hourly_stream,
-    latest_per_key,
+    ingest_stream,
     read_updates,
-    stream_records,
     write_updates,
 )
 
@@ -128,6 +127,22 @@ def month_append(spark, sf_dir):
     return gates_as_double(crawl.read_crawl(spark, root))
 
 
+@query
+def poll_batches(spark, sf_dir):
+    """Polls by day in two batches, the first appended twice; what the folders hold then."""
+    root = scratch_path(spark, "polls")
+    polls = observation_pages(spark, sf_dir).withColumns(
+        {"status_code": F.lit(200), "params": F.col("page_id"), "content": F.col("html")}
+    )
+    early = F.dayofmonth("poll_time") <= 15
+    for batch_id, some in (("a", polls.filter(early)), ("a", polls.filter(early)), ("b", polls.filter(~early))):
+        records = pages.records(pages.extract_rows(some, keep=["poll_time"]), keep=["page_id", "poll_time"])
+        sinks.append_polls(some, records, f"{root}/records", f"{root}/failures", batch_id)
+    read = lambda kind: spark.read.option("header", True).option("multiLine", True).csv(f"{root}/{kind}/batch=*/month=*")
+    counted = lambda kind: read(kind).agg(F.lit(kind).alias("kind"), F.count(F.lit(1)).alias("n"))
+    return counted("records").unionByName(counted("failures"))
+
+
 @query
 def poll_failures(spark, sf_dir):
     polls = observation_pages(spark, sf_dir)
@@ -634,8 +649,7 @@ def stream_latest(spark, sf_dir):
     raw = raw_values(events_panel(spark, sf_dir))
 
     def poll():
-        rows = latest_per_key(stream_records(spark, f"{root}/in"), "60 days")
-        _drain(write_updates(rows, f"{root}/out", f"{root}/state"))
+        _drain(ingest_stream(spark, f"{root}/in", f"{root}/out", f"{root}/state"))
 
     sinks.append_records(raw, f"{root}/in")
     poll()
@@ -646,6 +660,14 @@ def stream_latest(spark, sf_dir):
     return read_updates(spark, f"{root}/out").select(SITE, TIME, TARGET, "luu_luong_den", "so_cua_xa_mat")
 
 
+@query
+def stream_rejects(spark, sf_dir):
+    root = scratch_path(spark, "rejected")
+    _drain(ingest_stream(spark, write_crawl_files(spark, sf_dir), f"{root}/out", f"{root}/state", f"{root}/rejects"))
+    rejects = spark.read.option("basePath", f"{root}/rejects").parquet(f"{root}/rejects")
+    return rejects.groupBy("reject_reason").agg(F.count(F.lit(1)).alias("n"))
+
+
 @query
 def stream_hourly(spark, sf_dir):
     root = scratch_path(spark, "hourly")

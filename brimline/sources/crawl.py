@@ -29,8 +29,6 @@ from brimline.schema import (
 
 # Fixed value: text that marks a failure row written between the records.
 FAILURE_MARK = "{'vm': '84', 'lv': '23', 'hc': '4-47'"
-#: More columns than this a header cannot name; lines are cut at one field past their header.
-MOST_COLUMNS = 10_000
 
 _ORDER = ["_path", "_block", "_line_no"]
 
@@ -63,20 +61,20 @@ def _quotes(text: Column) -> Column:
     return F.length(text) - F.length(F.replace(text, F.lit('"'), F.lit("")))
 
 
-def _fields(line: Column, most: Column | int = MOST_COLUMNS) -> Column:
-    """Fields of a CSV line, at most ``most``; quoted commas stay inside a field.
+def raw_fields(line: Column, most: Column | None = None) -> Column:
+    """Fields of a CSV line, cut after ``most`` if given; empty ones stay empty strings.
 
-    The line is cut at every comma. In a line with quotes, the parts from one that opens a
-    quote to the one that closes it are one field; a part with an even number of quotes
-    neither opens nor closes. The parts are gone through once, whatever their length.
+    The line is cut at every comma. Only in a line with quotes are the parts gone through:
+    those from one that opens a quote to the one that closes it are one field; a part with
+    an even number of quotes neither opens nor closes. Each part is met once.
     """
-    most = F.lit(most) if isinstance(most, int) else most
     parts = F.split(line, ",", -1)
 
     def merged(parts: Column) -> Column:
         start = F.struct(
             F.array().cast("array<struct<a:int,b:int>>").alias("done"), F.lit(None).cast("int").alias("open")
         )
+        room = (lambda s: F.size(s["done"]) < most) if most is not None else lambda s: F.lit(True)
 
         def step(s: Column, i: Column) -> Column:
             part = F.get(parts, i)
@@ -84,43 +82,53 @@ def _fields(line: Column, most: Column | int = MOST_COLUMNS) -> Column:
             opens = s["open"].isNull() & part.startswith('"') & odd
             goes_on = s["open"].isNotNull() & ~odd
             ended = F.array_append(s["done"], F.struct(F.coalesce(s["open"], i).alias("a"), i.alias("b")))
-            room = F.size(s["done"]) < most
             return F.struct(
-                F.when(opens | goes_on | ~room, s["done"]).otherwise(ended).alias("done"),
+                F.when(opens | goes_on | ~room(s), s["done"]).otherwise(ended).alias("done"),
                 F.when(opens, i).when(goes_on, s["open"]).alias("open"),
             )
 
         # an unclosed quote: what is left is one field
         def close(s: Column) -> Column:
             rest = F.struct(s["open"].alias("a"), (F.size(parts) - 1).alias("b"))
-            return F.when(s["open"].isNotNull() & (F.size(s["done"]) < most), F.array_append(s["done"], rest)).otherwise(s["done"])
+            return F.when(s["open"].isNotNull() & room(s), F.array_append(s["done"], rest)).otherwise(s["done"])
 
         spans = F.aggregate(F.sequence(F.lit(0), F.size(parts) - 1), start, step, close)
-        return F.transform(spans, lambda r: F.array_join(F.slice(parts, r["a"] + 1, r["b"] - r["a"] + 1), ","))
+        fields = F.transform(spans, lambda r: F.array_join(F.slice(parts, r["a"] + 1, r["b"] - r["a"] + 1), ","))
+        return F.transform(fields, _unquoted)
 
-    plain = F.slice(parts, F.lit(1), most)
+    plain = parts if most is None else F.slice(parts, F.lit(1), most)
     quoted = F.get(F.transform(F.array(parts), merged), F.lit(0))
-    return F.transform(F.when(line.contains('"'), quoted).otherwise(plain), _unquoted)
+    return F.when(line.contains('"'), quoted).otherwise(plain)
+
+
+def _fields(line: Column) -> Column:
+    """As :func:`raw_fields`, empty ones NULL."""
+    return F.transform(raw_fields(line), lambda f: F.nullif(f, F.lit("")))
 
 
 def _unquoted(field: Column) -> Column:
-    """A field without its quotes; empty fields are NULL."""
+    """A field without its quotes."""
     inner = F.substring(field, F.lit(2), F.length(field) - 2)
     quoted = field.startswith('"') & field.endswith('"') & (F.length(field) > 1)
     plain = F.when(quoted, F.replace(inner, F.lit('""'), F.lit('"')))
-    return F.nullif(F.coalesce(plain, field), F.lit(""))
+    return F.coalesce(plain, field)
+
+
+def _value(at: Column) -> Column:
+    """The field at a place from 1; NULL where it is empty, or the line or header lacks it."""
+    return F.nullif(F.get("_fields", at - 1), F.lit(""))
 
 
 def names_of(header: Column, renames: dict[str, str] | None = None) -> Column:
     """Column names of a header line, mapped to panel names."""
-    raw = _fields(F.regexp_replace(header, "^\ufeff", ""))
+    raw = raw_fields(F.regexp_replace(header, "^\ufeff", ""))
     if not renames:
         return F.transform(raw, lambda c: F.coalesce(F.trim(c), F.lit("")))
     table = F.create_map(*[F.lit(x) for kv in renames.items() for x in kv])
     return F.transform(raw, lambda c: F.coalesce(F.element_at(table, F.trim(c)), F.trim(c), F.lit("")))
 
 
-def _headers(lines: DataFrame, renames: dict[str, str] | None = RAW_TO_PANEL) -> DataFrame:
+def headers_of(lines: DataFrame, renames: dict[str, str] | None = RAW_TO_PANEL) -> DataFrame:
     """First line with text of every file as an array of names: ``(_path, _header, _names)``.
 
     Only first blocks are looked at; each task brings one row per file to the shuffle.
@@ -133,6 +141,12 @@ def _headers(lines: DataFrame, renames: dict[str, str] | None = RAW_TO_PANEL) ->
     return first.withColumn("_names", names_of(F.col("_header"), renames))
 
 
+def with_places(headers: DataFrame) -> DataFrame:
+    """``_at``: where each panel column stands in a file (NULL: nowhere), once per file."""
+    at = lambda c: F.nullif(F.array_position("_names", c).cast("int"), F.lit(0)).alias(c)
+    return headers.withColumns({"_at": F.struct(*map(at, PANEL_COLUMNS)), "_width": F.size("_names")})
+
+
 def parse_lines(
     lines: DataFrame,
     tz: str = TIMEZONE,
@@ -154,7 +168,8 @@ def parse_lines(
     """
     # One row per file: Spark sends it to all tasks or joins by path, and then splits a file
     # that dominates.
-    joined = lines.join(_headers(lines), "_path").filter(F.col("line") != F.col("_header"))
+    headers = with_places(headers_of(lines)).drop("_names")
+    joined = lines.join(headers, "_path").filter(F.col("line") != F.col("_header"))
     return typed_lines(joined, tz, label_local_as_utc, year_rollover, strict, drop_marked)
 
 
@@ -162,20 +177,18 @@ def typed_lines(
     joined: DataFrame, tz: str, label_local_as_utc: bool = False, year_rollover: bool = False,
     strict: bool = False, drop_marked: bool = True, keep: list[str] = (),
 ) -> DataFrame:
-    """Lines that know their file's header (``_header``, ``_names``) as typed panel rows."""
-    names = F.col("_names")
+    """Lines that know their file's header (``_header``, and what :func:`with_places` adds) as
+    typed panel rows."""
     with_fields = joined.filter(F.trim("line") != "").withColumns(
-        {"_fields": _fields(F.col("line"), F.size(names) + 1), "_name": dated_name(F.col("_path"))}
+        {"_fields": raw_fields(F.col("line"), F.col("_width") + 1), "_name": dated_name(F.col("_path"))}
     )
-
-    def value(name: str) -> Column:
-        at = F.array_position(names, name).cast("int")
-        return F.when(at > 0, F.get(F.col("_fields"), at - 1))
+    place = lambda c: F.col(f"_at.{c}")
+    value = lambda c: _value(place(c))
 
     year = year_from_name(F.col("_name"))
     file_reason = (
-        F.when(~F.array_contains(names, TIME), "no timestamp column")
-        .when(~F.array_contains(names, SITE), "no site column")
+        F.when(place(TIME).isNull(), "no timestamp column")
+        .when(place(SITE).isNull(), "no site column")
         .when(year.isNull(), "no year in file name")
     )
     if strict:
@@ -191,16 +204,16 @@ def typed_lines(
     instant = wall if label_local_as_utc else F.to_utc_timestamp(wall, tz)
     numbers = {}
     for c in FLOAT_COLUMNS:
-        numbers[c] = F.when(F.array_contains(names, c), number(value(c))).otherwise(0.0)
+        numbers[c] = F.when(place(c).isNotNull(), number(value(c))).otherwise(0.0)
     for c in GATE_COLUMNS:
         x = number(value(c))
         whole = F.when(x == F.floor(x), x.try_cast("bigint"))
-        numbers[c] = F.when(F.array_contains(names, c), whole).otherwise(F.lit(0).cast("bigint"))
+        numbers[c] = F.when(place(c).isNotNull(), whole).otherwise(F.lit(0).cast("bigint"))
     typed = with_fields.withColumns({TIME: instant, SITE: value(SITE), **numbers})
     reason = (
         F.when(file_reason.isNotNull(), file_reason)
         .when(failure, "failure row")
-        .when(F.size("_fields") > F.size(names), "too many fields")
+        .when(F.size("_fields") > F.col("_width"), "too many fields")
         .when(F.col(TIME).isNull(), "bad timestamp")
     )
     return typed.select(*PANEL_COLUMNS, reason.alias("reject_reason"), "line", *_ORDER, *keep)
@@ -236,17 +249,16 @@ def read_panel(
     header; a column it lacks is NULL.
     """
     lines = read_lines(spark, path, glob=None)
-    headers = _headers(lines, renames=None)
+    headers = headers_of(lines, renames=None)
     # the distinct names, in the order of the first file that has them: a handful of strings
     at = headers.select("_path", F.posexplode("_names").alias("_i", "_c")).filter("_c != ''")
     order = at.groupBy("_c").agg(F.min(F.struct("_path", "_i")).alias("_first")).orderBy("_first")
     names = [r["_c"] for r in order.collect()]
     rows = lines.join(headers, "_path").filter((F.col("line") != F.col("_header")) & (F.trim("line") != ""))
-    rows = rows.select("_names", _fields(F.col("line")).alias("_fields"))
+    rows = rows.select("_names", raw_fields(F.col("line")).alias("_fields"))
 
     def value(name: str) -> Column:
-        at = F.array_position("_names", name).cast("int")
-        return F.when(at > 0, F.get(F.col("_fields"), at - 1)).alias(name)
+        return _value(F.nullif(F.array_position("_names", name).cast("int"), F.lit(0))).alias(name)
 
     site = F.when(F.array_contains("_names", SITE), value(SITE)).otherwise(F.lit(default_site)).alias(SITE)
     raw = rows.select(*[site if c == SITE else value(c) for c in names], *([] if SITE in names else [site]))

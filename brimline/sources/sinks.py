@@ -3,6 +3,8 @@ collected into one task."""
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -147,15 +149,37 @@ def failure_rows(
     )
 
 
-def append_records(records: DataFrame, path: str, poll_time: str = "poll_time") -> str:
+def append_records(records: DataFrame, path: str, poll_time: str = "poll_time", batch_id: str | None = None) -> str:
     """Append records to ``month=yyyy-MM`` folders by poll time; readable by the crawl
-    source, which takes the year from the folder."""
+    source, which takes the year from the folder.
+
+    With a ``batch_id`` they go under ``batch={batch_id}``, which a repeated append of the
+    same batch replaces as a whole: a job may be run again after any failure. The crawl source
+    reads batches in the order of their names, so ids must sort by time.
+    """
     rows = records.withColumn("month", F.date_format(poll_time, "yyyy-MM")).select(*RAW_COLUMNS, "month")
-    rows.write.mode("append").partitionBy("month").option("header", True).csv(path)
-    return path
+    return _append(rows, path, batch_id)
+
 
+def append_failures(failures: DataFrame, path: str, batch_id: str | None = None) -> str:
+    """Append failure rows to month folders of their own, apart from the records; ``batch_id``
+    as for the records."""
+    return _append(failures, path, batch_id)
 
-def append_failures(failures: DataFrame, path: str) -> str:
-    """Append failure rows to month folders of their own, apart from the records."""
-    failures.write.mode("append").partitionBy("month").option("header", True).csv(path)
+
+def _append(rows: DataFrame, path: str, batch_id: str | None) -> str:
+    if batch_id is not None and not re.fullmatch(r"[A-Za-z0-9_.-]+", batch_id):
+        raise ValueError(f"a batch id is made of letters, digits and _ . -: {batch_id!r}")
+    at, mode = (path, "append") if batch_id is None else (f"{path}/batch={batch_id}", "overwrite")
+    rows.write.mode(mode).partitionBy("month").option("header", True).csv(at)
     return path
+
+
+def append_polls(polls: DataFrame, records: DataFrame, path: str, failures_path: str, batch_id: str, poll_id: str = "page_id", poll_time: str = "poll_time") -> None:
+    """One run of polls: its records, and a failure row for each poll that gave none.
+
+    Both are written under the batch, failures last: a run that broke off in between is
+    repeated under the same id and leaves nothing twice.
+    """
+    append_records(records, path, poll_time, batch_id)
+    append_failures(failure_rows(polls, records, poll_id, poll_time), failures_path, batch_id)
