@@ -208,6 +208,35 @@ seasonal_backtest as (
   where o.split = '{split}' and o.time_idx + {horizon} < o.series_len and o.time_idx >= {season - 1})"""
 
 
+def irls(iterations: int) -> str:
+    """Coefficients of y = b0 + b1 * y_origin + b2 * inflow by reweighted normal equations, per
+    quantile; Cramer's rule over the sums of three inputs."""
+    def det(m: list[list[str]]) -> str:
+        (a, b, c), (d, e, f), (g, h, i) = m
+        return f"({a} * ({e} * {i} - {f} * {h}) - {b} * ({d} * {i} - {f} * {g}) + {c} * ({d} * {h} - {e} * {g}))"
+
+    x = ["1.0::double", "x1", "x2"]
+    gram = [[f"g{min(i, j)}{max(i, j)}" for j in range(3)] for i in range(3)]
+    sums = ", ".join([f"sum(w * {x[i]} * {x[j]}) as g{i}{j}" for i in range(3) for j in range(i, 3)] + [f"sum(w * {x[i]} * y) as r{i}" for i in range(3)])
+    column = lambda k: [[f"r{i}" if j == k else gram[i][j] for j in range(3)] for i in range(3)]
+    coefficients = ", ".join(f"{det(column(k))} / {det(gram)} as b{k}" for k in range(3))
+    residual = "(y - (b0 + b1 * x1 + b2 * x2))"
+    steps = [f"""
+pairs as materialized (
+  select a.{Y} as x1, b.luu_luong_den as x2, b.{Y} as y
+  from parts a join parts b on a.site_id = b.site_id and b.time_idx between a.time_idx + 1 and a.time_idx + {H}
+  where a.split = 'train' and b.split = 'train' and a.{Y} is not null and b.{Y} is not null and b.luu_luong_den is not null),
+c0 as materialized (select q, {coefficients} from (select {sums} from (select *, 1.0::double as w from pairs))
+                    cross join (select unnest([0.1, 0.5, 0.9]) as q)),
+least as materialized (select 0.05 * avg(abs({residual})) as floor from pairs cross join (select * from c0 where q = 0.5))"""]
+    for k in range(1, iterations + 1):
+        weight = f"(case when {residual} < 0 then 1.0 - q else q end)::double / greatest(abs({residual}), floor)"
+        steps.append(f"""
+c{k} as materialized (select q, {coefficients} from (
+  select q, {sums} from (select *, {weight} as w from pairs cross join c{k - 1} cross join least) group by q))""")
+    return ",".join(steps)
+
+
 BANDS = rounded(["q10", "q50", "q90"])
 FORECAST = f'site_id, origin_idx, step, "timestamp", {BANDS}'
 
@@ -528,6 +557,29 @@ byhour as {quantiles('recent', 'site_id, h', 'v')}""", body=f"""
   where o.time_idx = o.series_len - 1 - {H}"""),
     "persistence_backtest": with_(*BT, body=f" select {FORECAST}, {r('y')} from backtest"),
     "seasonal_backtest": with_(*EVS, seasonal_backtest(12, 24), body=f" select {FORECAST}, {r('y')} from seasonal_backtest"),
+    "quantile_forecast": with_(*EVS, irls(4), body=f"""
+  select o.site_id, o.time_idx as origin_idx, (f.time_idx - o.time_idx)::int as step, f.{T},
+    {', '.join(f"{rnd(f'max(b0 + b1 * o.{Y} + b2 * f.luu_luong_den) filter (q = {q})')} as {n}" for q, n in ((0.1, 'q10'), (0.5, 'q50'), (0.9, 'q90')))}
+  from parts o join parts f on f.site_id = o.site_id and f.time_idx > o.time_idx cross join c4
+  where o.time_idx = o.series_len - 1 - {H} group by all"""),
+    "covariates_as_issued": with_(*EV, f"""
+i as (select site_id, {T} as t, {T} - to_hours(lead) as issued, luu_luong_den + lead as v
+      from panel cross join (select unnest([6, 30, 54]) as lead)),
+want as (
+  select a.site_id, a.{T} as origin_ts, (b.time_idx - a.time_idx)::int as step, b.{T} as t, 'training' as part
+  from regular a join regular b on a.site_id = b.site_id and b.time_idx between a.time_idx + 1 and a.time_idx + 48
+  where a.time_idx % 24 = 0
+  union all
+  select site_id, max({T}) - to_hours(48), s::int, max({T}) - to_hours(48) + to_hours(s::int), 'inference'
+  from regular cross join (select unnest(generate_series(1, 48)) as s) group by site_id, s)""", body=f"""
+  select w.site_id, w.origin_ts, w.step, max(i.issued) as issued_at, {r('arg_max(i.v, i.issued)', 'rain_forecast_mm')}, w.part
+  from want w left join i on i.site_id = w.site_id and i.t = w.t and i.issued <= w.origin_ts group by all"""),
+    "as_of_rows": with_(EVENTS, f"""
+hours as (select site_id, {T} + interval 1 hour as known, {Y} from panel where {Y} > 50)""", body=f"""
+  select e.event_id, e.event_type as site_id, e.ts as {T}, {r(f'h.{Y}', Y)}
+  from events e asof left join hours h on e.event_type = h.site_id and e.ts >= h.known"""),
+    "request_forecast": with_(EVENTS.replace("from events", "from events where ts < timestamp '2024-01-29'"), regular([Y]), SPLIT,
+                              seasonal(24, 48, 0), body=f" select site_id, step, {T}, {BANDS} from seasonal"),
     "selected_model": with_(
         *EVS, BACKTEST.replace("where a.split = 'val'", "where a.split = 'val' and b.split = 'val'"),
         seasonal_backtest(24, 24).replace("where o.split = 'val'", "where o.split = 'val' and a.split = 'val'"), f"""

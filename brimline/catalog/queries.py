@@ -25,11 +25,13 @@ from brimline.functions.text import (
     tolerant_float,
     tolerant_int,
 )
+from brimline.operators import covariates as cv
 from brimline.operators import evaluate as ev
 from brimline.operators import forecast as fc
 from brimline.operators.dedup import head_steps, keep_last, tail, union_all
 from brimline.operators.features import add_calendar, add_lags_rollings, add_position, fill_features
 from brimline.operators.grid import regularize
+from brimline.operators.quantile_model import QuantileForecaster
 from brimline.operators.split import apply_scalers, fit_scalers, split_by_date, split_by_ratio, unscale
 from brimline.operators.windows import (
     has_gaps,
@@ -41,6 +43,7 @@ from brimline.operators.windows import (
     window_rows,
 )
 from brimline.plans.prepare import prepare, prepare_splits
+from brimline.plans.request import answer_request
 from brimline.schema import GATE_COLUMNS, LENGTH, POSITION, SITE, TARGET, TIME
 from brimline.session import scratch_path, use_utc
 from brimline.sources import crawl, pages, sinks
@@ -513,6 +516,62 @@ def learned_forecast(spark, sf_dir):
     return model.forecast(rows, holdout=HORIZON)
 
 
+@query
+def quantile_forecast(spark, sf_dir):
+    """Level at the origin and inflow of the target hour, known ahead, to quantiles of the level."""
+    model = QuantileForecaster([], HORIZON, ["luu_luong_den"], ["y_origin", "label_luu_luong_den"], iterations=4)
+    rows = split_events(spark, sf_dir)
+    return model.fit(rows).forecast(rows, holdout=HORIZON)
+
+
+def issued_inflow(spark, sf_dir):
+    """Inflow forecasts of every hour, issued 6, 30 and 54 hours before it."""
+    panel = events_panel(spark, sf_dir).select(SITE, TIME, "luu_luong_den")
+    lead = F.explode(F.array(F.lit(6), F.lit(30), F.lit(54))).alias("lead")
+    rows = panel.select("*", lead)
+    return rows.select(
+        SITE, TIME, (F.col(TIME) - F.make_interval(hours=F.col("lead"))).alias("issued"),
+        (F.col("luu_luong_den") + F.col("lead")).alias("rain_forecast_mm"),
+    )
+
+
+@query
+def covariates_as_issued(spark, sf_dir):
+    root = scratch_path(spark, "covariates")
+    rows, issued = regular_events(spark, sf_dir).select(SITE, TIME, TARGET, POSITION, LENGTH), issued_inflow(spark, sf_dir)
+    daily = F.col(POSITION) % 24 == 0
+    known = cv.training_covariates(rows, issued, ["rain_forecast_mm"], 48, origin_filter=daily)
+    # the last two days of the panel stand in for the future
+    ends = rows.filter(F.col(POSITION) < F.col(LENGTH) - 48)
+    ahead = cv.inference_covariates(ends, issued, ["rain_forecast_mm"], 48)
+    paths = sinks.write_known_future(known, ahead, root)
+    out = [spark.read.parquet(p).select(SITE, "origin_ts", "step", "issued_at", "rain_forecast_mm", F.lit(k).alias("part")) for k, p in paths.items()]
+    return union_all(*out)
+
+
+@query
+def as_of_rows(spark, sf_dir):
+    """Each event with the last hourly mean of its type known by then."""
+    rows = table(spark, sf_dir, "events").select("event_id", F.col("event_type").alias(SITE), F.col("ts").alias(TIME))
+    hourly = events_panel(spark, sf_dir).select(SITE, (F.col(TIME) + F.expr("interval 1 hour")).alias("known"), TARGET)
+    return cv.as_of(rows, hourly.filter(F.col(TARGET) > 50), [TARGET], given_time="known")
+
+
+@query
+def request_forecast(spark, sf_dir):
+    """The last two days asked for: only the end of each series is prepared, with scalers and
+    spread of the training."""
+    panel = events_panel(spark, sf_dir).select(SITE, TIME, TARGET, "luu_luong_den")
+    begin = F.lit("2024-01-29").cast("timestamp")
+    history, after = panel.filter(F.col(TIME) < begin), panel.filter(F.col(TIME) >= begin)
+    future = after.select(SITE, TIME, F.col("luu_luong_den").alias("rain_forecast_mm"))
+    train = split_by_ratio(regularize(history.select(SITE, TIME, TARGET))).filter(F.col("split") == "train")
+    stats = fit_scalers(train.select(TARGET))
+    spread = fc.seasonal_spread(apply_scalers(train, stats), 2, SEASON)
+    answer = lambda past, ahead: fc.seasonal_forecast(past, SEASON, 48, spread=spread)
+    return answer_request(history, future, stats, answer, SEASON).drop("origin_idx")
+
+
 @query
 def selected_model(spark, sf_dir):
     rows = split_events(spark, sf_dir)

@@ -306,15 +306,18 @@ def seasonal_forecast(
     time: str = TIME,
     quantiles: list[float] = QUANTILES,
     chunk_steps: int = CHUNK_STEPS,
+    spread: DataFrame | None = None,
 ) -> DataFrame:
-    """Value one season back (repeated), spread by past changes over whole seasons.
+    """Value one season back (repeated), spread by past changes over whole seasons; ``spread``
+    is one made before by :func:`seasonal_spread`, where ``df`` holds the ends of series only.
 
     The last ``season`` rows up to the origin emit their own forecast steps, so nothing
     but those rows and the small spread table is joined.
     """
     require(df, site, time, target, POSITION, LENGTH)
     seasons = math.ceil(horizon / season)
-    spread = seasonal_spread(_train_rows(df, holdout), seasons, season, target, site, quantiles, chunk_steps)
+    if spread is None:
+        spread = seasonal_spread(_train_rows(df, holdout), seasons, season, target, site, quantiles, chunk_steps)
     origin = last_origin(holdout)
     recent = df.filter((F.col(POSITION) > origin - F.lit(season)) & (F.col(POSITION) <= origin))
     emitted = (

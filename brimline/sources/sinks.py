@@ -149,6 +149,14 @@ def failure_rows(
     )
 
 
+def write_known_future(training: DataFrame, inference: DataFrame, path: str, mode: str = "errorifexists") -> dict[str, str]:
+    """Covariates of training pairs and of the steps to forecast, as two Parquet folders."""
+    out = {"training": f"{path}/training", "inference": f"{path}/inference"}
+    for df, folder in zip((training, inference), out.values()):
+        df.write.mode(mode).parquet(folder)
+    return out
+
+
 def append_records(records: DataFrame, path: str, poll_time: str = "poll_time", batch_id: str | None = None) -> str:
     """Append records to ``month=yyyy-MM`` folders by poll time; readable by the crawl
     source, which takes the year from the folder.
