@@ -479,6 +479,10 @@ regular as (
         f"""select '{g}' as "group", '{c}' as "column", {r(f'avg({c})', 'mean')},
             {r(f'case when stddev_pop({c}) = 0 then 1 else stddev_pop({c}) end', 'scale')} from cal where split = 'train'"""
         for g, cols in SCALED_GROUPS.items() for c in cols)),
+    "scaler_moments": with_(*EVS, CAL_PARTS, body=" " + " union all ".join(
+        f"""select '{g}' as "group", '{c}' as "column", {r(f'avg({c})', 'mean')},
+            {r(f'case when stddev_pop({c}) = 0 then 1 else stddev_pop({c}) end', 'scale')} from cal where split = 'train'"""
+        for g, cols in SCALED_GROUPS.items() for c in cols)),
     "scaled_panel": with_(*EVS, CAL_PARTS, scaled(
         [Y, "luu_luong_den", "xa_tran", "so_cua_xa_mat", "was_imputed", "muc_dang_binh_thuong", "hour_sin", "doy_cos", "is_weekend"]),
         body=f" select {S}, {T}, split, " + ", ".join(
@@ -516,6 +520,8 @@ regular as (
   from (select o.site_id, o.time_idx as origin_idx, w.time_idx - o.time_idx as step, w.{Y} as v
         from regular o join regular w on o.site_id = w.site_id and w.time_idx between o.time_idx - 167 and o.time_idx + 336
         where o.time_idx >= 167 and o.time_idx + 336 < o.series_len and (o.time_idx - 167) % 24 = 0) group by 1, 2"""),
+    "cutoff_users": with_(USERS, body=f"""
+  select max(n) - 12 as cutoff from (select date_diff('hour', min({T}), max({T})) as n from panel group by site_id)"""),
     "normalized_target": with_(*EV, body=f"""
   select {S}, {T}, {r(f'({Y} - avg({Y}) over (partition by site_id)) / stddev_samp({Y}) over (partition by site_id)', Y + '_norm')}
   from regular"""),

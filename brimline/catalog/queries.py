@@ -32,8 +32,17 @@ from brimline.operators.dedup import head_steps, keep_last, tail, union_all
 from brimline.operators.features import add_calendar, add_lags_rollings, add_position, fill_features
 from brimline.operators.grid import regularize
 from brimline.operators.quantile_model import QuantileForecaster
-from brimline.operators.split import apply_scalers, fit_scalers, split_by_date, split_by_ratio, unscale
+from brimline.operators.split import (
+    apply_scalers,
+    fit_moments,
+    fit_scalers,
+    scalers_of,
+    split_by_date,
+    split_by_ratio,
+    unscale,
+)
 from brimline.operators.windows import (
+    cutoff_of_bounds,
     has_gaps,
     inference_frame,
     mark_future,
@@ -361,6 +370,17 @@ def scaler_statistics(spark, sf_dir):
     return fit_scalers(scaled_inputs(spark, sf_dir).filter(F.col("split") == "train"))
 
 
+@query
+def scaler_moments(spark, sf_dir):
+    """Moments per month and day, written part by part, put together again."""
+    root = scratch_path(spark, "moments")
+    rows = scaled_inputs(spark, sf_dir).filter(F.col("split") == "train").withColumn("day", F.to_date(TIME).cast("string"))
+    early = F.dayofmonth(TIME) <= 10
+    for some in (rows.filter(early), rows.filter(~early)):
+        fit_moments(some, "day").write.mode("append").parquet(root)
+    return scalers_of(spark.read.parquet(root))
+
+
 @query
 def scaled_panel(spark, sf_dir):
     rows = scaled_inputs(spark, sf_dir)
@@ -389,9 +409,15 @@ def cutoff(spark, sf_dir):
     return training_cutoff(regular_events(spark, sf_dir), DEC)
 
 
+@query
+def cutoff_users(spark, sf_dir):
+    return cutoff_of_bounds(users_panel(spark, sf_dir), DEC)
+
+
 def _windows(only):
     def run(spark, sf_dir):
-        rows = window_rows(regular_events(spark, sf_dir), ENC, DEC, only=only)
+        ends = cutoff_of_bounds(events_panel(spark, sf_dir).select(SITE, TIME), DEC)
+        rows = window_rows(regular_events(spark, sf_dir), ENC, DEC, only=only, cutoff=ends)
         return rows.select(SITE, "origin_idx", "step", TIME, TARGET, "relative_idx")
 
     run.__name__ = f"windows_{only}"

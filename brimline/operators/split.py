@@ -85,6 +85,43 @@ def fit_scalers(train: DataFrame) -> DataFrame:
     return train.agg(*aggs).select(F.inline(F.array(*entries)))
 
 
+def fit_moments(df: DataFrame, part: str) -> DataFrame:
+    """``(part, group, column, n, mean, m2)`` of every scaled column: count, mean and summed
+    squared deviation, per value of ``part`` (a month, say).
+
+    The state of a growing table: new parts are fitted alone and kept beside the old ones, and
+    :func:`scalers_of` puts them together without reading a row again.
+    """
+    require(df, part)
+    pairs = [(g, c) for g, cols in scaler_groups(df).items() for c in cols]
+    if not pairs:
+        raise ValueError("no column to scale")
+    aggs = []
+    for _, c in pairs:
+        x = F.col(c).cast("double")
+        aggs += [F.count(x).alias(f"n_{c}"), F.avg(x).alias(f"m_{c}"), (F.var_pop(x) * F.count(x)).alias(f"q_{c}")]
+    entries = [
+        F.struct(F.lit(g).alias("group"), F.lit(c).alias("column"), *[F.col(f"{k}_{c}").alias(name) for k, name in (("n", "n"), ("m", "mean"), ("q", "m2"))])
+        for g, c in pairs
+    ]
+    return df.groupBy(F.col(part).alias("part")).agg(*aggs).select("part", F.inline(F.array(*entries)))
+
+
+def scalers_of(moments: DataFrame) -> DataFrame:
+    """Scaler statistics as of :func:`fit_scalers` from moments of parts, each part once.
+
+    Deviations are taken from the common mean before they are added, so no digits are lost.
+    """
+    keys = ["group", "column"]
+    seen = moments.filter(F.col("n") > 0)
+    total = seen.groupBy(*keys).agg(F.sum("n").alias("_n"), (F.sum(F.col("n") * F.col("mean")) / F.sum("n")).alias("_mean"))
+    away = F.col("mean") - F.col("_mean")
+    scale = F.sqrt(F.sum(F.col("m2") + F.col("n") * away * away) / F.first("_n"))
+    joined = seen.join(total, keys).groupBy(*keys).agg(F.first("_mean").alias("mean"), scale.alias("scale"))
+    every = moments.select(*keys).distinct().join(joined, keys, "left")
+    return every.select(*keys, "mean", F.when(F.col("scale") == 0, F.lit(1.0)).otherwise(F.col("scale")).alias("scale"))
+
+
 def _one_row(stats: DataFrame) -> DataFrame:
     """Scaler statistics as one row holding a map; always one row, so safe to broadcast."""
     entry = F.struct("column", F.struct("mean", "scale"))

@@ -10,11 +10,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from brimline.functions.time import floor_div
+from brimline.functions.time import floor_div, micros, step_micros
 from brimline.plans.chunks import CHUNK, CHUNK_STEPS, HALO, by_chunk, chunk_arrays, core, with_halo, with_series
 from brimline.schema import (
     DECODER_STEPS,
     ENCODER_STEPS,
+    FREQUENCY,
     LENGTH,
     POSITION,
     SITE,
@@ -33,13 +34,29 @@ def training_cutoff(df: DataFrame, dec_len: int = DECODER_STEPS) -> DataFrame:
     return df.agg((F.max(POSITION) - F.lit(dec_len)).alias("cutoff"))
 
 
-def with_cutoff(df: DataFrame, dec_len: int = DECODER_STEPS, per_site: bool = False) -> DataFrame:
+def cutoff_of_bounds(
+    panel: DataFrame, dec_len: int = DECODER_STEPS, frequency: str | int = FREQUENCY, site: str = SITE, time: str = TIME
+) -> DataFrame:
+    """:func:`training_cutoff` of the grid a panel *will* have, from the first and last time of
+    each series: no grid is made for it."""
+    require(panel, site, time)
+    seen = panel.filter(F.col(time).isNotNull() & F.col(site).isNotNull())
+    bounds = seen.groupBy(site).agg(F.min(time).alias("_a"), F.max(time).alias("_b"))
+    last = floor_div(micros(F.col("_b")) - micros(F.col("_a")), step_micros(frequency))
+    return bounds.agg((F.max(last) - F.lit(dec_len)).alias("cutoff"))
+
+
+def with_cutoff(
+    df: DataFrame, dec_len: int = DECODER_STEPS, per_site: bool = False, cutoff: DataFrame | None = None
+) -> DataFrame:
     """Add ``cutoff``. The global one starves series shorter than the longest; the
-    ``per_site`` one is a projection over ``series_len``."""
+    ``per_site`` one is a projection over ``series_len``. ``cutoff`` gives the one row of the
+    global one; without it the rows of ``df`` are made twice, once to find it."""
     require(df, POSITION, LENGTH)
     if per_site:
         return df.withColumn("cutoff", F.col(LENGTH) - 1 - F.lit(dec_len))
-    return df.crossJoin(F.broadcast(training_cutoff(df, dec_len)))  # one row
+    one_row = training_cutoff(df, dec_len) if cutoff is None else cutoff
+    return df.crossJoin(F.broadcast(one_row))
 
 
 def window_rows(
@@ -50,6 +67,7 @@ def window_rows(
     site: str = SITE,
     only: str = "all",
     per_site: bool = False,
+    cutoff: DataFrame | None = None,
 ) -> DataFrame:
     """Windows in long form: one row per window and step.
 
@@ -58,7 +76,7 @@ def window_rows(
     ``only="train"`` keeps windows that end at or before the training cutoff,
     ``"validation"`` those whose first predicted row lies after it, ``"last"`` the last
     complete window of each series. ``relative_idx`` counts in encoder lengths from the
-    first predicted row.
+    first predicted row. ``cutoff`` may come from :func:`cutoff_of_bounds`.
 
     Rows grow by ``(enc_len + dec_len) / stride``; raise ``stride`` for long histories.
     """
@@ -67,7 +85,7 @@ def window_rows(
     low = F.greatest(F.col(POSITION) - F.lit(dec_len), F.lit(enc_len - 1).cast("bigint"))
     high = F.least(F.col(POSITION) + F.lit(enc_len - 1), last)
     if only in ("train", "validation"):
-        df = with_cutoff(df, dec_len, per_site)
+        df = with_cutoff(df, dec_len, per_site, cutoff)
         if only == "train":
             high = F.least(high, F.col("cutoff") - F.lit(dec_len))
         else:
@@ -100,6 +118,7 @@ def window_arrays(
     site: str = SITE,
     only: str = "all",
     chunk_steps: int = CHUNK_STEPS,
+    cutoff: DataFrame | None = None,
 ) -> DataFrame:
     """One row per window with ``encoder`` and ``decoder`` arrays of structs in time order.
 
@@ -112,7 +131,7 @@ def window_arrays(
     steps = max(chunk_steps, enc_len + dec_len)
     wanted = _origin_wanted(enc_len, dec_len, stride, only)
     if only in ("train", "validation"):
-        df = with_cutoff(df, dec_len)
+        df = with_cutoff(df, dec_len, cutoff=cutoff)
     marked = df.withColumn("_wanted", wanted)
     chunks = chunk_arrays(marked, ["_wanted", *columns], site, POSITION, enc_len - 1, dec_len, steps)
     lists = chunks.select(site, *[F.col(f"_rows.{c}").alias(f"_all_{c}") for c in [POSITION, HALO, "_wanted", *columns]])
