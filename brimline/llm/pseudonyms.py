@@ -8,7 +8,10 @@ a keyed hash of one half to the other modulo its radix. Mail addresses are permu
 letter in the same way, letters staying letters and digits digits; their domain stays.
 
 Everything happens inside the row, in built-in functions: no shuffle, nothing broadcast.
-Nulls: a NULL text stays NULL. Empty texts, repeated rows and other columns pass unchanged.
+Nulls: a NULL text stays NULL. Empty texts and tables, repeated rows and other columns pass
+unchanged; where the input has a ``pii_counts`` of its own, the counts are called ``pii_counts_``.
+Long texts are gone through once, in time that grows with their length. Of overlapping values
+the one that begins first counts, of two at one place the first in the order of ``ANY``.
 """
 
 from __future__ import annotations
@@ -16,12 +19,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from brimline.llm.common import bind
+from brimline.llm.common import bind, fresh
 
 ROUNDS = 8
 KINDS = ("email", "ip", "card", "phone", "ssn", "date")
 
-EMAIL = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}"
+# Runs of single characters only, each tried from its first one: linear, and without recursion,
+# whatever the text. A local part has 64 characters at most.
+EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+@[A-Za-z0-9-][A-Za-z0-9.-]*\.[A-Za-z]{2,}"
 IP = r"(?<![\d.])\d{1,3}(?:\.\d{1,3}){3}(?![\d]|\.\d)"
 CARD = r"(?<![\d])\d(?:[ -]?\d){12,18}(?!\d)"
 PHONE = r"\+1[ -]?\(?\d{3}\)?[ -]?\d{3}[ -]?\d{4}(?!\d)"
@@ -99,8 +104,31 @@ def luhn_sum(digits: Column, doubled_from_end: int) -> Column:
     )
 
 
+def card_in(hit: Column) -> Column:
+    """Where a valid card stands in a run of digits: start and length of the longest part that
+    begins and ends at a separator and has 13 to 19 digits with a valid check digit."""
+    valid = lambda x: bind(digits_of(x), lambda d: F.length(d).between(13, 19) & (luhn_sum(d, 0) % 10 == 0))
+    at = lambda i: F.substring(hit, i, F.lit(1)).rlike(r"\d")
+    places = F.sequence(F.lit(1), F.length(hit))
+    starts = F.filter(places, lambda i: at(i) & ((i == 1) | ~at(i - 1)))
+    ends = F.filter(places, lambda i: at(i) & ((i == F.length(hit)) | ~at(i + 1)))
+    # the longest first, of equal ones the leftmost
+    parts = F.flatten(F.transform(starts, lambda a: F.transform(F.filter(ends, lambda b: b >= a + 12), lambda b: F.struct((a - b - 1).alias("n"), a.alias("a")))))
+    some = F.filter(F.array_sort(parts), lambda x: valid(F.substring(hit, x["a"], -x["n"])))
+    whole = F.struct((-F.length(hit)).alias("n"), F.lit(1).alias("a"))
+    return F.when(valid(hit), whole).otherwise(F.get(some, F.lit(0)))
+
+
 def card(hit: Column, key: str) -> Column:
-    """13 to 19 digits with a valid check digit; NULL otherwise."""
+    """13 to 19 digits with a valid check digit, alone or with other digits beside them behind a
+    separator (an expiry date, a count), which stay; NULL otherwise."""
+    return bind(card_in(hit), lambda x: F.concat(
+        F.substring(hit, F.lit(1), x["a"] - 1), _whole_card(F.substring(hit, x["a"], -x["n"]), key),
+        F.substring(hit, x["a"] - x["n"], F.length(hit)),
+    ))
+
+
+def _whole_card(hit: Column, key: str) -> Column:
 
     def permuted(d: Column) -> Column:
         half = ((F.length(d) - 1) / 2).cast("int")
@@ -217,6 +245,7 @@ def _turned(s: Column, digest: Column) -> Column:
 
 def email(hit: Column, key: str) -> Column:
     local, domain = F.substring_index(hit, "@", 1), F.substring_index(hit, "@", -1)
+    valid = F.substring_index(domain, "..", 1).rlike(r"\.[A-Za-z]{2}")
     half = F.floor(F.length(local) / 2).cast("int")
 
     def step(s: Column, k: Column) -> Column:
@@ -229,7 +258,7 @@ def email(hit: Column, key: str) -> Column:
 
     start = F.struct(F.substring(local, F.lit(1), half).alias("l"), F.substring(local, half + 1, F.length(local)).alias("r"))
     new = F.aggregate(F.sequence(F.lit(1), F.lit(4)), start, step)
-    return bind(new, lambda s: F.concat(s["l"], s["r"], F.lit("@"), domain))
+    return F.when(valid, bind(new, lambda s: F.concat(s["l"], s["r"], F.lit("@"), domain)))
 
 
 def kind_of(hit: Column) -> Column:
@@ -252,11 +281,12 @@ def pseudonym(hit: Column, kind: Column, key: str) -> Column:
 def replace(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
     """All columns, ``text`` with pseudonyms, and ``pii_counts``: one number per kind replaced."""
     t = F.col(f"`{text}`")
-    out = docs.withColumn("_pii_hits", F.regexp_extract_all(t, F.lit(ANY), F.lit(0)))
+    hits, new, counted = fresh(docs, "_pii_hits"), fresh(docs, "_pii_new"), fresh(docs, "pii_counts")
+    out = docs.withColumn(hits, F.regexp_extract_all(t, F.lit(ANY), F.lit(0)))
     out = out.withColumn(
-        "_pii_new",
+        new,
         F.transform(
-            "_pii_hits",
+            hits,
             lambda h: bind(
                 kind_of(h), lambda k: F.struct(k.alias("kind"), h.alias("old"), pseudonym(h, k, key).alias("new"))
             ),
@@ -268,16 +298,16 @@ def replace(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
         lambda parts: F.array_join(
             F.transform(
                 parts,
-                lambda p, i: F.concat(p, F.coalesce(F.get("_pii_new", i)["new"], F.get("_pii_new", i)["old"], F.lit(""))),
+                lambda p, i: F.concat(p, F.coalesce(F.get(new, i)["new"], F.get(new, i)["old"], F.lit(""))),
             ),
             "",
         ),
     )
     counts = F.array(*[
-        F.size(F.filter("_pii_new", lambda x: (x["kind"] == i) & x["new"].isNotNull())) for i in range(len(KINDS))
+        F.size(F.filter(new, lambda x: (x["kind"] == i) & x["new"].isNotNull())) for i in range(len(KINDS))
     ])
     return (
-        out.withColumn(text, F.when(F.size("_pii_hits") > 0, joined).otherwise(t))
-        .withColumn("pii_counts", F.when(t.isNull(), F.array(*[F.lit(0)] * len(KINDS))).otherwise(counts))
-        .drop("_pii_hits", "_pii_new")
+        out.withColumn(text, F.when(F.size(hits) > 0, joined).otherwise(t))
+        .withColumn(counted, F.when(t.isNull(), F.array(*[F.lit(0)] * len(KINDS))).otherwise(counts))
+        .drop(hits, new)
     )
