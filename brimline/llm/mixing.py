@@ -8,11 +8,14 @@ Whether one stays follows from a hash of its id, so any run takes the same docum
 A rare value has a scale without bound, so the largest scale alone would let one odd document
 decide how much of the corpus stays. At least ``KEPT`` of the tokens therefore stay: where the
 largest scale leaves less, scales are divided by the number that leaves just that share, and
-cells above it stay whole. These fall short of their targets; ``margins_kept`` says by how much.
+cells above it stay whole. Their values fall short of their targets then, and others go beyond;
+each document's row says by how much for its source, language and topic (``short_*``), and
+``margins_kept`` for all values.
 
 The cells are one row per combination, summed before any shuffle. Up to ``DRIVER_CELLS`` of them are
 raked as arrays on the driver; for more, a scale per value of each margin is kept beside them, and
-each step joins the cells with two of these tables and writes the third anew. Targets default to the present shares raised to a power (``TEMPER``)
+each step joins the cells with two of these tables and writes the third anew; rounds and weights
+are the same. Targets default to the present shares raised to a power (``TEMPER``)
 and may be given as tables ``name, share``.
 
 Nulls: NULL source, language or topic count as the value ``""``; a NULL text has no tokens. Cells
@@ -39,15 +42,13 @@ MARGINS = ("source", "lang", "topic")
 TEMPER = {"source": 0.7, "lang": 0.85, "topic": 1.0}
 #: Rounds at least, and at most if totals are further than ``TOLERANCE`` from their targets.
 ROUNDS = 6
-MOST_ROUNDS = 20_000
+MOST_ROUNDS = 2_000
 #: Largest relative error of any value's total against its target.
 TOLERANCE = 1e-4
 #: Rounds in which the error must fall by a hundredth; targets that exclude each other end there.
 STALLED = 500
 #: Up to so many cells are raked on the driver, where a round takes no job.
 DRIVER_CELLS = 200_000
-#: Rounds at most for more cells, each of which takes a few jobs.
-MOST_JOB_ROUNDS = 200
 #: Least share of the tokens that stays in expectation.
 KEPT = 0.75
 #: Divisors tried in one pass over the cells, and the ratio of neighbours that ends the search.
@@ -121,12 +122,9 @@ def raked_on_driver(cells: DataFrame, goals: dict[str, DataFrame], rounds: int)
             continue
         off = [np.bincount(at[m], weights=w) / w.sum() * want[m].sum() / want[m] - 1 for m in MARGINS]
         error = max(float(np.abs(x).max()) for x in off)
-        if error <= TOLERANCE:
+        if error <= TOLERANCE or (done % STALLED == 0 and error > 0.99 * earlier):
             break
-        if done % STALLED == 0:
-            if error > 0.99 * earlier:
-                break
-            earlier = error
+        earlier = error if done % STALLED == 0 else earlier
     out = [(*(r[m] for m in MARGINS), r["now"], max(x, LEAST)) for r, x in zip(rows, w.tolist())]
     columns = ", ".join(f"{m} string" for m in MARGINS)
     return cells.sparkSession.createDataFrame(out, f"{columns}, now double, w double"), error
@@ -168,13 +166,18 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame] | None = None, temper:
     if cells.count() <= DRIVER_CELLS:
         out, error = raked_on_driver(cells, goals, rounds)
     else:
-        for done in range(1, max(rounds, MOST_JOB_ROUNDS) + 1):
+        earlier = math.inf
+        for done in range(1, MOST_ROUNDS + 1):
             for m in MARGINS:
                 total = scaled(but=m).groupBy(m).agg(F.sum("w").alias("_w"))
                 found = total.join(goals[m], m).select(m, (F.col("_goal") / F.col("_w")).alias("_f"))
                 scales[m] = settled(found, f"scale-{m}")
-            if done >= rounds and (error := error_left()) <= TOLERANCE:
+            if done < rounds:
+                continue
+            error = error_left()
+            if error <= TOLERANCE or (done % STALLED == 0 and error > 0.99 * earlier):
                 break
+            earlier = error if done % STALLED == 0 else earlier
         out = scaled().select(*MARGINS, "now", "w")
     if error > TOLERANCE:
         log.warning("raking stopped with totals up to %.2g of their targets off", error)
@@ -183,7 +186,11 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame] | None = None, temper:
 
 def divisor(scale: DataFrame, kept: float = KEPT) -> float | None:
     """What the scales ``_s`` of cells with ``now`` tokens are divided by: the largest, or where
-    that leaves less than ``kept`` of the tokens, the number that leaves this share."""
+    that leaves less than ``kept`` of the tokens, the number that leaves this share.
+
+    What stays falls with the divisor, in pieces: the tokens of cells above it, and the scaled
+    ones of the others over it. The piece is found in passes over all cells, and solved.
+    """
     left = lambda d: F.sum(F.col("now") * F.least(F.lit(1.0), F.col("_s") / F.lit(d)))
     low, high, total = scale.agg(F.min("_s"), F.max("_s"), F.sum("now")).first()
     if high is None or scale.agg(left(high)).first()[0] >= kept * total:
@@ -194,7 +201,10 @@ def divisor(scale: DataFrame, kept: float = KEPT) -> float | None:
         found = scale.agg(*[left(d).alias(f"d{i}") for i, d in enumerate(tried)]).first()
         at = max((i for i in range(TRIED) if found[i] >= kept * total), default=0)
         low, high = tried[at], tried[at + 1]
-    return low
+    whole = F.col("_s") > math.sqrt(low * high)
+    above, others = scale.agg(F.sum(F.when(whole, F.col("now"))), F.sum(F.when(~whole, F.col("now") * F.col("_s")))).first()
+    wanted = kept * total - (above or 0.0)
+    return others / wanted if others and wanted > 0 else low
 
 
 def probabilities(raked: DataFrame, kept: float = KEPT) -> DataFrame:
@@ -222,25 +232,32 @@ def margins_kept(raked: DataFrame, table: DataFrame) -> DataFrame:
 
 def chances(rows: DataFrame, targets: dict[str, DataFrame] | None = None, temper: dict[str, float] | None = None,
             rounds: int = ROUNDS, kept: float = KEPT) -> DataFrame:
-    """``source, lang, topic, probability`` of every cell of weighed rows with tokens, written to
-    the shared folder: Spark then knows its size when it chooses how to join it."""
+    """``source, lang, topic, probability, short_source, short_lang, short_topic`` of every cell of
+    weighed rows with tokens, written to the shared folder: Spark then knows its size when it
+    chooses how to join it. ``short_*`` is the part of its target that the value of the cell
+    misses among the tokens that stay in expectation; below zero it has more.
+    """
     raked = settled(rake(cells_of(rows), targets, temper, rounds), "raked")
     table = settled(probabilities(raked, kept), "probabilities")
-    for r in margins_kept(raked, table).groupBy("margin").agg(
-        F.sum("now").alias("now"), F.sum("kept").alias("kept"), F.min(F.col("share") / F.col("goal")).alias("least")
+    margins = settled(margins_kept(raked, table).withColumn("_short", 1 - F.col("share") / F.col("goal")), "margins")
+    for r in margins.groupBy("margin").agg(
+        F.sum("now").alias("now"), F.sum("kept").alias("kept"), F.max("_short").alias("most")
     ).collect():
-        log.info("%s: %.0f of %.0f tokens stay; lowest share over goal %.3f", r.margin, r.kept, r["now"], r.least)
-    return table
+        log.info("%s: %.0f of %.0f tokens stay; largest shortfall %.3f", r.margin, r.kept, r["now"], r.most)
+    for m in MARGINS:
+        table = table.join(margins.filter(F.col("margin") == m).select(F.col("value").alias(m), F.col("_short").alias(f"short_{m}")), m)
+    return settled(table.select(*MARGINS, "probability", *[f"short_{m}" for m in MARGINS]), "chances")
 
 
 def drawn(rows: DataFrame, table: DataFrame) -> DataFrame:
-    """Weighed rows with ``probability`` and ``kept``."""
+    """Weighed rows with ``probability``, ``short_*`` and ``kept``."""
     same = reduce(lambda a, b: a & b, [F.col(f"r.{m}") == F.col(f"p.{m}") for m in MARGINS])
     chance = (
         F.when(F.col("n_tokens") == 0, F.coalesce("probability", F.lit(1.0)))
         .otherwise(F.coalesce("probability", F.lit(0.0)))
     )
-    out = rows.alias("r").join(table.alias("p"), same, "left").select("r.*", chance.alias("probability"))
+    short = [F.coalesce(c, F.lit(0.0)).alias(c) for c in (f"short_{m}" for m in MARGINS) if c in table.columns]
+    out = rows.alias("r").join(table.alias("p"), same, "left").select("r.*", chance.alias("probability"), *short)
     return out.withColumn("kept", draw(F.col("_id")) < F.col("probability"))
 
 

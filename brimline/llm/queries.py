@@ -102,7 +102,7 @@ QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY depth) = 1
 def op9_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = settled(mixing.weighed(table(spark, sf_dir, "documents")), "weighed")
     out = mixing.drawn(rows, mixing.chances(rows)).withColumnRenamed("_id", "doc_id")
-    return out.withColumn("probability", F.round("probability", 6))
+    return out.withColumns({c: F.round(c, 6) + F.lit(0.0) for c in ("probability", *[f"short_{m}" for m in mixing.MARGINS])})
 
 
 def _raking_sql() -> str:
@@ -138,12 +138,28 @@ cells AS (
   FROM c0 JOIN gs USING (source) JOIN gl USING (lang) JOIN gt USING (topic)
 ),
 raked AS ({_raking_sql()}),
-p AS (SELECT source, lang, topic, (w / now) / max(w / now) OVER () AS probability FROM raked)
-SELECT doc_id, source, lang, topic, n_tokens, round(pr, 6) AS probability,
+s AS (SELECT *, w / now AS s, sum(now) OVER () AS total FROM raked),
+o AS (
+  SELECT *, sum(now) OVER falling AS above, sum(now * s) OVER () - sum(now * s) OVER falling AS others, lead(s, 1, 0.0) OVER falling AS next
+  FROM s WINDOW falling AS (ORDER BY s DESC, source, lang, topic ROWS UNBOUNDED PRECEDING)
+),
+divisor AS (
+  SELECT CASE WHEN sum(now * s) / max(s) >= {mixing.KEPT} * sum(now) THEN max(s) ELSE min(
+    CASE WHEN {mixing.KEPT} * total > above AND others / ({mixing.KEPT} * total - above) <= s AND others / ({mixing.KEPT} * total - above) >= next
+         THEN others / ({mixing.KEPT} * total - above) END) END AS d FROM o
+),
+p AS (SELECT source, lang, topic, now, w, least(1.0, s / d) AS probability FROM s CROSS JOIN divisor),
+{", ".join(f"""short_{m} AS (
+  SELECT {m}, 1 - (sum(now * probability) / (SELECT sum(now * probability) FROM p)) / (sum(w) / (SELECT sum(w) FROM p)) AS short_{m}
+  FROM p GROUP BY {m}
+)""" for m in mixing.MARGINS)}
+SELECT doc_id, source, lang, topic, n_tokens, round(pr, 6) + 0.0 AS probability,
+       {", ".join(f"round(coalesce(short_{m}, 0.0), 6) + 0.0 AS short_{m}" for m in mixing.MARGINS)},
        ('0x' || substr(md5(coalesce(doc_id::VARCHAR, 'null')), 1, {mixing.DRAW_DIGITS}))::BIGINT / {float(16 ** mixing.DRAW_DIGITS)} < pr AS kept
 FROM (
-  SELECT r.*, coalesce(probability, CASE WHEN n_tokens = 0 THEN 1.0 ELSE 0.0 END) AS pr
-  FROM r LEFT JOIN p USING (source, lang, topic)
+  SELECT r.*, coalesce(probability, CASE WHEN n_tokens = 0 THEN 1.0 ELSE 0.0 END) AS pr,
+         {", ".join(f"CASE WHEN probability IS NOT NULL THEN short_{m} END AS short_{m}" for m in mixing.MARGINS)}
+  FROM r LEFT JOIN p USING (source, lang, topic) LEFT JOIN short_source USING (source) LEFT JOIN short_lang USING (lang) LEFT JOIN short_topic USING (topic)
 )
 """
 
@@ -264,7 +280,8 @@ WITH t AS (
 w AS (
   SELECT lang, regexp_extract_all(piece, '[^ 	]+') AS w
   FROM (SELECT lang, unnest(string_split_regex(t, '[.,;:!?
--]')) AS piece FROM t)
+-
+]')) AS piece FROM t)
 ),
 size AS (SELECT lang, sum(len(w))::BIGINT AS n FROM w GROUP BY lang),
 f AS (SELECT lang, p, count(*) AS f FROM ({_phrases_sql()}) GROUP BY ALL HAVING count(*) >= {collocations.LEAST}),

@@ -9,7 +9,9 @@ goes into the next round, so the number of rounds follows the depth and not the
 limit unless it is a single document that is larger.
 
 Nulls: a NULL id or text is hashed as a word of its own and takes no bytes. An empty table
-has no shards. Repeated rows are each placed. Other columns are carried by ``write_shards``.
+has no shards. Repeated rows are each placed, and each written once. ``write_shards`` carries all
+columns; where one is called like the partition column, that gets another name. Long texts count
+with their bytes; ties cannot occur but between equal rows, whose order is any.
 """
 
 from __future__ import annotations
@@ -19,7 +21,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from brimline.llm.common import settled, text_of
+from brimline.llm.common import fresh, settled, text_of
 
 KEY_BITS = 60
 ROUND_BITS = 15
@@ -38,10 +40,12 @@ def _prefix(depth: Column | int, first: Column, second: Column) -> Column:
     return F.substring(bits, F.lit(1), F.lit(depth) if isinstance(depth, int) else depth)
 
 
-def documents_to_place(docs: DataFrame) -> DataFrame:
-    """``_id, _h1, _h2, _bytes`` of each document."""
+def documents_to_place(docs: DataFrame, whole: bool = False) -> DataFrame:
+    """``_id, _h1, _h2, _bytes`` of each document, and the row itself as ``_row``."""
     text = text_of()
+    row = [F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")] if whole else []
     return docs.select(
+        *row,
         F.col("doc_id").cast("long").alias("_id"), hash_bits(F.col("doc_id")).alias("_h1"),
         hash_bits(text).alias("_h2"), F.octet_length(text).cast("long").alias("_bytes"),
     )
@@ -78,7 +82,8 @@ def overflow(rows: DataFrame, limit: int) -> DataFrame:
     Equal rows may be numbered in any order. A page holds as many as fit; the parts of one
     key lie in many tasks, and only their counts meet.
     """
-    part = rows.withColumn("_part", F.spark_partition_id())
+    # written first, so that a row keeps its part wherever it is read again
+    part = settled(rows.withColumn("_part", F.spark_partition_id()), "overflow")
     counts = part.groupBy("_shard", "_part").agg(F.count(F.lit(1)).alias("_n"), F.max("_bytes").alias("_most"))
     whole = Window.partitionBy("_shard")
     counts = counts.select(
@@ -89,13 +94,23 @@ def overflow(rows: DataFrame, limit: int) -> DataFrame:
     numbered = part.withColumn("_i", F.row_number().over(Window.partitionBy("_shard", "_part").orderBy("_bytes")) - 1)
     out = numbered.join(counts, (F.col("_shard") == F.col("_s")) & (F.col("_part") == F.col("_p")))
     page = F.floor((F.col("_before") + F.col("_i")) / F.col("_per_page"))
-    return out.withColumn("_page", page.cast("long")).drop("_s", "_p", "_part", "_i", "_before", "_per_page")
+    out = out.withColumn("_page", page.cast("long")).drop("_s", "_p", "_part", "_i", "_before", "_per_page")
+    # a page is bounded by the limit, or by its number of empty rows
+    return out.withColumn("_shard_bytes", F.sum("_bytes").over(Window.partitionBy("_shard", "_page")))
 
 
 def place(docs: DataFrame, limit: int = LIMIT_BYTES) -> DataFrame:
     """Each document with its shard: ``doc_id, shard`` (prefix bits, then ``.page`` for overflow),
-    ``depth, n_bytes, shard_bytes``."""
-    rest = documents_to_place(docs)
+    ``depth, n_bytes, shard_bytes``; the bytes of an overflow page are its own."""
+    return _placed(documents_to_place(docs), limit).select(
+        F.col("_id").alias("doc_id"), "shard", F.col("_depth").alias("depth"), F.col("_bytes").alias("n_bytes"),
+        F.col("_shard_bytes").alias("shard_bytes"),
+    )
+
+
+def _placed(rest: DataFrame, limit: int) -> DataFrame:
+    """Rows of ``documents_to_place`` with ``shard, _depth, _shard_bytes``."""
+    columns = rest.columns
     done = []
     top = 0
     while True:
@@ -108,25 +123,22 @@ def place(docs: DataFrame, limit: int = LIMIT_BYTES) -> DataFrame:
         if top >= 2 * KEY_BITS:
             done.append(overflow(at.filter("_full"), limit))
             break
-        rest = settled(at.filter("_full").select("_id", "_h1", "_h2", "_bytes"), "still-full")
+        rest = settled(at.filter("_full").select(*columns), "still-full")
     out = reduce(DataFrame.unionByName, done)
     paged = F.col("_page").isNotNull()
-    return out.select(
-        F.col("_id").alias("doc_id"),
-        F.when(paged, F.concat_ws(".", "_shard", "_page")).otherwise(F.col("_shard")).alias("shard"),
-        F.col("_depth").alias("depth"), F.col("_bytes").alias("n_bytes"),
-        F.col("_shard_bytes").alias("shard_bytes"),
-    )
+    return out.withColumn("shard", F.when(paged, F.concat_ws(".", "_shard", "_page")).otherwise(F.col("_shard")))
 
 
 #: Partition column of written shards; to be read as text, since prefixes may start with 0.
 SHARD_COLUMN = "_shard"
 
 
-def write_shards(docs: DataFrame, placed: DataFrame, path: str) -> None:
-    """Documents into one folder per shard; the rows of a shard meet in one task, which the
-    byte limit bounds. The one shard of no prefix is called ``all``."""
+def write_shards(docs: DataFrame, path: str, limit: int = LIMIT_BYTES) -> str:
+    """Documents into one folder per shard, each row with the shard it was placed in; the rows of
+    a shard meet in one task, which the byte limit bounds. The one shard of no prefix is called
+    ``all``. Returns the name of the partition column."""
+    column = fresh(docs, SHARD_COLUMN)
     name = F.when(F.col("shard") == "", "all").otherwise(F.col("shard"))
-    ids = placed.select(F.col("doc_id").alias("_placed_id"), name.alias(SHARD_COLUMN)).distinct()
-    rows = docs.join(ids, F.col("doc_id").eqNullSafe(F.col("_placed_id"))).drop("_placed_id")
-    rows.repartition(SHARD_COLUMN).write.partitionBy(SHARD_COLUMN).parquet(path)
+    rows = _placed(documents_to_place(docs, whole=True), limit).select("_row.*", name.alias(column))
+    rows.repartition(column).write.partitionBy(column).parquet(path)
+    return column

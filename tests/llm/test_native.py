@@ -1,6 +1,7 @@
 """Line rules, sharding and mixing against plain Python, and edge cases."""
 
 import hashlib
+import random
 import re
 from collections import Counter, defaultdict
 
@@ -154,16 +155,55 @@ def test_shards_of_equal_rows(spark, edge_docs, edge_rows, no_docs):
 
 def test_written_shards(spark, documents, tmp_path):
     placed = sharding.place(documents, 60_000)
-    sharding.write_shards(documents, placed, f"{tmp_path}/s")
+    assert sharding.write_shards(documents, f"{tmp_path}/s", 60_000) == sharding.SHARD_COLUMN
     back = spark.read.schema(f"doc_id bigint, text string, {sharding.SHARD_COLUMN} string").parquet(f"{tmp_path}/s")
     want = {r.doc_id: r.shard for r in placed.collect()}
     got = {r.doc_id: r[sharding.SHARD_COLUMN] for r in back.collect()}
     assert got == want and back.count() == documents.count()
 
 
+def test_equal_rows_are_written_once_in_pages_within_the_limit(spark, tmp_path):
+    text = "x" * 1000
+    docs = spark.range(6000).select(F.lit(7).cast("long").alias("doc_id"), F.lit(text).alias("text"), "id", F.lit("own").alias("_shard"))
+    docs = docs.unionByName(spark.range(50).select(F.col("id").alias("doc_id"), F.lit("y").alias("text"), "id", F.lit(None).alias("_shard")))
+    limit = 1 << 18
+    pages = sharding.place(docs, limit).groupBy("shard").agg(F.max("shard_bytes").alias("said"), F.sum("n_bytes").alias("real"), F.min("shard_bytes").alias("least")).collect()
+    assert all(r.said == r.least == r.real <= limit for r in pages) and len(pages) >= 6_000_000 / limit
+    column = sharding.write_shards(docs, f"{tmp_path}/s", limit)
+    assert column == "_shard_"
+    back = spark.read.schema(f"doc_id bigint, text string, id bigint, _shard string, {column} string").parquet(f"{tmp_path}/s")
+    assert back.count() == 6050 and back.filter("_shard = 'own'").select("id").distinct().count() == 6000
+    sizes = back.groupBy(column).agg(F.sum(F.length("text")).alias("n")).collect()
+    assert all(r.n <= limit for r in sizes)
+
+
 # --- mixing -----------------------------------------------------------------------------
 
 
+@pytest.mark.parametrize("seed", range(4))
+def test_divisor_leaves_exactly_the_share(spark, seed):
+    r = random.Random(seed)
+    rows = [(r.uniform(1, 1000), 10 ** r.uniform(-6, 3)) for _ in range(300)] + [(50.0, 2.0)] * 40
+    d = mixing.divisor(spark.createDataFrame(rows, "now double, _s double"))
+    left = sum(n * min(1.0, s / d) for n, s in rows)
+    assert left / sum(n for n, _ in rows) == pytest.approx(mixing.KEPT, abs=1e-12)
+
+
+def test_rows_say_how_far_their_values_fall_short(spark, documents):
+    docs = documents.select("doc_id", "text", "lang", "source")
+    odd = spark.createDataFrame([(-1, "odd " * 100, "en", "new"), (-2, "", "zz", "none")], docs.schema)
+    rows = settled(mixing.weighed(docs.unionByName(odd)), "test-short")
+    out = mixing.drawn(rows, mixing.chances(rows)).collect()
+    total = sum(r.n_tokens * r.probability for r in out)
+    goal = {v: n ** 0.7 for v, n in Counter({s: sum(r.n_tokens for r in out if r.source == s) for s in {r.source for r in out}}).items() if n}
+    for s in goal:
+        kept = sum(r.n_tokens * r.probability for r in out if r.source == s)
+        said = {r.short_source for r in out if r.source == s}
+        assert len(said) == 1 and said.pop() == pytest.approx(1 - kept / total / (goal[s] / sum(goal.values())), abs=1e-3)
+    new, empty = (next(r for r in out if r["_id"] == i) for i in (-1, -2))
+    assert new.short_source > 0 and new.probability == 1.0 and (empty.probability, empty.short_lang) == (1.0, 0.0)
+
+
 def test_raked_totals_meet_targets(spark, documents):
     cells = mixing.cells_of(mixing.weighed(documents))
     targets = {"lang": spark.createDataFrame([("en", 5.0), ("fr", 3.0), ("de", 1.0), ("es", 1.0)], "name string, share double")}
