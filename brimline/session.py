@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,11 +19,14 @@ def use_utc(spark: SparkSession) -> SparkSession:
 def shared_dir(spark: SparkSession) -> str:
     """Folder all executors reach, as named by the cluster in ``spark.checkpoint.dir``.
 
-    Where that is unset, a folder beside the tables of the warehouse, which is shared as well.
+    Where that is unset, a folder beside the tables of the warehouse serves a session whose
+    tasks run in the driver; on a cluster the folder must be named.
     """
     configured = spark.conf.get(CHECKPOINT_KEY, None)
     if configured:
         return configured.rstrip("/")
+    if not re.match(r"local(\[|$)", spark.sparkContext.master):
+        raise ValueError(f"name a folder that all executors reach in {CHECKPOINT_KEY}")
     return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
 
 
