@@ -55,7 +55,7 @@ freq AS (
   SELECT f.host, f.norm FROM (
     SELECT l.host, norm, count(DISTINCT t) AS n FROM l JOIN d USING (doc_id) GROUP BY ALL
   ) f JOIN size s ON f.host IS NOT DISTINCT FROM s.host
-  WHERE f.n > {line_rules.MIN_DOCS} AND f.n > {line_rules.MAX_SHARE} * s.n
+  WHERE f.n > {line_rules.MIN_DOCS} AND f.n > {line_rules.MAX_SHARE} * least(s.n, sqrt(s.n * {line_rules.WIDE_HOST}))
 ),
 gone AS (
   SELECT doc_id, sum(n) AS n FROM l JOIN freq f ON l.host IS NOT DISTINCT FROM f.host AND l.norm = f.norm GROUP BY doc_id

@@ -5,14 +5,18 @@ tokens are scored under a model of random strings and one of ordinary identifier
 transitions, smoothed); a token whose log-likelihood ratio passes ``MIN_RATIO`` is a span of
 kind ``markov``. The models learn from labelled tokens: values the patterns found, and words of
 ordinary text. At most ``MAX_RANDOM`` and ``MAX_ORDINARY`` tokens, the smallest by hash, are
-used; the transition counts are at most 2 x 68 x 68 numbers.
+used, the ordinary ones out of at most ``ORDINARY_DOCS`` documents; these bound the fit alone, and
+every token of every text is scored. The transition counts are at most 2 x 68 x 68 numbers. Only
+unbroken tokens of 20 characters or more are scored, as shorter ones do not tell the classes apart.
 
 A span's place follows from the lengths of what lies between the matches of its kind, added
 up over the rows of one text. All in built-in functions. Spans count code points, the end is
 exclusive; ``markov`` spans may overlap others.
 
 Nulls: a NULL text is empty; NULL ids are kept. Repeated rows each get their spans. Without
-labelled tokens of either class no ``markov`` span is found.
+labelled tokens of either class no ``markov`` span is found. Empty and long texts are ordinary
+cases, and an empty table gives no rows. ``masked`` keeps all columns, whatever their names;
+``scan`` reads the id and the text only. Spans that begin at one place are listed by kind.
 """
 
 from __future__ import annotations
@@ -23,7 +27,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from brimline.llm.common import bind, text_of
+from brimline.llm.common import bind, fresh, text_of
 
 #: The patterns of the three base kinds, in the order of the listing. Runs
 #: shorter than asked for cannot hold a longer one, so their minimum stands in the pattern.
@@ -200,25 +204,24 @@ def masked(docs: DataFrame, models: Models | None, mask: str = "[SECRET]") -> Da
     spans = spans.withColumn("_run", F.sum((F.coalesce(F.col("start") >= F.col("_upto"), F.lit(True))).cast("int")).over(w))
     runs = spans.groupBy("_id", "_t", "_run").agg(F.min("start").alias("a"), F.max("end").alias("b"))
     runs = runs.groupBy("_id", "_t").agg(F.sort_array(F.collect_list(F.struct("a", "b"))).alias("_s"))
-    runs = runs.select(F.col("_id").alias("_span_id"), F.col("_t").alias("_span_t"), F.col("_s").alias("_span_s"))
-    out = docs.join(
-        runs, F.col("doc_id").eqNullSafe(F.col("_span_id")) & (F.xxhash64(text_of()) == F.col("_span_t")), "left"
-    )
+    own, hashed, cuts = (fresh(docs, c) for c in ("_span_id", "_span_t", "_span_s"))
+    runs = runs.select(F.col("_id").alias(own), F.col("_t").alias(hashed), F.col("_s").alias(cuts))
+    out = docs.join(runs, F.col("doc_id").eqNullSafe(F.col(own)) & (F.xxhash64(text_of()) == F.col(hashed)), "left")
     chars = F.split("text", "")
 
     def rebuilt(chars: Column) -> Column:
         cut = lambda a, b: F.array_join(F.slice(chars, a + 1, F.greatest(b - a, F.lit(0))), "")
         before = F.transform(
-            "_span_s",
-            lambda s, k: F.concat(cut(F.coalesce(F.get("_span_s", k - 1)["b"], F.lit(0)).cast("int"), s["a"].cast("int")), F.lit(mask)),
+            cuts,
+            lambda s, k: F.concat(cut(F.coalesce(F.get(cuts, k - 1)["b"], F.lit(0)).cast("int"), s["a"].cast("int")), F.lit(mask)),
         )
-        rest = cut(F.element_at("_span_s", -1)["b"].cast("int"), F.size(chars))
+        rest = cut(F.element_at(cuts, -1)["b"].cast("int"), F.size(chars))
         return F.concat(F.array_join(before, ""), rest)
 
-    new = F.when(F.col("_span_s").isNull(), F.col("text")).otherwise(
+    new = F.when(F.col(cuts).isNull(), F.col("text")).otherwise(
         bind(chars, rebuilt)
     )
     out = out.withColumn("text", new)
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.col("_span_s").isNull(), F.col("n_chars")).otherwise(F.length("text").cast("long")))
+        out = out.withColumn("n_chars", F.when(F.col(cuts).isNull(), F.col("n_chars")).otherwise(F.length("text").cast("long")))
     return out.select(*[F.col(f"`{c}`") for c in docs.columns])

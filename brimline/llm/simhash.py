@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from brimline.llm.common import settled, text_of
+from brimline.llm.common import fresh, settled, text_of
 
 SHINGLE = 3
 SEED = 42
@@ -228,8 +228,9 @@ def one_of_each(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BIT
     (of equal ids that with the smallest text hash) stays, once if it is repeated."""
     found = near_copies(docs, shingle, max_bits)
     best = found.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "text_hash")).alias("k"))
-    keep = best.select(F.col("k.doc_id").alias("_keep_id"), F.col("k.text_hash").alias("_keep_hash"))
-    out = docs.withColumn("_text_hash_", F.xxhash64(text_of())).join(
-        keep, F.col("doc_id").eqNullSafe(F.col("_keep_id")) & (F.col("_text_hash_") == F.col("_keep_hash")), "left_semi"
+    own, hashed, of_row = (fresh(docs, c) for c in ("_keep_id", "_keep_hash", "_text_hash"))
+    keep = best.select(F.col("k.doc_id").alias(own), F.col("k.text_hash").alias(hashed))
+    out = docs.withColumn(of_row, F.xxhash64(text_of())).join(
+        keep, F.col("doc_id").eqNullSafe(F.col(own)) & (F.col(of_row) == F.col(hashed)), "left_semi"
     )
-    return out.dropDuplicates(["doc_id", "_text_hash_"]).select(*[F.col(f"`{c}`") for c in docs.columns])
+    return out.dropDuplicates(["doc_id", of_row]).select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -5,14 +5,16 @@ of similar length. The longest ``SEED_VECTORS`` give every query a first k-th sc
 score a block has a local cosine threshold, the cosine its longest vector would need: above
 one the block is passed over; high thresholds prune by coordinates (a vector within the angle
 of the query has its largest coordinates within a range), low ones by length (the prefix long
-enough). What is left is verified by exact products of whole numbers. A block hands on at most
+enough). Blocks and blocks of queries meet by number first, and only pairs in which the longest
+vector may reach a query's score get their vectors. What is left is verified by exact products of whole numbers. A block hands on at most
 k rows per query, and the thresholds rise while a task works through its blocks.
 
-Queries come in blocks as well, and each block of queries meets each block of vectors once.
+Queries come in blocks as well, queries that need alike lengths together.
 Nulls: vectors that are NULL or hold a NULL or non-finite component take no part; missing
 trailing components count as zero; an empty vector scores zero. Repeated rows each count;
-rows of the query's own id, and rows without an id, never do. Scores must be below 2^63; components beyond 2^31 are
-held at that bound.
+rows of the query's own id, and rows without an id, never do. Ties go to the smaller id. An empty
+table gives no rows; other columns are not read. Components of any size are multiplied exactly; a
+score that does not fit a long is held at its end.
 """
 
 from __future__ import annotations
@@ -25,6 +27,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from brimline.llm.common import settled
+from brimline.llm.negatives import products
 
 SCALE = 1024
 BLOCK = 512
@@ -34,23 +37,22 @@ SEED_VECTORS = 1024
 COORDINATE_FROM = 0.6
 FOCUS = 4
 SLACK = 1e-9
-LARGEST = float(1 << 31)
-EXACT = float(1 << 53)
 
 BLOCK_DDL = "block bigint, n int, width int, longest double, ids binary, parts binary"
 
 
 def scaled(embedding: Column) -> Column:
-    """floor(1024 x) of each component as a whole number; NULL if one is NULL or not finite."""
-    x = F.transform(embedding, lambda c: c.cast("double"))
-    good = F.forall(x, lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) < float("inf")))
-    whole = F.transform(x, lambda c: F.greatest(F.least(F.floor(c * SCALE), F.lit(LARGEST)), F.lit(-LARGEST)).cast("long"))
+    """floor(1024 x) of each component as a whole double; NULL if one is NULL or not finite."""
+    y = F.transform(embedding, lambda c: c.cast("double") * SCALE)
+    good = F.forall(y, lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) < float("inf")))
+    # doubles from 2^52 on are whole
+    whole = F.transform(y, lambda c: F.when(F.abs(c) < float(1 << 52), F.floor(c).cast("double")).otherwise(c))
     return F.when(F.coalesce(good, F.lit(False)), whole)
 
 
 def vectors(embeddings: DataFrame, key: str = "vec_id", vector: str = "embedding") -> DataFrame:
     rows = embeddings.select(F.col(f"`{key}`").cast("long").alias("id"), scaled(F.col(f"`{vector}`")).alias("v"))
-    square = F.aggregate("v", F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double"))
+    square = F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x)
     return rows.filter(F.col("v").isNotNull() & F.col("id").isNotNull()).withColumn("norm", F.sqrt(square))
 
 
@@ -58,13 +60,13 @@ def matrix(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
     """Ids and components, rows padded with zeros to the widest of the batch."""
     lists = batch.column(1)
     sizes = np.diff(lists.offsets.to_numpy())
-    out = np.zeros((len(sizes), max(1, int(sizes.max(initial=0)))), dtype=np.int64)
+    out = np.zeros((len(sizes), max(1, int(sizes.max(initial=0)))))
     out[np.arange(out.shape[1]) < sizes[:, None]] = lists.flatten().to_numpy()
     return batch.column(0).to_numpy(), out
 
 
 def norms(m: np.ndarray) -> np.ndarray:
-    return np.sqrt((m.astype(np.float64) ** 2).sum(axis=1))
+    return np.sqrt((np.asarray(m, dtype=np.float64) ** 2).sum(axis=1))
 
 
 def blocked(rows: DataFrame, size: int) -> DataFrame:
@@ -85,16 +87,7 @@ def blocked(rows: DataFrame, size: int) -> DataFrame:
 
 
 def unpack(ids: bytes, parts: bytes, width: int) -> tuple[np.ndarray, np.ndarray]:
-    return np.frombuffer(ids, dtype=np.int64), np.frombuffer(parts, dtype=np.int64).reshape(-1, width)
-
-
-def products(q: np.ndarray, p: np.ndarray) -> np.ndarray:
-    """Exact inner products; by floating point where its whole numbers are exact."""
-    w = min(q.shape[1], p.shape[1])
-    q, p = q[:, :w], p[:, :w]
-    if float(np.abs(q).max(initial=0)) * float(np.abs(p).max(initial=0)) * w < EXACT:
-        return (q.astype(np.float64) @ p.astype(np.float64).T).astype(np.int64)
-    return q @ p.T
+    return np.frombuffer(ids, dtype=np.int64), np.frombuffer(parts, dtype=np.float64).reshape(-1, width)
 
 
 def best(ids: np.ndarray, scores: np.ndarray, k: int) -> np.ndarray:
@@ -161,18 +154,27 @@ def search(queries: tuple[np.ndarray, np.ndarray], floor: np.ndarray, block: Blo
             yield i, block.ids[:n], s[:n]
 
 
+def least_length(floor: np.ndarray, length: np.ndarray) -> float:
+    """The length a vector needs to reach any of the scores; below zero if any vector may."""
+    free = floor <= 0
+    if free.any() or not len(floor):
+        return -1.0
+    return float((floor / np.maximum(length, 1e-300)).min())
+
+
 def top_k(embeddings: DataFrame, is_query: Column, k: int = 10, key: str = "vec_id", vector: str = "embedding") -> DataFrame:
     """``query_id, rank, vec_id, score``: the k best of every query over all other rows."""
     spark = embeddings.sparkSession
     rows = vectors(embeddings, key, vector)
     asked = vectors(embeddings.filter(is_query), key, vector)
-    blocks = settled(blocked(rows.repartitionByRange(F.col("norm").desc(), F.xxhash64("id")), BLOCK), "vector-blocks")
-    queries = settled(blocked(asked.repartition(F.xxhash64("id")), QUERY_BLOCK), "query-blocks")
+    dealt = rows.repartitionByRange(F.col("norm").desc(), F.xxhash64("id")).sortWithinPartitions(F.col("norm").desc(), "id")
+    blocks = settled(blocked(dealt, BLOCK), "vector-blocks")
+    queries = settled(blocked(asked.repartition(F.xxhash64("id")).sortWithinPartitions("norm", "id"), QUERY_BLOCK), "query-blocks")
 
     # a bounded number of the longest vectors, for a first threshold of every query
     seeds = rows.orderBy(F.col("norm").desc(), "id").limit(SEED_VECTORS).collect()
     width = max((len(r["v"]) for r in seeds), default=1) or 1
-    seed_m = np.zeros((len(seeds), width), dtype=np.int64)
+    seed_m = np.zeros((len(seeds), width))
     for i, r in enumerate(seeds):
         seed_m[i, :len(r["v"])] = r["v"]
     seed_ids = np.array([r["id"] for r in seeds], dtype=np.int64)
@@ -181,7 +183,7 @@ def top_k(embeddings: DataFrame, is_query: Column, k: int = 10, key: str = "vec_
     def floors(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         s_ids, s_m = shared.value
         for batch in batches:
-            out = []
+            out, reach = [], []
             for ids, parts, w in zip(batch.column("ids"), batch.column("parts"), batch.column("width")):
                 q_ids, m = unpack(ids.as_py(), parts.as_py(), w.as_py())
                 found = np.full(len(q_ids), np.iinfo(np.int64).min, dtype=np.int64)
@@ -192,23 +194,30 @@ def top_k(embeddings: DataFrame, is_query: Column, k: int = 10, key: str = "vec_
                         if len(own) >= k:
                             found[i] = np.partition(own, len(own) - k)[len(own) - k]
                 out.append(found.tobytes())
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.binary())], names=[*batch.schema.names, "floors"])
+                reach.append(least_length(found, norms(m)))
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, pa.array(out, pa.binary()), pa.array(reach, pa.float64())], names=[*batch.schema.names, "floors", "reach"]
+            )
 
-    q = settled(queries.mapInArrow(floors, f"{BLOCK_DDL}, floors binary"), "query-floors")
+    q = settled(queries.mapInArrow(floors, f"{BLOCK_DDL}, floors binary, reach double"), "query-floors")
     n_blocks = blocks.count()
     lanes = max(1, min(n_blocks, int(spark.conf.get("spark.sql.shuffle.partitions"))))
     lane = F.pmod(F.xxhash64("block"), F.lit(lanes)).cast("int")
-    left = blocks.select(lane.alias("lane"), F.col("ids").alias("b_ids"), F.col("parts").alias("b_parts"), F.col("width").alias("b_width"))
-    right = q.select(F.explode(F.sequence(F.lit(0), F.lit(lanes - 1))).alias("lane"), "ids", "parts", "width", "floors")
+    pairs = blocks.select(lane.alias("lane"), "block", "longest").join(
+        q.select(F.explode(F.sequence(F.lit(0), F.lit(lanes - 1))).alias("lane"), F.col("block").alias("asked"), "reach"), "lane"
+    ).filter(F.col("longest") * (1 + SLACK) >= F.col("reach")).select("block", "asked")
+    payload = blocks.select("block", F.col("ids").alias("b_ids"), F.col("parts").alias("b_parts"), F.col("width").alias("b_width"))
+    left = pairs.hint("merge").join(payload, "block")
+    right = q.select(F.col("block").alias("asked"), "ids", "parts", "width", "floors")
 
     def compare(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        raised: dict[bytes, np.ndarray] = {}  # thresholds of the query blocks met in this task
+        raised: dict[int, np.ndarray] = {}  # thresholds of the query blocks met in this task
         for batch in batches:
             for r in range(batch.num_rows):
                 one = {c: batch.column(c)[r].as_py() for c in batch.schema.names}
                 block = Block(*unpack(one["b_ids"], one["b_parts"], one["b_width"]))
                 q_ids, m = unpack(one["ids"], one["parts"], one["width"])
-                floor = raised.setdefault(one["ids"], np.frombuffer(one["floors"], dtype=np.int64).copy())
+                floor = raised.setdefault(one["asked"], np.frombuffer(one["floors"], dtype=np.int64).copy())
                 out = [[], [], []]
                 for i, ids, scores in search((q_ids, m), floor, block, k):
                     ok = (ids != q_ids[i]) & (scores >= floor[i])
@@ -223,7 +232,7 @@ def top_k(embeddings: DataFrame, is_query: Column, k: int = 10, key: str = "vec_
                     [pa.array(np.concatenate(c) if c else np.empty(0, np.int64), pa.int64()) for c in out], names=["query_id", "vec_id", "score"]
                 )
 
-    found = left.join(right, "lane").mapInArrow(compare, "query_id bigint, vec_id bigint, score bigint")
+    found = left.hint("merge").join(right, "asked").mapInArrow(compare, "query_id bigint, vec_id bigint, score bigint")
     order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
     ranked = found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
     return ranked.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")

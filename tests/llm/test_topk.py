@@ -79,3 +79,32 @@ def test_pruning_loses_nothing_above_the_threshold():
         for i in range(50):
             assert got.get(i, set()) == set(np.flatnonzero(scores[i] >= floor[i]).tolist())
     assert used > 50
+
+
+def test_large_components_are_exact(spark):
+    r = random.Random(8)
+    rows = [(i, [float(np.float32(r.uniform(-1, 1) * 10 ** r.choice([0, 5, 6]))) for _ in range(6)]) for i in range(120)]
+    df = spark.createDataFrame([(i, v, "x", "y", "z") for i, v in rows], VECTORS)
+    got = search(df, 10, 10)
+    assert got == brute(rows, 10, 10) and max(x[3] for x in got) > 1 << 53
+    # 1e9 beside zeros: the products still fit, a clamp would not show them
+    rows = [(0, [1e9, 0.0]), (1, [0.0, 1e9]), (2, [1.0, 2.0]), (3, [3.0, -1.0]), (4, [1e9, 1e9])]
+    rows = [(i, [float(np.float32(x)) for x in v]) for i, v in rows]
+    df = spark.createDataFrame([(i, v, "x", "y", "z") for i, v in rows], VECTORS)
+    want = [(q, n, i, max(-(2**63) + 1, min(2**63 - 1, s))) for q, n, i, s in brute(rows, 10, 1)]
+    assert search(df, 10, 1) == want
+
+
+def test_only_blocks_that_reach_a_score_get_vectors(spark, monkeypatch):
+    monkeypatch.setattr(topk, "BLOCK", 20)
+    monkeypatch.setattr(topk, "SEED_VECTORS", 100)
+    seen = []
+    inner = topk.search
+    monkeypatch.setattr(topk, "search", lambda *a: seen.append(1) or inner(*a))
+    r = random.Random(1)
+    # lengths fall quickly and all directions agree, so few blocks can hold a best one
+    rows = [(i, [2.0 ** -(i / 40) * (1 + 0.01 * r.random())] * 4) for i in range(1000)]
+    df = spark.createDataFrame([(i, v, "x", "y", "z") for i, v in rows], VECTORS)
+    assert search(df, 5, 50) == brute(rows, 5, 50)
+    assert topk.least_length(np.array([10, 20]), np.array([1.0, 4.0])) == 5.0
+    assert topk.least_length(np.array([10, 0]), np.array([1.0, 4.0])) < 0
