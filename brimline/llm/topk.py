@@ -5,8 +5,8 @@ of similar length. The longest ``SEED_VECTORS`` give every query a first k-th sc
 score a block has a local cosine threshold, the cosine its longest vector would need: above
 one the block is passed over; high thresholds prune by coordinates (a vector within the angle
 of the query has its largest coordinates within a range), low ones by length (the prefix long
-enough). Blocks and blocks of queries meet by number first, and only pairs in which the longest
-vector may reach a query's score get their vectors. What is left is verified by exact products of whole numbers. A block hands on at most
+enough). A block and a block of queries are paired only if the longest vector may reach a score.
+What is left is verified by exact products of whole numbers. A block hands on at most
 k rows per query, and the thresholds rise while a task works through its blocks.
 
 Queries come in blocks as well, queries that need alike lengths together.
@@ -203,12 +203,10 @@ def top_k(embeddings: DataFrame, is_query: Column, k: int = 10, key: str = "vec_
     n_blocks = blocks.count()
     lanes = max(1, min(n_blocks, int(spark.conf.get("spark.sql.shuffle.partitions"))))
     lane = F.pmod(F.xxhash64("block"), F.lit(lanes)).cast("int")
-    pairs = blocks.select(lane.alias("lane"), "block", "longest").join(
-        q.select(F.explode(F.sequence(F.lit(0), F.lit(lanes - 1))).alias("lane"), F.col("block").alias("asked"), "reach"), "lane"
-    ).filter(F.col("longest") * (1 + SLACK) >= F.col("reach")).select("block", "asked")
-    payload = blocks.select("block", F.col("ids").alias("b_ids"), F.col("parts").alias("b_parts"), F.col("width").alias("b_width"))
-    left = pairs.hint("merge").join(payload, "block")
-    right = q.select(F.col("block").alias("asked"), "ids", "parts", "width", "floors")
+    left = blocks.select(lane.alias("lane"), "longest", F.col("ids").alias("b_ids"), F.col("parts").alias("b_parts"), F.col("width").alias("b_width"))
+    right = q.select(F.explode(F.sequence(F.lit(0), F.lit(lanes - 1))).alias("asked_lane"), F.col("block").alias("asked"), "ids", "parts", "width", "floors", "reach")
+    # the join itself drops pairs whose longest vector reaches no score: Python never sees them
+    may = (F.col("lane") == F.col("asked_lane")) & (F.col("longest") * (1 + SLACK) >= F.col("reach"))
 
     def compare(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         raised: dict[int, np.ndarray] = {}  # thresholds of the query blocks met in this task
@@ -232,7 +230,7 @@ def top_k(embeddings: DataFrame, is_query: Column, k: int = 10, key: str = "vec_
                     [pa.array(np.concatenate(c) if c else np.empty(0, np.int64), pa.int64()) for c in out], names=["query_id", "vec_id", "score"]
                 )
 
-    found = left.hint("merge").join(right, "asked").mapInArrow(compare, "query_id bigint, vec_id bigint, score bigint")
+    found = left.join(right, may).mapInArrow(compare, "query_id bigint, vec_id bigint, score bigint")
     order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
     ranked = found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
     return ranked.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
