@@ -105,6 +105,32 @@ def find(key: int, n: int, displacements, fingerprints, places) -> int | None:
     return int(places[slot]) if fingerprints[slot] == print_ else None
 
 
+def find_all(keys: np.ndarray, displacements: np.ndarray, fingerprints: np.ndarray, places: np.ndarray) -> np.ndarray:
+    """As :func:`find` for many keys at once; a key that the index does not hold is an error."""
+    if not len(keys):
+        return np.empty(0, dtype=np.int64)
+    n = np.uint64(len(places))
+    d = displacements[(mixed(keys, BUCKET_SEED) % np.uint64(len(displacements))).astype(np.int64)]
+    slot = np.where(d < 0, -d - 1, (mixed(keys, np.maximum(d, 0)) % n).astype(np.int64))
+    if (fingerprints[slot] != (mixed(keys, PRINT_SEED) >> np.uint64(32)).astype(np.int64)).any():
+        raise ValueError("the index of a shard does not hold one of its keys")
+    return places[slot]
+
+
+def positions_of(row: dict) -> np.ndarray:
+    """Where the rows of a shard stand, in order of key: rows without a key come first, those of
+    a key from the place that the index gives for it."""
+    keys = np.array([k for k in row["keys"] if k is not None], dtype=np.int64)
+    index = (np.array(row[c], dtype=np.int64) for c in ("displacements", "fingerprints", "places"))
+    distinct, counts = np.unique(keys, return_counts=True)
+    first = np.repeat(find_all(distinct, *index), counts)
+    nth = np.arange(len(keys)) - np.repeat(np.cumsum(counts) - counts, counts)
+    at = np.concatenate([np.arange(len(row["keys"]) - len(keys)), first + nth])
+    if not np.array_equal(np.sort(at), np.arange(len(row["keys"]))):
+        raise ValueError("the index of a shard points to a place twice")
+    return at
+
+
 def shard_row(part: int, seq: int, width: int, ids_before: int, keys: list, parts: list[bytes]) -> pa.RecordBatch:
     """One shard; ``parts`` are the documents' ids in 32 bits."""
     starts = np.concatenate([[0], np.cumsum([len(p) // ID_BYTES for p in parts])]).astype(np.int64)
@@ -157,7 +183,11 @@ def write_ids(docs: DataFrame, path: str, vocabulary: str, end_id: int, shard_by
 
 def read_ids(spark: SparkSession, path: str, with_ids: bool = False) -> DataFrame:
     """Per document: ``doc_id, start`` (ids before it in the store), ``n_tokens, ids_crc32``,
-    and ``ids`` if asked for, all from the files."""
+    and ``ids`` if asked for, all from the files.
+
+    Each document is found by its key: key to slot, fingerprint, place, offset. An index that
+    does not lead every key to rows of its own fails the read.
+    """
     store = spark.read.schema(SHARD_DDL).parquet(path)
     sizes = store.groupBy("part").agg(F.sum("n_ids").alias("_n"))
     # one row per task that wrote, at most as many as it had partitions
@@ -169,17 +199,21 @@ def read_ids(spark: SparkSession, path: str, with_ids: bool = False) -> DataFram
         for batch in batches:
             for row in batch.to_pylist():
                 ids = np.frombuffer(row["payload"], dtype=f"<u{row['width']}").astype("<u4")
+                at = positions_of(row)
                 starts = np.array(row["starts"], dtype=np.int64)
+                first, last = starts[:-1][at], starts[1:][at]
                 raw = memoryview(ids.tobytes())
-                spans = list(zip(starts[:-1].tolist(), starts[1:].tolist()))
+                spans = list(zip(first.tolist(), last.tolist()))
                 crc = [zlib.crc32(raw[a * ID_BYTES:b * ID_BYTES]) for a, b in spans]
-                cols = [pa.array(row["keys"], pa.int64()), pa.array(starts[:-1] + row["ids_before"] + row["base"]),
-                        pa.array(np.diff(starts)), pa.array(crc, pa.int64())]
+                keys = sorted(row["keys"], key=lambda k: (k is not None, k))
+                cols = [pa.array(keys, pa.int64()), pa.array(first + row["ids_before"] + row["base"]),
+                        pa.array(last - first), pa.array(crc, pa.int64())]
                 if with_ids:
                     cols.append(pa.array([ids[a:b].astype(np.int32) for a, b in spans], pa.list_(pa.int32())))
                 yield pa.RecordBatch.from_arrays(cols, names=names)
 
-    rows = store.select("part", "width", "ids_before", "keys", "starts", "payload").join(F.broadcast(bases), "part")
+    columns = ["part", "width", "ids_before", "keys", "starts", "displacements", "fingerprints", "places", "payload"]
+    rows = store.select(*columns).join(F.broadcast(bases), "part")
     return rows.mapInArrow(documents, schema)
 
 

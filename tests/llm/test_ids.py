@@ -160,3 +160,20 @@ def test_plan_places_every_piece_once():
                 assert offset == at
                 at += x
             assert at <= capacity
+
+
+def test_wrong_index_fails_the_read():
+    keys = [None, None, 3, 3, 5, 8, 13, 21, 34]
+    row = id_store.shard_row(0, 0, 2, 0, keys, [np.array([i, 2], dtype="<u4").tobytes() for i in range(len(keys))]).to_pylist()[0]
+    assert id_store.positions_of(row).tolist() == list(range(len(keys)))
+    failed = 0
+    for i in range(len(row["displacements"])):
+        wrong = {**row, "displacements": [d + (k == i) * (17 if d >= 0 else -1 if -d < len(row["places"]) else 1) for k, d in enumerate(row["displacements"])]}
+        try:
+            assert id_store.positions_of(wrong).tolist() != []
+        except ValueError:
+            failed += 1
+    assert failed == len(row["displacements"])
+    swapped = {**row, "places": [*reversed(row["places"])]}
+    with pytest.raises((ValueError, AssertionError)):
+        assert id_store.positions_of(swapped).tolist() == list(range(len(keys)))
