@@ -593,6 +593,19 @@ losses as (
   select 'persistence' as model, {AVG_PINBALL} as loss from backtest
   union all select 'seasonal', {AVG_PINBALL} from seasonal_backtest)""", body=f"""
   select model, {r('loss')} from losses order by loss limit 1"""),
+    "candidate_losses": with_(
+        *EVS, irls(4), BACKTEST.replace("where a.split = 'val'", "where a.split = 'val' and b.split = 'val'"),
+        seasonal_backtest(24, 24).replace("where o.split = 'val'", "where o.split = 'val' and a.split = 'val'"), f"""
+linear as (
+  select b.{Y} as y, max(b0 + b1 * a.{Y} + b2 * b.luu_luong_den) filter (q = 0.1) as q10,
+         max(b0 + b1 * a.{Y} + b2 * b.luu_luong_den) filter (q = 0.5) as q50, max(b0 + b1 * a.{Y} + b2 * b.luu_luong_den) filter (q = 0.9) as q90
+  from parts a join parts b on a.site_id = b.site_id and b.time_idx between a.time_idx + 1 and a.time_idx + {H} cross join c4
+  where a.split = 'val' and b.split = 'val' and a.time_idx + {H} < a.series_len group by a.site_id, a.time_idx, b.time_idx, b.{Y}),
+losses as (
+  select 'linear' as model, {AVG_PINBALL} as loss from linear union all
+  select 'persistence' as model, {AVG_PINBALL} as loss from backtest
+  union all select 'seasonal', {AVG_PINBALL} from seasonal_backtest)""", body=f"""
+  select model, {r('loss')} from losses"""),
     "future_steps": with_(USERS, body=f"""
   select {S}, step::int as step, hi + to_hours(step::int) as {T}
   from (select {S}, max({T}) as hi from panel group by 1) cross join (select unnest(generate_series(1, 48)) as step)"""),

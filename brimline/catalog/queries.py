@@ -608,6 +608,20 @@ def selected_model(spark, sf_dir):
     return fc.select_model(scored.filter(F.col("y").isNotNull()))
 
 
+@query
+def candidate_losses(spark, sf_dir):
+    """The loss of every candidate on the validation rows, the learned one among them."""
+    rows = split_events(spark, sf_dir)
+    learned = QuantileForecaster([], HORIZON, ["luu_luong_den"], ["y_origin", "label_luu_luong_den"], iterations=4).fit(rows)
+    scored = union_all(
+        fc.backtest_persistence(rows, HORIZON, labels_inside=True).withColumn("model", F.lit("persistence")),
+        fc.backtest_seasonal(rows, HORIZON, SEASON, labels_inside=True).withColumn("model", F.lit("seasonal")),
+        learned.backtest(rows, "val", labels_inside=True).withColumn("model", F.lit("linear")),
+    )
+    losses = ev.mean_pinball().alias("loss")
+    return scored.filter(F.col("y").isNotNull()).groupBy("model").agg(losses)
+
+
 @query
 def future_steps(spark, sf_dir):
     return fc.future_timestamps(users_panel(spark, sf_dir), 48)

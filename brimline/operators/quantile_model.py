@@ -142,8 +142,11 @@ class QuantileForecaster:
         rows = _with_target_calendar(rows, self.time, self.tz)
         return rows.select(self.site, ORIGIN, STEP, self.time, *self._bands())
 
-    def backtest(self, df: DataFrame, split: str = "test") -> DataFrame:
-        """Forecasts with actuals from every complete origin in ``split``, as of the other models."""
+    def backtest(self, df: DataFrame, split: str = "test", labels_inside: bool = False) -> DataFrame:
+        """Forecasts with actuals from every complete origin in ``split``, as of the other models;
+        ``labels_inside`` leaves out pairs whose actual lies past the split."""
         complete = (F.col(SPLIT) == split) & (F.col(POSITION) + F.lit(self.horizon) < F.col(LENGTH))
         pairs = self._pairs(self._chunks(df, complete))
+        if labels_inside:
+            pairs = pairs.filter(F.col(f"label_{SPLIT}") == split)
         return pairs.select(self.site, ORIGIN, STEP, self.time, *self._bands(), "y")
