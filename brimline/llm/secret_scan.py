@@ -1,20 +1,26 @@
 """Secret scans: fixed patterns, and two character Markov models compared by likelihood ratio.
 
-Patterns find assignments, access keys and long hexadecimal runs. Beside them, long unbroken
-tokens are scored under a model of random strings and one of ordinary identifiers (order-1
-transitions, smoothed); a token whose log-likelihood ratio passes ``MIN_RATIO`` is a span of
-kind ``markov``. The models learn from labelled tokens: values the patterns found, and words of
-ordinary text. At most ``MAX_RANDOM`` and ``MAX_ORDINARY`` tokens, the smallest by hash, are
-used, the ordinary ones out of at most ``ORDINARY_DOCS`` documents; these bound the fit alone, and
-every token of every text is scored. The transition counts are at most 2 x 68 x 68 numbers. Only
-unbroken tokens of 20 characters or more are scored, as shorter ones do not tell the classes apart.
+Patterns find assignments, access keys and long hexadecimal runs. Beside them, unbroken tokens
+of 12 characters or more are scored under a model of random strings and one of ordinary
+identifiers (order-1 transitions, smoothed); a token whose log-likelihood ratio passes the
+threshold of its length is a span of kind ``markov``. Tokens with fewer than two letters are
+numbers, dates or times, which the ordinary class does not hold; they are not scored.
+
+The models learn from labelled tokens: values the patterns found, and words of ordinary text. At
+most ``MAX_RANDOM`` and ``MAX_ORDINARY`` tokens, the smallest by hash, are used, the ordinary
+ones out of at most ``ORDINARY_DOCS`` documents; these bound the fit alone, and every token of
+every text is scored. The transition counts are at most 2 x 68 x 68 numbers.
+
+One ordinary token in ``HELD_OUT`` is kept from the counts. Over ``m`` transitions the ratio of
+these goes about ``drift * m``, with deviations of ``spread * sqrt(m)``; a threshold lies
+``DEVIATIONS`` of them above, and never below ``MIN_RATIO``.
 
 A span's place follows from the lengths of what lies between the matches of its kind, added
 up over the rows of one text. All in built-in functions. Spans count code points, the end is
 exclusive; ``markov`` spans may overlap others.
 
 Nulls: a NULL text is empty; NULL ids are kept. Repeated rows each get their spans. Without
-labelled tokens of either class no ``markov`` span is found. Empty and long texts are ordinary
+labelled tokens of either class, or without held-out ones, no ``markov`` span is found. Empty and long texts are ordinary
 cases, and an empty table gives no rows. ``masked`` keeps all columns, whatever their names;
 ``scan`` reads the id and the text only. Spans that begin at one place are listed by kind.
 """
@@ -22,12 +28,12 @@ cases, and an empty table gives no rows. ``masked`` keeps all columns, whatever
 from __future__ import annotations
 
 import math
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from brimline.llm.common import bind, fresh, text_of
+from brimline.llm.common import bind, fresh, settled, text_of
 
 #: The patterns of the three base kinds, in the order of the listing. Runs
 #: shorter than asked for cannot hold a longer one, so their minimum stands in the pattern.
@@ -37,11 +43,15 @@ HEX = r"[0-9a-f]{16,}"
 MIN_ASSIGNED = 12
 KINDS = ("assign", "access", "hex", "markov")
 
-TOKEN = r"[A-Za-z0-9+/_=-]{20,}"
+TOKEN = r"[A-Za-z0-9+/_=-]{12,}"
+TWO_LETTERS = r"[A-Za-z][^A-Za-z]*[A-Za-z]"
 ORDINARY = r"[A-Za-z][A-Za-z0-9_-]{4,}"
 SYMBOLS = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/_=-"
 SMOOTHING = 0.5
-MIN_RATIO = 12.0
+#: A random string must be a thousand times as likely.
+MIN_RATIO = math.log(1000.0)
+DEVIATIONS = 5.0
+HELD_OUT = 5
 MAX_RANDOM = 20_000
 MAX_ORDINARY = 20_000
 ORDINARY_DOCS = 2_000
@@ -49,10 +59,13 @@ ORDINARY_DOCS = 2_000
 
 @dataclass(frozen=True)
 class Models:
-    """``ratio[a * width + b]``: log of the odds, random to ordinary, of ``b`` after ``a``."""
+    """``ratio[a * width + b]``: log of the odds, random to ordinary, of ``b`` after ``a``;
+    ``drift`` and ``spread`` of the ratio of ordinary tokens per transition."""
 
     ratio: tuple[float, ...]
     width: int
+    drift: float = 0.0
+    spread: float = 0.0
 
 
 def found(text: Column, pattern: str, group: int = 0) -> Column:
@@ -83,7 +96,29 @@ def labelled_tokens(docs: DataFrame, max_random: int = MAX_RANDOM, max_ordinary:
 
 
 def train(labelled: DataFrame, smoothing: float = SMOOTHING) -> Models | None:
-    """Both models from tokens with a label; None if a class has no transition."""
+    """Both models from tokens with a label, and the thresholds from those held out; None if a
+    class has no transition, or no ordinary token is held out."""
+    labelled = settled(labelled, "labelled-tokens")
+    held = (F.col("random") == 0) & (F.pmod(F.xxhash64("token", F.lit("held out")), F.lit(HELD_OUT)) == 0)
+    models = transitions(labelled.filter(~held), smoothing)
+    return models and with_thresholds(models, labelled.filter(held))
+
+
+def with_thresholds(models: Models, held: DataFrame) -> Models | None:
+    """The models with drift and spread of the ratio of ordinary tokens they have not seen."""
+    known = held.filter(F.length("token") > 1).filter(F.col("token").rlike(r"^[A-Za-z0-9+/_=-]+$"))
+    rows = known.select(ratio(F.col("token"), models).alias("x"), (F.length("token") - 1).alias("m"))
+    n, x, m, squares = rows.agg(
+        F.count(F.lit(1)), F.sum("x"), F.sum("m"), F.sum(F.col("x") * F.col("x") / F.col("m"))
+    ).first()
+    if not n:
+        return None
+    drift = x / m
+    spread = math.sqrt(max(squares - 2 * drift * x + drift * drift * m, 0.0) / n)
+    return replace(models, drift=round(drift, 6), spread=round(spread, 6))
+
+
+def transitions(labelled: DataFrame, smoothing: float) -> Models | None:
     chars = F.split("token", "")
     pairs = F.transform(
         F.sequence(F.lit(1), F.size("c") - 1), lambda k: F.concat(F.get("c", k - 1), F.get("c", k))
@@ -123,6 +158,13 @@ def ratio(token: Column, models: Models) -> Column:
     return bind(codes, add)
 
 
+def is_random(token: Column, models: Models) -> Column:
+    """Whether the ratio of a token passes the threshold of its length."""
+    m = (F.length(token) - 1).cast("double")
+    threshold = F.greatest(F.lit(MIN_RATIO), m * models.drift + F.sqrt(m) * (DEVIATIONS * models.spread))
+    return F.when(token.rlike(TWO_LETTERS), ratio(token, models) >= threshold).otherwise(False)
+
+
 def lengths(parts: Column) -> Column:
     return F.transform(parts, lambda x: F.length(x))
 
@@ -141,7 +183,7 @@ def span_rows(docs: DataFrame, models: Models | None) -> DataFrame:
         F.transform("_m2", lambda m: F.lit(True)),
     ]
     if models:
-        good.append(F.transform("_m3", lambda m: ratio(m, models) >= MIN_RATIO))
+        good.append(F.transform("_m3", lambda m: is_random(m, models)))
     base = base.select("_id", "_t", "_text", *[f"_m{k}" for k in range(len(patterns))],
                        *[g.alias(f"_g{k}") for k, g in enumerate(good)])
     each = [

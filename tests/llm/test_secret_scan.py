@@ -1,4 +1,5 @@
 import hashlib
+import math
 import re
 from collections import Counter
 
@@ -19,7 +20,10 @@ def markov_spans(text, models):
     out = []
     for m in re.finditer(ss.TOKEN, text or ""):
         codes = [ss.SYMBOLS.index(c) for c in m[0]]
-        if sum(models.ratio[a * models.width + b] for a, b in zip(codes, codes[1:])) >= ss.MIN_RATIO:
+        n = len(codes) - 1
+        threshold = max(ss.MIN_RATIO, n * models.drift + math.sqrt(n) * (ss.DEVIATIONS * models.spread))
+        ratio = sum(models.ratio[a * models.width + b] for a, b in zip(codes, codes[1:]))
+        if len(re.findall("[A-Za-z]", m[0])) > 1 and ratio >= threshold:
             out.append((m.start(), 3, m.end()))
     return out
 
@@ -55,17 +59,49 @@ def test_edge_texts(edge_docs, edge_rows, no_docs, documents):
     assert ss.scan(edge_docs, None).count() == len(edge_rows)
 
 
-def test_models_tell_random_strings_from_identifiers(spark, documents):
-    """Held out: strings and words the models have not seen."""
+def test_models_tell_random_strings_from_identifiers(spark):
+    """Held out: strings and identifiers the models have not seen, at every length from 12."""
     import random
 
+    documents = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     r = random.Random(3)
     models = ss.train(ss.labelled_tokens(documents))
-    words = [w for row in documents.collect() for w in re.findall(r"[A-Za-z]{4,}", row.text)]
-    plain = ["_".join(r.choice(words) for _ in range(5)) for _ in range(300)]
-    odd = ["".join(r.choice(ss.SYMBOLS[:62]) for _ in range(32)) for _ in range(300)]
-    assert sum(bool(markov_spans(w, models)) for w in plain) <= 3
-    assert sum(bool(markov_spans(w, models)) for w in odd) >= 290
+    assert models.drift < 0 < models.spread
+    words = [w for row in documents.collect() for w in re.findall(r"[A-Za-z]{3,}", row.text)]
+
+    def identifier(n):
+        out = r.choice(words)
+        while len(out) < n:
+            out += r.choice(("_", "-", "")) + r.choice(words)
+        return out[:n]
+
+    share = lambda tokens: sum(bool(markov_spans(t, models)) for t in tokens) / len(tokens)
+    for n, least in ((12, 0.7), (16, 0.85), (20, 0.9), (32, 0.97)):
+        assert share([identifier(n) for _ in range(400)]) <= 0.01
+        assert share(["".join(r.choice(ss.SYMBOLS[:62]) for _ in range(n)) for _ in range(400)]) >= least
+        assert share([f"{r.randrange(16 ** n):0{n}x}" for _ in range(400)]) >= 0.95
+
+
+def test_numbers_dates_and_times_are_not_scored(spark, documents):
+    models = ss.train(ss.labelled_tokens(documents))
+    text = "2024-01-01T10 4111-1111-1111-1111 +1-269-555-3296 2026-12-31T23-59-59 00000000-1111"
+    assert markov_spans(text, models) == []
+    row = ss.scan(spark.createDataFrame([(1, text)], "doc_id long, text string"), models).first()
+    assert (row.n_markov, row.spans) == (0, "")
+
+
+def test_thresholds_follow_held_out_tokens(spark):
+    """Drift and spread by hand: three tokens under a table that gives each transition its own ratio."""
+    width = len(ss.SYMBOLS)
+    table = [0.0] * (width * width)
+    table[1], table[width] = -1.0, -3.0  # ab, ba
+    held = spark.createDataFrame([("ab", 0), ("aba", 0), ("abab", 0)], "token string, random int")
+    models = ss.with_thresholds(ss.Models(tuple(table), width), held)
+    sums, steps = [-1.0, -4.0, -5.0], [1, 2, 3]
+    drift = sum(sums) / sum(steps)
+    spread = math.sqrt(sum((x - drift * m) ** 2 / m for x, m in zip(sums, steps)) / 3)
+    assert (models.drift, models.spread) == (round(drift, 6), round(spread, 6))
+    assert ss.with_thresholds(models, held.filter("false")) is None
 
 
 def test_masked_text_has_no_span_left(edge_docs, edge_rows):
