@@ -248,6 +248,21 @@ SCALED_GROUPS = {
 CAL_PARTS = "\ncal as (select parts.*, " + ", ".join(f"{v} as {k}" for k, v in calendar().items()) + " from parts)"
 
 
+CALENDAR_KNOWN = SCALED_GROUPS["known"]
+ROLE_FEATURES = [f"{Y}_lag_1", f"{Y}_lag_24", f"{Y}_rolling_mean_24", f"{Y}_rolling_std_24"]
+
+
+def profiled(groups: dict[str, list[str]], source: str, more: str = "") -> str:
+    """Counts and moments of each column by split; names that are not numbers have counts only."""
+    def one(role: str, c: str) -> str:
+        x = "null::double" if c == "site_id" else f"{c}::double"
+        return f"""
+  select split, '{role}' as "role", '{c}' as "column", count({c}) as n_known, count(*) - count({c}) as n_missing,
+         {r(f'avg({x})', 'mean')}, {r(f'min({x})', 'lowest')}, {r(f'max({x})', 'highest')}{more} from {source} group by split"""
+
+    return " union all ".join(one(role, c) for role, names in groups.items() for c in names)
+
+
 def scaled(columns: list[str]) -> str:
     parts = []
     for c in columns:
@@ -493,6 +508,13 @@ regular as (
   from cal group by 2 union all
   select 'scaled', split, count(*), {r(f'avg({z(Y)})', 'mean_target')}, {r(f"avg({z('hour_sin')})", 'mean_hour_sin')}
   from cal, st group by 2"""),
+    "column_roles": with_(*EVS, CAL_PARTS, f"\nfeat as (select *, {features([1, 24], [24], rnd=False, source='cal')} from cal)", body=profiled({
+        "static_categoricals": ["site_id"], "static_reals": ["muc_dang_binh_thuong"], "known": CALENDAR_KNOWN,
+        "unknown": [*SCALED_GROUPS["obs"], *ROLE_FEATURES], "derived": ROLE_FEATURES,
+    }, "feat")),
+    "manifest_profile": with_(*EVS, CAL_PARTS, body=profiled(
+        {"continuous_obs": SCALED_GROUPS["obs"], "known_future": CALENDAR_KNOWN, "static_real": ["muc_dang_binh_thuong"]}, "cal",
+        """, 168::int as enc_len, 336::int as dec_len, '1H' as frequency, 'Asia/Bangkok' as timezone""")),
     # windows
     "cutoff": with_(*EV, body=" select max(time_idx) - 12 as cutoff from regular"),
     "windows_train": with_(*EV, body=window_sql(f"o.time_idx + 12 <= {CUT}")),

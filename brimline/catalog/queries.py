@@ -31,6 +31,7 @@ from brimline.operators import forecast as fc
 from brimline.operators.dedup import head_steps, keep_last, tail, union_all
 from brimline.operators.features import add_calendar, add_lags_rollings, add_position, fill_features
 from brimline.operators.grid import regularize
+from brimline.operators.profile import profile
 from brimline.operators.quantile_model import QuantileForecaster
 from brimline.operators.split import (
     apply_scalers,
@@ -53,7 +54,7 @@ from brimline.operators.windows import (
 )
 from brimline.plans.prepare import prepare, prepare_splits
 from brimline.plans.request import answer_request
-from brimline.schema import GATE_COLUMNS, LENGTH, POSITION, SITE, TARGET, TIME
+from brimline.schema import GATE_COLUMNS, LENGTH, POSITION, SITE, TARGET, TIME, column_groups
 from brimline.session import scratch_path, use_utc
 from brimline.sources import crawl, pages, sinks
 from brimline.streaming.coverage import coverage_by_month, expected_polls
@@ -401,6 +402,26 @@ def split_sink(spark, sf_dir):
     )
 
 
+@query
+def column_roles(spark, sf_dir):
+    rows = prepare_splits(events_panel(spark, sf_dir), lags=[1, 24], windows=[24])
+    return profile(rows, column_groups(rows), ["split"])
+
+
+@query
+def manifest_profile(spark, sf_dir):
+    """Rows and manifest written side by side; a later job takes the columns from the manifest."""
+    rows = scaled_inputs(spark, sf_dir)
+    written = sinks.write_splits(rows, scratch_path(spark, "rows"))["raw"]
+    listed = sinks.read_manifest(spark, sinks.write_manifest(rows, scratch_path(spark, "manifest")))
+    columns = sinks.manifest_columns(listed)
+    groups = {}
+    for role, column in columns.select("role", "column").collect():  # names, as many as the schema has
+        groups.setdefault(role, []).append(column)
+    figures = profile(spark.read.schema(rows.schema).parquet(written), groups, ["split"])
+    return figures.join(columns.drop("quantiles"), ["role", "column"])
+
+
 # --- windows -------------------------------------------------------------------------
 
 

@@ -128,6 +128,23 @@ def write_manifest(df: DataFrame, path: str, mode: str = "errorifexists", **opti
     return path
 
 
+def read_manifest(spark: SparkSession, path: str) -> DataFrame:
+    """The manifest as written, one row; a part left out of the file is NULL."""
+    listed = "array<string>"
+    return spark.read.schema(
+        "enc_len int, dec_len int, frequency string, timezone string, quantiles array<double>, "
+        f"features struct<continuous_obs: {listed}, known_future: {listed}, static_real: {listed}>"
+    ).json(path)
+
+
+def manifest_columns(manifest: DataFrame) -> DataFrame:
+    """``role, column`` and the settings of a manifest, one row per listed column."""
+    roles = manifest.schema["features"].dataType.names
+    each = F.array(*[F.struct(F.lit(r).alias("role"), F.col("features")[r].alias("names")) for r in roles])
+    out = manifest.select("*", F.explode(each).alias("_r"))
+    return out.select("_r.role", F.explode("_r.names").alias("column"), *[c for c in manifest.columns if c != "features"])
+
+
 def failure_rows(
     polls: DataFrame, records: DataFrame, poll_id: str = "page_id", poll_time: str = "poll_time"
 ) -> DataFrame:

@@ -15,6 +15,7 @@ from brimline.operators.grid import regularize
 from brimline.operators.split import apply_scalers, fit_scalers, split_by_ratio, unscale
 from brimline.operators.windows import horizon_pairs, window_arrays, window_rows
 from brimline.plans.prepare import prepare_splits
+from brimline.operators.profile import profile
 from brimline.schema import column_groups, feature_manifest
 from brimline.sources import sinks
 from brimline.streaming.coverage import coverage_by_month, expected_polls, missing_polls
@@ -57,6 +58,29 @@ def test_groups_and_manifest(spark):
     assert got == want and got["features"]["continuous_obs"] == ["muc_thuong_luu", "was_imputed"]
 
 
+def test_manifest_written_and_read(spark, tmp_path):
+    df = prepare_splits(hourly(spark, [30]), lags=[1], windows=[3])
+    path = sinks.write_manifest(df, str(tmp_path / "manifest"), enc_len=12)
+    got = sinks.read_manifest(spark, path)
+    assert json.loads(got.toJSON().first()) == feature_manifest(df, enc_len=12)
+    rows = [(r.role, r.column, r.enc_len) for r in sinks.manifest_columns(got).collect()]
+    want = feature_manifest(df)["features"]
+    assert rows == [(role, c, 12) for role, names in want.items() for c in names]
+
+
+def test_profile_counts_missing_values(spark):
+    df = spark.createDataFrame(
+        [("a", 1.0, None, "x"), ("a", float("nan"), 4, None), ("b", None, None, "y")], "k string, v double, n long, s string"
+    )
+    got = {(r.k, r.role, r.column): tuple(r)[3:] for r in profile(df, {"p": ["v", "n"], "q": ["s", "v"]}, ["k"]).collect()}
+    assert got["a", "p", "v"] == got["a", "q", "v"] == (1, 1, 1.0, 1.0, 1.0)
+    assert got["a", "p", "n"] == (1, 1, 4.0, 4.0, 4.0) and got["a", "q", "s"] == (1, 1, None, None, None)
+    assert got["b", "p", "v"] == (0, 1, None, None, None) and len(got) == 8
+    assert profile(df.filter("false"), {"p": ["v"]}).first().n_known == 0
+    with pytest.raises(ValueError):
+        profile(df, {"p": []})
+
+
 def brute_windows(lengths, enc, dec, keep):
     return {(f"s{i}", o, s) for i, n in enumerate(lengths) for o in range(enc - 1, n - dec) if keep(i, o)
             for s in range(-enc + 1, dec + 1)}
