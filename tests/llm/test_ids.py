@@ -177,3 +177,30 @@ def test_wrong_index_fails_the_read():
     swapped = {**row, "places": [*reversed(row["places"])]}
     with pytest.raises((ValueError, AssertionError)):
         assert id_store.positions_of(swapped).tolist() == list(range(len(keys)))
+
+
+def test_pieces_are_encoded_once(whole):
+    """A word with different marks and line ends after it is one new piece: before, each such part was new."""
+    r = random.Random(4)
+    words = ["".join(r.choice("abcdefghijklmnopqrstuvwxyzéß") for _ in range(9)) for _ in range(300)]
+    texts = [" ".join(r.choice(words) + r.choice(["", ",", ".\n" + r.choice(words), "'s", "!)"]) for _ in range(4000)) for _ in range(3)]
+    small = Encoder(vocabulary_path())
+    asked = []
+    alone = small.whole
+    small.whole = lambda texts: asked.append(sum(t.count(" ") for t in texts) + len(texts)) or alone(texts)
+    assert [np.frombuffer(b, "<u4").tolist() for b in small.encode(texts)] == [whole(t) for t in texts]
+    assert sum(asked) < 3 * len(words)
+
+
+@pytest.mark.parametrize("remembered", [3, 500, 250_000])
+def test_cuts_of_odd_texts(whole, remembered):
+    """Contractions, runs of blanks, marks beyond ASCII, zero characters, added tokens, long pieces."""
+    r = random.Random(3)
+    alphabets = ["ab' '' stvreml'd 1.,\n", "  \n\n\tab'sé×÷ɏɐ“”’–x9", "日本ab ' \n.<|>\x00\x7f ​²½٣", " \t\n\r\x0b\x0c\x1c\x1f\x85\xa0᠎  　ab"]
+    texts = ["".join(r.choice(a) for _ in range(r.randint(0, 30))) for a in alphabets for _ in range(500)]
+    texts += ["x <|endoftext|> y", "a<|endoftext|>", "", "'s", "'", " '", "'ll're", "\n\n", "a\n\n b", "it's they'll 'tis ''s 'S", "b" * 5000 + " " + "c" * 300]
+    r.shuffle(texts)
+    small = Encoder(vocabulary_path(), remembered)
+    for a in range(0, len(texts), 400):
+        assert [np.frombuffer(b, "<u4").tolist() for b in small.encode(texts[a:a + 400])] == [whole(t) for t in texts[a:a + 400]]
+    assert len(small.known) <= remembered and all(len(p) <= 100 for p in small.known.to_pylist())
