@@ -9,6 +9,10 @@ enough). A block and a block of queries are paired only if the longest vector ma
 What is left is verified by exact products of whole numbers. A block hands on at most
 k rows per query, and the thresholds rise while a task works through its blocks.
 
+Blocks are dealt to lanes and blocks of queries to groups; a tile of both is a join key, so a
+block is copied once per group and a query once per lane (:func:`tiles`). The driver gets the
+first blocks, ``SEED_BYTES`` at most, and one row of totals, whatever the size of the table.
+
 Queries come in blocks as well, queries that need alike lengths together.
 Nulls: vectors that are NULL or hold a NULL or non-finite component take no part; missing
 trailing components count as zero; an empty vector scores zero. Repeated rows each count;
@@ -19,6 +23,7 @@ score that does not fit a long is held at its end.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -33,6 +38,11 @@ SCALE = 1024
 BLOCK = 512
 QUERY_BLOCK = 256
 SEED_VECTORS = 1024
+#: Bound of what the driver gets of them, in whole blocks (one at least).
+SEED_BYTES = 32 << 20
+#: Pairs of blocks that are worth a task, and bytes of queries that a tile holds.
+PAIRS = 256
+GROUP_BYTES = 64 << 20
 #: Local cosine threshold from which coordinates prune better than lengths.
 COORDINATE_FROM = 0.6
 FOCUS = 4
@@ -162,6 +172,41 @@ def least_length(floor: np.ndarray, length: np.ndarray) -> float:
     return float((floor / np.maximum(length, 1e-300)).min())
 
 
+def longest_vectors(blocks: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Ids and components of the longest vectors, out of whole blocks: the tasks send numbers of
+    blocks, and only those chosen come with their vectors."""
+    at, n, size = [], 0, 0
+    for r in blocks.select("block", "n", "width", "longest").orderBy(F.col("longest").desc(), "block").limit(SEED_VECTORS).collect():
+        size += 8 * r["n"] * r["width"]
+        if n >= SEED_VECTORS or at and size > SEED_BYTES:
+            break
+        at.append(r["block"])
+        n += r["n"]
+    rows = blocks.filter(F.col("block").isin(at)).select("ids", "parts", "width").collect() if at else []
+    found = [unpack(r["ids"], r["parts"], r["width"]) for r in rows]
+    ids = np.concatenate([i for i, _ in found] or [np.empty(0, np.int64)])
+    m = np.zeros((len(ids), max((p.shape[1] for _, p in found), default=1)))
+    a = 0
+    for _, p in found:
+        m[a:a + len(p), :p.shape[1]] = p
+        a += len(p)
+    first = np.argsort(-norms(m), kind="stable")[:SEED_VECTORS]
+    return ids[first], m[first]
+
+
+def tiles(blocks: DataFrame, queries: DataFrame) -> tuple[int, int]:
+    """Lanes of blocks and groups of query blocks. Their product is the number of tasks; of all such
+    products it has the fewest copied bytes, ``groups`` times the blocks and ``lanes`` times the queries."""
+    spark = blocks.sparkSession
+    size = F.coalesce(F.sum(F.col("n").cast("double") * F.col("width") * 8), F.lit(0.0)).alias("size")
+    b, q = (x.agg(F.count(F.lit(1)).alias("n"), size).first() for x in (blocks, queries))
+    tasks = max(4 * spark.sparkContext.defaultParallelism, b["n"] * q["n"] // PAIRS)
+    tasks = max(1, min(tasks, b["n"] * q["n"], int(spark.conf.get("spark.sql.shuffle.partitions"))))
+    groups = max(round(math.sqrt(tasks * q["size"] / max(b["size"], 1.0))), math.ceil(q["size"] / GROUP_BYTES))
+    groups = max(1, min(groups, q["n"]))
+    return max(1, min(b["n"], math.ceil(tasks / groups))), groups
+
+
 def top_k(embeddings: DataFrame, is_query: Column, k: int = 10, key: str = "vec_id", vector: str = "embedding") -> DataFrame:
     """``query_id, rank, vec_id, score``: the k best of every query over all other rows."""
     spark = embeddings.sparkSession
@@ -172,13 +217,7 @@ def top_k(embeddings: DataFrame, is_query: Column, k: int = 10, key: str = "vec_
     queries = settled(blocked(asked.repartition(F.xxhash64("id")).sortWithinPartitions("norm", "id"), QUERY_BLOCK), "query-blocks")
 
     # a bounded number of the longest vectors, for a first threshold of every query
-    seeds = rows.orderBy(F.col("norm").desc(), "id").limit(SEED_VECTORS).collect()
-    width = max((len(r["v"]) for r in seeds), default=1) or 1
-    seed_m = np.zeros((len(seeds), width))
-    for i, r in enumerate(seeds):
-        seed_m[i, :len(r["v"])] = r["v"]
-    seed_ids = np.array([r["id"] for r in seeds], dtype=np.int64)
-    shared = spark.sparkContext.broadcast((seed_ids, seed_m))
+    shared = spark.sparkContext.broadcast(longest_vectors(blocks))
 
     def floors(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         s_ids, s_m = shared.value
@@ -200,13 +239,14 @@ def top_k(embeddings: DataFrame, is_query: Column, k: int = 10, key: str = "vec_
             )
 
     q = settled(queries.mapInArrow(floors, f"{BLOCK_DDL}, floors binary, reach double"), "query-floors")
-    n_blocks = blocks.count()
-    lanes = max(1, min(n_blocks, int(spark.conf.get("spark.sql.shuffle.partitions"))))
-    lane = F.pmod(F.xxhash64("block"), F.lit(lanes)).cast("int")
-    left = blocks.select(lane.alias("lane"), "longest", F.col("ids").alias("b_ids"), F.col("parts").alias("b_parts"), F.col("width").alias("b_width"))
-    right = q.select(F.explode(F.sequence(F.lit(0), F.lit(lanes - 1))).alias("asked_lane"), F.col("block").alias("asked"), "ids", "parts", "width", "floors", "reach")
+    lanes, groups = tiles(blocks, q)
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    left = blocks.withColumn("lane", F.pmod(F.xxhash64("block"), F.lit(lanes)).cast("int")).withColumn("group", every(groups))
+    left = left.select((F.col("lane") * groups + F.col("group")).alias("tile"), "longest", F.col("ids").alias("b_ids"), F.col("parts").alias("b_parts"), F.col("width").alias("b_width"))
+    right = q.withColumn("group", F.pmod(F.xxhash64("block"), F.lit(groups)).cast("int")).withColumn("lane", every(lanes))
+    right = right.select((F.col("lane") * groups + F.col("group")).alias("asked_tile"), F.col("block").alias("asked"), "ids", "parts", "width", "floors", "reach")
     # the join itself drops pairs whose longest vector reaches no score: Python never sees them
-    may = (F.col("lane") == F.col("asked_lane")) & (F.col("longest") * (1 + SLACK) >= F.col("reach"))
+    may = (F.col("tile") == F.col("asked_tile")) & (F.col("longest") * (1 + SLACK) >= F.col("reach"))
 
     def compare(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         raised: dict[int, np.ndarray] = {}  # thresholds of the query blocks met in this task
@@ -230,7 +270,8 @@ def top_k(embeddings: DataFrame, is_query: Column, k: int = 10, key: str = "vec_
                     [pa.array(np.concatenate(c) if c else np.empty(0, np.int64), pa.int64()) for c in out], names=["query_id", "vec_id", "score"]
                 )
 
-    found = left.join(right, may).mapInArrow(compare, "query_id bigint, vec_id bigint, score bigint")
+    # Spark takes the copies per lane for as small as one, so no side is left to its guess
+    found = left.join(right.hint("merge"), may).mapInArrow(compare, "query_id bigint, vec_id bigint, score bigint")
     order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
     ranked = found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
     return ranked.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")

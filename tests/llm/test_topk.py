@@ -108,3 +108,44 @@ def test_only_blocks_that_reach_a_score_get_vectors(spark, monkeypatch):
     assert search(df, 5, 50) == brute(rows, 5, 50)
     assert topk.least_length(np.array([10, 20]), np.array([1.0, 4.0])) == 5.0
     assert topk.least_length(np.array([10, 0]), np.array([1.0, 4.0])) < 0
+
+
+def spread_rows(n=400, seed=3):
+    r = random.Random(seed)
+    return [(i, [r.uniform(0.1, 10) * r.gauss(0, 1) for _ in range(4)]) for i in range(n)]
+
+
+def test_no_side_of_the_join_is_broadcast_by_a_guess(spark):
+    """Before, queries copied once per lane were taken for as small as one copy and sent to the driver."""
+    df = spark.createDataFrame([(i, v, "x", "y", "z") for i, v in spread_rows()], VECTORS)
+    plan = topk.top_k(df, F.col("vec_id") % 10 == 0, 10)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
+def test_seeds_come_as_a_few_whole_blocks(spark, monkeypatch):
+    """Before, every task sent its longest vectors to the driver."""
+    monkeypatch.setattr(topk, "BLOCK", 16)
+    monkeypatch.setattr(topk, "SEED_VECTORS", 50)
+    rows = spread_rows()
+    df = spark.createDataFrame([(i, v, "x", "y", "z") for i, v in rows], VECTORS).repartition(7)
+    dealt = topk.vectors(df).repartitionByRange(5, F.col("norm").desc()).sortWithinPartitions(F.col("norm").desc(), "id")
+    blocks = topk.settled(topk.blocked(dealt, topk.BLOCK), "blocks")
+    size = {i: sum(x * x for x in whole(v)) for i, v in rows}
+    ids, m = topk.longest_vectors(blocks)
+    assert ids.tolist() == sorted(size, key=lambda i: -size[i])[:50]
+    assert [size[i] for i in ids.tolist()] == [int(x) for x in (m ** 2).sum(axis=1)]
+    monkeypatch.setattr(topk, "SEED_BYTES", 1)  # one block at least
+    assert topk.longest_vectors(blocks)[0].tolist() == ids[:16].tolist()
+    monkeypatch.setattr(topk, "SEED_VECTORS", 0)
+    assert topk.longest_vectors(blocks)[0].tolist() == []
+
+
+def test_groups_of_queries_meet_all_blocks(spark, monkeypatch):
+    for name, value in (("BLOCK", 16), ("QUERY_BLOCK", 5), ("SEED_VECTORS", 20), ("PAIRS", 4), ("GROUP_BYTES", 2000)):
+        monkeypatch.setattr(topk, name, value)
+    made, inner = [], topk.tiles
+    monkeypatch.setattr(topk, "tiles", lambda *a: made.append(inner(*a)) or made[-1])
+    rows = spread_rows()
+    df = spark.createDataFrame([(i, v, "x", "y", "z") for i, v in rows], VECTORS)
+    assert search(df, 10, 2) == brute(rows, 10, 2)
+    assert made[0][0] > 1 and made[0][1] > 1
