@@ -155,3 +155,55 @@ def test_repeated_text_leaves_mass_to_the_unseen(spark):
     model = qm.fit(docs, labels_of(spark, range(len(texts))))
     assert all(math.isfinite(r.loss) for r in qm.losses(docs, *model).collect())
     assert qm.classify(docs, labels_of(spark, range(len(texts)))).filter("perplexity is null").count() == 0
+
+
+ODD = ["a\0b", "\0\0", "", "🙂🙃 🙂", "￿￾", "中文字符", "привет мир", "x²³ ¼ ٣ 3", "a" * 40, "\U00100000\0"]
+
+
+def test_symbols_tell_all_characters_apart():
+    """Before, characters shared 64 classes: other scripts nine, digits and all beyond U+FFFF one each."""
+    of = {tuple(qm.symbols(chr(c))[qm.PAD:].tolist()) for c in range(0x110000) if not 0xD800 <= c < 0xE000}
+    assert len(of) == 0x110000 - 0x800
+    for text in ODD:
+        s = qm.symbols(text)
+        assert s[:qm.PAD].tolist() == [0] * qm.PAD and (s[qm.PAD:] > 0).all()
+        assert s[qm.PAD:].tobytes().decode("utf-16-le", "surrogatepass").replace(qm.NUL, "\0") == text
+
+
+@pytest.mark.parametrize("dense", [1, 5000, qm.DENSE])
+def test_codes_of_a_block(monkeypatch, dense):
+    monkeypatch.setattr(qm, "DENSE", dense)
+    r = random.Random(dense)
+    texts = [*ODD, "".join(r.choice("ab c\U0001f642Ａ") for _ in range(3000))]
+    block = qm.units("".join(qm.escaped(t) for t in texts))
+    codes, at = qm.coded(block)
+    code = lambda g: sum(c << (qm.BITS * k) for k, c in enumerate(reversed(g)))
+    want = [code(s[i - qm.PAD:i + 1]) for s in (qm.symbols(t).tolist() for t in texts) for i in range(qm.PAD, len(s))]
+    assert codes.tolist() == sorted(set(want)) and codes[at].tolist() == want and max(want) >= 1 << 63
+    assert qm.text_sizes(block).tolist() == [len(qm.symbols(t)) - qm.PAD for t in texts]
+    parts = list(qm.by_shard(codes))
+    assert sorted(i for _, own in parts for i in own.tolist()) == list(range(len(codes)))
+    for _, own in parts:
+        assert qm.unpacked(qm.packed(codes[own]), len(own)).tolist() == codes[own].tolist()
+
+
+def test_losses_of_any_characters_equal_plain_model(spark):
+    texts = [*ODD, "привет другой мир 42", "中文字符中文", "🙂🙃🙂 a\0b 43"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").withColumn("lang", F.lit("x"))
+    good = [0, 3, 4, 5, 6, 7]
+    plain = Plain([texts[i] for i in good])
+    got = {r.doc_id: (r.n_chars, r.loss) for r in qm.losses(docs, *qm.fit(docs, labels_of(spark, good))).collect()}
+    assert {i: n for i, (n, _) in got.items()} == {i: len(t) for i, t in enumerate(texts)}
+    for i, t in enumerate(texts):
+        assert got[i][1] == pytest.approx(plain.loss(t), rel=1e-5)
+
+
+def test_letters_that_shared_a_class_have_losses_of_their_own(spark):
+    """Before, a text of ideographs nine code points on, or of other digits, had the same loss."""
+    r = random.Random(5)
+    words = ["".join(chr(0x4E00 + r.randrange(400)) for _ in range(3)) for _ in range(20)]
+    text = "".join(r.choice(words) for _ in range(400))
+    texts = [text, "".join(chr(ord(c) + 9) for c in text), "12 12 12 12", "98 98 98 98"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").withColumn("lang", F.lit("x"))
+    loss = {x.doc_id: x.loss for x in qm.losses(docs, *qm.fit(docs, labels_of(spark, [0, 2]))).collect()}
+    assert loss[1] > 2 * loss[0] and loss[3] > 1.5 * loss[2]
